@@ -1,6 +1,8 @@
 """DataFrame operators: NULL-safe joins, numeric roll-ups, key handling."""
 
 from fundflow.operators.aggs import (
+    combine_sums,
+    partial_sums,
     latest_period,
     lenient_sum,
     max_all_numeric,
@@ -20,9 +22,12 @@ from fundflow.operators.joins import (
     semi_join_ns,
     spread_attribute,
 )
-from fundflow.operators.keys import in_keys, key_set, resolve_key, union_keys
+from fundflow.operators.keys import can_broadcast, in_keys, key_set, keys_df, resolve_key, union_keys
+from fundflow.operators.stage import KeySet, measure_keys, shared_dir, stage
 
 __all__ = [
+    "KeySet", "can_broadcast", "combine_sums", "keys_df", "measure_keys", "partial_sums",
+    "shared_dir", "stage",
     "anti_join_ns", "full_join_ns", "in_keys", "join_ns", "key_set", "latest_period",
     "left_join_ns", "lenient_sum", "max_all_numeric", "nan_to_null", "numeric_columns",
     "resolve_key", "round_doubles", "running_total", "semi_join_ns", "spread_attribute",

@@ -42,6 +42,30 @@ def sum_all_numeric(df: DataFrame, keys: Sequence[str], strict: bool = False) ->
     return df.groupBy(*keys).agg(*[agg(c) for c in cols])
 
 
+def partial_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """First stage of a two-level sum: per group, the sum and non-NULL
+    count of each column plus the row count.  :func:`combine_sums` over a
+    coarser key then gives exactly the strict or lenient sum of the rows."""
+    aggs = []
+    for c in cols:
+        aggs += [F.sum(c).alias(f"__s_{c}"), F.count(c).alias(f"__n_{c}")]
+    aggs.append(F.count(F.lit(1)).alias("__rows"))
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def combine_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str], strict: bool = False) -> DataFrame:
+    """Second stage of :func:`partial_sums`: strict (NULL if any input row
+    was NULL) or lenient (NULLs skipped, all-NULL -> 0) sums."""
+    aggs = []
+    for c in cols:
+        s = F.sum(f"__s_{c}")
+        if strict:
+            aggs.append(F.when(F.sum(f"__n_{c}") == F.sum("__rows"), s).alias(c))
+        else:
+            aggs.append(F.coalesce(s, F.lit(0)).alias(c))
+    return df.groupBy(*keys).agg(*aggs)
+
+
 def max_all_numeric(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Group by ``keys`` and take the max of every other numeric column
     (NULLs skipped)."""

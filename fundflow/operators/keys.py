@@ -15,10 +15,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundflow.operators.joins import semi_join_ns
+from fundflow.operators.stage import KeySet
 
 KEY = "award_number"
 
 
+def keys_df(keys: DataFrame | KeySet) -> DataFrame:
+    return keys.df if isinstance(keys, KeySet) else keys
+
+
+def can_broadcast(keys: DataFrame | KeySet) -> bool:
+    """Only a measured key set within the broadcast limit is broadcast;
+    an unmeasured one is left to the planner and AQE."""
+    return isinstance(keys, KeySet) and keys.broadcastable()
+
+
 def key_set(df: DataFrame, col: str = KEY) -> DataFrame:
     """Distinct non-NULL values of ``col`` as a one-column DataFrame named
     ``award_number``."""
@@ -34,15 +45,18 @@ def union_keys(*sets: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def in_keys(df: DataFrame, keys: DataFrame, col: str = KEY) -> DataFrame:
+def in_keys(df: DataFrame, keys: DataFrame | KeySet, col: str = KEY) -> DataFrame:
     """Rows of ``df`` whose ``col`` is in ``keys``."""
-    k = keys.select(F.col(KEY).alias(col)) if col != KEY else keys
+    k = keys_df(keys)
+    k = k.select(F.col(KEY).alias(col)) if col != KEY else k
+    if can_broadcast(keys):
+        k = F.broadcast(k)
     return semi_join_ns(df, k, col)
 
 
 def resolve_key(
     df: DataFrame,
-    keys: DataFrame,
+    keys: DataFrame | KeySet,
     candidates: Sequence[str],
     out: str = KEY,
     keep_unmatched: bool = False,
@@ -55,11 +69,20 @@ def resolve_key(
     is a member, and the chosen value is the first member.  One left join
     per candidate adds a membership flag (the key set is distinct, so no
     row is multiplied); the final filter needs no further join.
+
+    A measured key set within the broadcast limit is broadcast, so all the
+    flag joins run map-side in one stage; otherwise they are shuffle
+    joins, and callers should pre-aggregate ``df`` on the candidate
+    columns first (see :func:`fundflow.plans.feeds.transactions`).
     """
+    bc = can_broadcast(keys)
+    kdf = keys_df(keys)
     flags = []
     for i, c in enumerate(candidates):
         kcol, fcol = f"__key{i}", f"__hit{i}"
-        right = keys.select(F.col(KEY).alias(kcol)).withColumn(fcol, F.lit(True))
+        right = kdf.select(F.col(KEY).alias(kcol)).withColumn(fcol, F.lit(True))
+        if bc:
+            right = F.broadcast(right)
         df = df.join(right, F.col(c).eqNullSafe(F.col(kcol)), "left").drop(kcol)
         flags.append(fcol)
     chosen = None

@@ -48,7 +48,17 @@ from fundflow.functions import (
     text_to_number,
     trim_ws,
 )
-from fundflow.operators import nan_to_null, resolve_key, sum_all_numeric, zero_fill_numeric
+from fundflow.operators import (
+    KeySet,
+    can_broadcast,
+    combine_sums,
+    nan_to_null,
+    numeric_columns,
+    partial_sums,
+    resolve_key,
+    sum_all_numeric,
+    zero_fill_numeric,
+)
 from fundflow.sources.headers import rename_drift
 
 SOURCE_FILE = "source_file"
@@ -122,12 +132,10 @@ def plan(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     return df.drop("program_area_name")
 
 
-def ledger(raw: DataFrame, all_keys: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
-    """accounting pipeline ledger rolled up to award x period x area x
-    bilateral agreement (per source file, as the source never merges
-    files).  Keys resolve to the award number if it is a known award, else
-    the document number; rows matching neither are dropped.  Sums are
-    strict by default: one unparseable amount makes the group NULL."""
+def ledger_lines(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
+    """Row-level part of F5 before key resolution: text ingest, drift
+    rename, type / distribution filters, amounts cast, area code,
+    outlays = disbursement + accrual (NULL if either is NULL)."""
     df = text_ingest(rename_drift(raw, LEDGER_HEADER_DRIFT))
     df = df.filter(F.col("obligation_type").isin(*cfg.event_types)
                    & F.col("distribution").isin(*cfg.distributions))
@@ -135,18 +143,47 @@ def ledger(raw: DataFrame, all_keys: DataFrame, cfg: FlowConfig = DEFAULT) -> Da
     df = df.select(*_present(df, LEDGER_COLUMNS), *extra)
     df = df.withColumns({c: text_to_number(c) for c in _present(df, LEDGER_AMOUNT_COLUMNS)})
     df = df.withColumn("program_area", area_from_element("program_element", "program_area"))
-    df = resolve_key(df, all_keys, ["award_number", "document_number"])
-    df = df.withColumn("total_disbursement_outlays",
-                       F.col("disbursement_amt") + F.col("last_qtr_accrual_amt"))
+    return df.withColumn("total_disbursement_outlays",
+                         F.col("disbursement_amt") + F.col("last_qtr_accrual_amt"))
+
+
+LEDGER_CANDIDATES = ("award_number", "document_number")
+
+
+def ledger(raw: DataFrame, all_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT) -> DataFrame:
+    """accounting pipeline ledger rolled up to award x period x area x
+    bilateral agreement (per source file, as the source never merges
+    files).  Keys resolve to the award number if it is a known award, else
+    the document number; rows matching neither are dropped.  Sums are
+    strict by default: one unparseable amount makes the group NULL.
+
+    With a measured key set small enough to broadcast, keys are resolved
+    map-side row by row.  Otherwise the lines are first pre-aggregated on
+    the candidate key columns (sum, non-NULL count, row count), so the
+    shuffle joins of the resolution see one row per candidate group, and
+    the strict / lenient sums are finished after resolution.
+    """
+    df = ledger_lines(raw, cfg)
     keys = list(LEDGER_KEYS) + ([SOURCE_FILE] if SOURCE_FILE in df.columns else [])
-    out = sum_all_numeric(df, keys, strict=cfg.strict_ledger_sum)
+    measures = numeric_columns(df, keys)
+    if can_broadcast(all_keys):
+        df = resolve_key(df, all_keys, LEDGER_CANDIDATES)
+        out = sum_all_numeric(df.select(*keys, *measures), keys, strict=cfg.strict_ledger_sum)
+    else:
+        pre = partial_sums(df, [*keys, "document_number"], measures)
+        pre = resolve_key(pre, all_keys, LEDGER_CANDIDATES)
+        out = combine_sums(pre, keys, measures, strict=cfg.strict_ledger_sum)
     return out.drop(SOURCE_FILE) if SOURCE_FILE in keys else out
 
 
-def transaction_lines(raw: DataFrame, active_keys: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
-    """Row-level part of F6: filter, cast, date -> quarter -> fiscal
-    period, area code, 3-step key resolution against *active* keys,
-    conditional measures."""
+TXN_CANDIDATES = ("award_number", "document_number", "obl_document_number")
+TXN_MEASURES = ("transaction_amt", "transaction_disbursement", "transaction_obligation", "avg_monthly_exp_rate")
+
+
+def transaction_measures(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
+    """Row-level part of F6 before key resolution: distribution filter,
+    amount cast, date -> quarter start -> fiscal period, area code,
+    conditional measures.  Keeps the three candidate key columns."""
     df = text_ingest(raw)
     df = df.select(*_present(df, TXN_COLUMNS))
     df = df.filter(F.col("distribution").isin(*cfg.distributions))
@@ -155,23 +192,45 @@ def transaction_lines(raw: DataFrame, active_keys: DataFrame, cfg: FlowConfig =
         "transaction_date": quarter_start(serial_to_date("transaction_date", cfg.serial_offset_days)),
         "program_area": area_from_element("program_element", "program_area"),
     })
-    df = resolve_key(df, active_keys, ["award_number", "document_number", "obl_document_number"])
     amt = F.col("transaction_amt")
     df = df.withColumns({
         "transaction_disbursement": F.when(F.col("transaction_event") == F.lit(DISBURSEMENT_EVENT), amt),
         "transaction_obligation": F.when(F.col("transaction_event_type").isin(*OBLIGATION_EVENT_TYPES), amt),
     })
     df = df.withColumn("avg_monthly_exp_rate", F.col("transaction_disbursement") / F.lit(3.0))
-    df = df.drop("program_element", "transaction_event_type", "transaction_event",
-                 "document_number", "obl_document_number")
-    return df.withColumn("period", fiscal_period("transaction_date", cfg.null_period_label))
+    df = df.withColumn("period", fiscal_period("transaction_date", cfg.null_period_label))
+    return df.select(*TXN_CANDIDATES, "transaction_date", "period", "program_area", *TXN_MEASURES)
 
 
-def transactions(raw: DataFrame, active_keys: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
-    """transactions rolled up to award x fiscal period x area (lenient
-    sums), with the fiscal year and quarter parsed back out of the label."""
-    rolled = sum_all_numeric(transaction_lines(raw, active_keys, cfg), TXN_KEYS)
+def transaction_lines(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT) -> DataFrame:
+    """Row-level F6 with keys resolved (3 steps, *active* keys only):
+    one row per kept transaction."""
+    df = resolve_key(transaction_measures(raw, cfg), active_keys, TXN_CANDIDATES)
+    return df.drop("document_number", "obl_document_number")
+
+
+def _with_fiscal(rolled: DataFrame) -> DataFrame:
     fiscal_year, quarter = parse_period("period")
     rolled = rolled.withColumns({"fiscal_year": fiscal_year, "quarter": quarter})
-    return rolled.select("award_number", "fiscal_year", "quarter", "period", "program_area",
-                         *[c for c in rolled.columns if c not in (*TXN_KEYS, "fiscal_year", "quarter")])
+    return rolled.select("award_number", "fiscal_year", "quarter", "period", "program_area", *TXN_MEASURES)
+
+
+def transactions(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT) -> DataFrame:
+    """transactions rolled up to award x fiscal period x area (lenient
+    sums), with the fiscal year and quarter parsed back out of the label.
+
+    With a measured key set small enough to broadcast, keys are resolved
+    map-side and the roll-up is one partial + final aggregation.  Otherwise
+    lines are pre-aggregated on (candidate keys, period, area) -- a
+    map-side-combined shuffle that a hot award cannot skew -- and only the
+    pre-aggregated rows go through the resolution joins.
+    """
+    lines = transaction_measures(raw, cfg)
+    if can_broadcast(active_keys):
+        df = resolve_key(lines, active_keys, TXN_CANDIDATES)
+        rolled = sum_all_numeric(df.select(*TXN_KEYS, *TXN_MEASURES), TXN_KEYS)
+    else:
+        pre = partial_sums(lines, [*TXN_CANDIDATES, "period", "program_area"], TXN_MEASURES)
+        pre = resolve_key(pre, active_keys, TXN_CANDIDATES)
+        rolled = combine_sums(pre, TXN_KEYS, TXN_MEASURES)
+    return _with_fiscal(rolled)

@@ -149,6 +149,8 @@ class DriverFlow:
     spark: SparkSession
     sf_dir: str
     cfg: FlowConfig = DRIVER_CFG
+    # Stage the award lists / key sets in the shared checkpoint folder.
+    staged: bool = True
 
     def t(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
@@ -179,30 +181,41 @@ class DriverFlow:
         return role_txn(self.t("lineitem"), self.t("orders"))
 
     # feeds ----------------------------------------------------------------
+    # The award lists are the small dimension every other step joins to:
+    # staged once in the shared checkpoint folder (lineage cut), and their
+    # key sets measured so a broadcast only happens under a checked bound.
     @cached_property
     def active(self) -> DataFrame:
+        from fundflow.operators import stage
         from fundflow.plans import feeds
-        return feeds.active_awards(self.raw_award, self.cfg)
+        df = feeds.active_awards(self.raw_award, self.cfg)
+        return stage(df, "active") if self.staged else df
 
     @cached_property
     def expired(self) -> DataFrame:
+        from fundflow.operators import stage
         from fundflow.plans import feeds
-        return feeds.expired_awards(self.raw_award, self.cfg)
+        df = feeds.expired_awards(self.raw_award, self.cfg)
+        return stage(df, "expired") if self.staged else df
+
+    def _keys(self, df: DataFrame, name: str):
+        from fundflow.operators import measure_keys, stage
+        return measure_keys(stage(df, name)) if self.staged else df
 
     @cached_property
-    def active_keys(self) -> DataFrame:
+    def active_keys(self):
         from fundflow.operators import key_set
-        return key_set(self.active)
+        return self._keys(key_set(self.active), "active_keys")
 
     @cached_property
-    def expired_keys(self) -> DataFrame:
+    def expired_keys(self):
         from fundflow.operators import key_set
-        return key_set(self.expired)
+        return self._keys(key_set(self.expired), "expired_keys")
 
     @cached_property
-    def all_keys(self) -> DataFrame:
-        from fundflow.operators import union_keys
-        return union_keys(self.active_keys, self.expired_keys)
+    def all_keys(self):
+        from fundflow.operators import key_set, union_keys
+        return self._keys(union_keys(key_set(self.active), key_set(self.expired)), "all_keys")
 
     @cached_property
     def closeout(self) -> DataFrame:
