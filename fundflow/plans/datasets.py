@@ -19,7 +19,6 @@ from fundflow.operators import (
     left_join_ns,
     lenient_sum,
     running_total,
-    spread_attribute,
     sum_all_numeric,
     zero_fill_numeric,
 )
@@ -50,14 +49,24 @@ def pipeline_dataset(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn:
     """Active award-periods LEFT ledger (award, period) LEFT plan and
     LEFT transactions (award, period, area); numeric NULLs -> 0, area
     name added, and the plan comments of each award-period spread to all
-    its rows (one row per distinct comment)."""
+    its rows (one row per distinct comment).
+
+    The distinct comments are taken before the transaction join: a left
+    join neither drops rows nor changes (award, period, comment), so the
+    set is the same, and the comment branch does not re-run the
+    transaction roll-up.
+    """
     df = left_join_ns(active, ledger, AP)
     df = left_join_ns(df, plan, APA)
+    comments = None
+    if "comments" in df.columns:
+        comments = df.select(*AP, "comments").dropna(subset=["comments"]).distinct()
+        df = df.drop("comments")
     df = left_join_ns(df, txn, APA)
     df = zero_fill_numeric(df)
     df = df.withColumn("program_area_name", area_name("program_area"))
-    if "comments" in df.columns:
-        df = spread_attribute(df, AP, "comments")
+    if comments is not None:
+        df = left_join_ns(df, comments, AP)
     return df
 
 
