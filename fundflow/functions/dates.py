@@ -22,7 +22,7 @@ def parse_ymd(c, text: bool = True) -> Column:
     c = _col(c)
     if not text:
         return F.to_date(c)
-    return F.coalesce(*[F.try_to_date(c, F.lit(fmt)) for fmt in YMD_LAYOUTS])
+    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in YMD_LAYOUTS])
 
 
 def serial_to_date(c, offset_days: int = SERIAL_OFFSET_DAYS, text: bool = True) -> Column:

@@ -1,4 +1,4 @@
-"""Registered queries over the driver tables, and their oracle SQL.
+"""Workflow-level registered queries (feeds, datasets, checks).
 
 ``QUERIES[name](spark, sf_dir)`` returns a DataFrame; ``ORACLE[name]`` is
 the DuckDB SQL that must give the same rows.  Double columns are rounded
@@ -7,39 +7,13 @@ to cents on both sides.  Every query reads whole driver tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from fundflow.operators import round_doubles
-from fundflow.plans import checks, datasets, feeds
+from fundflow.plans import checks
 from fundflow.plans import oracle as O
 from fundflow.plans.roles import DriverFlow
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-# Stage the award lists and measured key sets in the shared checkpoint
-# folder (broadcast under a checked bound).  False exercises the
-# unmeasured path: pre-aggregation + shuffle joins, planner's choice.
-STAGED = True
-
-
-def register(name: str, sql: str | None):
-    def deco(fn: Callable[[DriverFlow], DataFrame]) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(DriverFlow(spark, sf_dir, staged=STAGED)))
-
-        run.__name__ = name
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
-        if sql is not None:
-            ORACLE[name] = sql
-        return run
-
-    return deco
+from fundflow.plans.registry import register
 
 
 # --- feeds (F1-F6) ---------------------------------------------------------
