@@ -1,0 +1,136 @@
+"""Feeds, reporting datasets and checks on hand-built inputs: G5, G6, G9,
+G12, G14, G15 (FIXTURES.md section 3)."""
+
+from pyspark.sql import functions as F
+
+from fundflow.config import DEFAULT
+from fundflow.plans import checks, datasets, feeds
+
+AP = ["award_number", "period"]
+LEDGER_SCHEMA = ("award_number string, period string, program_area string, bilateral_obl_number string, "
+                 "document_amt double, disbursement_amt double, undisbursed_amt double, "
+                 "last_qtr_accrual_amt double, pipeline_amt double, total_disbursement_outlays double")
+PLAN_SCHEMA = "award_number string, period string, program_area string, un_sub_obligated_funds double, comments string"
+TXN_SCHEMA = ("award_number string, period string, program_area string, transaction_amt double, "
+              "transaction_disbursement double, transaction_obligation double, avg_monthly_exp_rate double, "
+              "cumulative_transaction_disbursement_fy double")
+ACTIVE_SCHEMA = "award_number string, activity_name string, period string, total_estimated_cost double"
+
+
+def g5(spark):
+    active = spark.createDataFrame([("A1", "Act 1", "FY24Q1", 1000.0)], ACTIVE_SCHEMA)
+    ledger = spark.createDataFrame([
+        ("A1", "FY24Q1", "HL.1", "B1", 100.0, 0.0, 0.0, 0.0, 0.0, 0.0),
+        ("A1", "FY24Q1", "HL.1", "B2", 50.0, 0.0, 0.0, 0.0, 0.0, 0.0),
+        ("A1", "FY24Q1", "HL.2", "B1", 20.0, 0.0, 0.0, 0.0, 0.0, 0.0)], LEDGER_SCHEMA)
+    plan = spark.createDataFrame([("A1", "FY24Q1", "HL.1", 30.0, "c1"), ("A1", "FY24Q1", "HL.2", 40.0, "c2")],
+                                 PLAN_SCHEMA)
+    txn = spark.createDataFrame([("A1", "FY24Q1", "HL.1", 12.0, 12.0, 0.0, 4.0, 12.0)], TXN_SCHEMA)
+    return active, ledger, plan, txn
+
+
+def test_pipeline_fanout_g5(spark):
+    active, ledger, plan, txn = g5(spark)
+    d1 = datasets.pipeline_dataset(active, ledger, plan, txn)
+    out = d1.collect()
+    assert len(out) == 6
+    assert sorted(r["transaction_amt"] for r in out) == [0.0, 0.0, 12.0, 12.0, 12.0, 12.0]
+    assert {r["comments"] for r in out} == {"c1", "c2"}
+    assert {r["program_area_name"] for r in out} == {"HIV/AIDS", "TB"}
+    k6 = checks.recon_txn_pipeline(txn, active, d1).collect()
+    assert [(r["raw_transaction_amt"], r["new_transaction_amt"], r["transaction_diff"]) for r in k6] == \
+        [(12.0, 48.0, -36.0)]
+    k8 = checks.recon_ledger(ledger, active, d1).collect()
+    assert [(r["raw_document_amt"], r["new_document_amt"], r["document_dif"]) for r in k8] == [(170.0, 340.0, -170.0)]
+
+
+def test_null_area_meets_null_plan_area_g6(spark):
+    active = spark.createDataFrame([("A2", "Act 2", "FY24Q1", 1.0)], ACTIVE_SCHEMA)
+    ledger = spark.createDataFrame([], LEDGER_SCHEMA)
+    raw_plan = spark.createDataFrame(
+        [("A2", "Mechanism", "Other", "5", None, "FY24Q1"), ("A2", "Mechanism", "TB", "9", None, "FY24Q1")],
+        "award_number string, implementing_mechanism string, program_area string, "
+        "un_sub_obligated_funds string, comments string, period string")
+    plan = feeds.plan(raw_plan)
+    txn = spark.createDataFrame([], TXN_SCHEMA)
+    out = datasets.pipeline_dataset(active, ledger, plan, txn).collect()
+    assert [(r["program_area"], r["un_sub_obligated_funds"]) for r in out] == [(None, 5.0)]
+
+
+def test_expired_dataset_tags_and_latest_g9_g13(spark):
+    expired = spark.createDataFrame(
+        [("E1", "FY24Q2"), ("E2", "FY24Q2"), ("E3", "FY24Q2"), ("E4", "FY24Q2"), ("E5", "FY24Q2"), ("E1", "FY24Q1")],
+        "award_number string, period string")
+    ledger = spark.createDataFrame([
+        ("E1", "FY24Q2", "HL.1", "656-DOAG-656-22-019-IH", 0.0, 0.0, 5.0, 0.0, 0.0, 0.0),
+        ("E2", "FY24Q2", "HL.1", "656-DOAG-656-22-019-IHO", 0.0, 0.0, 6.0, 0.0, 0.0, 0.0),
+        ("E3", "FY24Q2", "HL.1", "656-X", 0.0, 0.0, 7.0, 0.0, 0.0, 0.0),
+        ("E4", "FY24Q2", "HL.1", None, 0.0, 0.0, None, 0.0, 0.0, 0.0)], LEDGER_SCHEMA)
+    closeout = spark.createDataFrame([("E1", "FY24Q2", 1.0, "Open")],
+                                     "award_number string, period string, to_be_deobligated double, status string")
+    out = {r["award_number"]: r for r in datasets.expired_dataset(expired, ledger, closeout).collect()}
+    assert set(out) == {"E1", "E2", "E3", "E4", "E5"}
+    assert [out[k]["doag_new_old"] for k in ["E1", "E2", "E3", "E4", "E5"]] == ["new", "new", "old", "old", None]
+    assert out["E4"]["undisbursed_amt"] == 0.0
+    assert out["E1"]["status"] == "Open" and out["E2"]["status"] is None
+
+
+def test_award_without_transactions_g12(spark):
+    active, ledger, plan, _ = g5(spark)
+    active = active.union(spark.createDataFrame([("A9", "Act 9", "FY24Q1", 1.0)], ACTIVE_SCHEMA))
+    txn = spark.createDataFrame([("A1", "FY24Q1", "HL.1", 12.0, 12.0, 0.0, 4.0, 12.0)], TXN_SCHEMA)
+    d1 = datasets.pipeline_dataset(active, ledger, plan, txn)
+    d2 = datasets.transaction_dataset(active, txn, d1)
+    a9 = [r for r in d2.collect() if r["award_number"] == "A9"]
+    assert len(a9) == 1
+    r = a9[0]
+    assert r["period"] is None and r["program_area"] is None
+    assert (r["transaction_amt"], r["last_qtr_accrual_amt"]) == (0.0, 0.0)
+
+
+def test_active_feed_exclusion_g14(spark):
+    raw = spark.createDataFrame(
+        [("IHO", "AFG", "Clean MEL", " A1 ", 5.0, "US", "FY24Q1"), ("IHO", "X", "Melon", "A2", None, "US", "FY24Q1"),
+         ("IHO", "X", None, "A3", 1.0, "US", "FY24Q1"), ("OTHER", "X", "Melon", "A4", 1.0, "US", "FY24Q1"),
+         ("IHO", "X", "Melon", None, 1.0, "US", "FY24Q1")],
+        "sector string, sub_sector string, activity_name string, award_number string, "
+        "total_estimated_cost double, u_s_org_local string, period string")
+    out = feeds.active_awards(raw, DEFAULT).collect()
+    assert [(r["award_number"], r["total_estimated_cost"], r["u_s_org_local"]) for r in out] == \
+        [("A2", 0.0, "US/Int'l")]
+
+
+def test_coverage_areas_g15(spark):
+    active = spark.createDataFrame([("A1", "Act", "FY24Q1", 1.0)], ACTIVE_SCHEMA)
+    plan = spark.createDataFrame([("A1", "FY24Q1", "HL.1", 1.0, None)], PLAN_SCHEMA)
+    ledger = spark.createDataFrame([("A1", "FY24Q1", "HL.1", "B", 1.0, 0.0, 0.0, 0.0, 0.0, 0.0),
+                                    ("A1", "FY24Q1", "HL.2", "B", 1.0, 0.0, 0.0, 0.0, 0.0, 0.0)], LEDGER_SCHEMA)
+    txn = spark.createDataFrame([("A1", "FY24Q1", "HL.2", 1.0, 0.0, 0.0, 0.0, 0.0),
+                                 ("A1", "FY24Q1", None, 1.0, 0.0, 0.0, 0.0, 0.0)], TXN_SCHEMA)
+    keys = active.select("award_number").distinct()
+    out = checks.coverage_areas(active, plan, txn, ledger, keys)
+    got = [(r["program_area"], r["period"], r["subobligation"], r["pipeline"], r["transaction"]) for r in out.collect()]
+    assert got == [("HL.1", "FY24Q1", "yes", "yes", None), ("HL.2", "FY24Q1", None, "yes", "yes"),
+                   (None, "FY24Q1", None, None, "yes")]
+
+
+def test_ledger_feed_strict_and_keys(spark):
+    raw = spark.createDataFrame([
+        ("A1", "D", "OBLG_UNI", "656-M", "A047", None, "B1", "10", "1", "5", "1", "1", "FY24Q1"),
+        ("ZZ", "A1", "OBLG_UNI", "656-M", "A047", None, "B1", "1,234", "1", "5", "1", "1", "FY24Q1"),
+        ("A1", "D", "OBLG_UNI", "656-M", "A141", None, "B1", "3", "1", None, "1", "1", "FY24Q1"),
+        ("A1", "D", "OTHER", "656-M", "A047", None, "B1", "3", "1", "1", "1", "1", "FY24Q1"),
+        ("Q", "Q", "OBLG_UNI", "656-M", "A047", None, "B1", "3", "1", "1", "1", "1", "FY24Q1")],
+        "award_number string, document_number string, obligation_type string, distribution string, "
+        "program_element string, program_area string, bilateral_obl_number string, document_amt string, "
+        "disbursement_amt string, last_qtr_adj_amt string, undisbursed_amt string, pipeline_amt string, "
+        "period string")
+    keys = spark.createDataFrame([("A1",)], "award_number string")
+    out = {r["program_area"]: r for r in feeds.ledger(raw, keys).collect()}
+    assert set(out) == {"HL.1", "PO.2"}
+    assert out["HL.1"]["document_amt"] is None            # '1,234' poisons the strict sum
+    assert out["HL.1"]["last_qtr_accrual_amt"] == 10.0    # drifted header renamed
+    assert out["PO.2"]["total_disbursement_outlays"] is None
+    lenient = {r["program_area"]: r for r in
+               feeds.ledger(raw, keys, DEFAULT.__class__(strict_ledger_sum=False)).collect()}
+    assert lenient["HL.1"]["document_amt"] == 10.0
