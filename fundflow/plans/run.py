@@ -5,11 +5,12 @@
 
 Landing layout (one folder per feed, period files named ``FY24Q1_*``)::
 
-    <landing>/active_awards/        F1 (and F2: same files, see ``expired_folder``)
+    <landing>/active_awards/        F1 (also F2 with ``expired_from_active_folder``)
+    <landing>/expired_awards/       F2
     <landing>/close_out_tracker/    F3
     <landing>/subobligation_summary/  F4
-    <landing>/phoenix_pipeline/     F5
-    <landing>/phoenix_transactions/ F6
+    <landing>/ledger/               F5
+    <landing>/transactions/         F6
 
 Intermediates that several outputs read (award lists, key sets, ledger,
 transaction history, pipeline dataset) are written once to the shared
@@ -34,8 +35,8 @@ FEED_FOLDERS = {
     "expired": "expired_awards",
     "closeout": "close_out_tracker",
     "plan": "subobligation_summary",
-    "ledger": "phoenix_pipeline",
-    "txn": "phoenix_transactions",
+    "ledger": "ledger",
+    "txn": "transactions",
 }
 
 

@@ -31,12 +31,12 @@ def landing(root):
     hdr = ["Award Number", "Document Number", "Obligation Type", "Distribution", "Program Element", "Program Area",
            "Bilateral Obl Number", "Document Amt", "Disbursement Amt", "Last Qtr Adj Amt", "Undisbursed Amt",
            "Pipeline Amt"]
-    _csv(f"{root}/phoenix_pipeline", "FY24Q1_Pipeline.csv", hdr, [
+    _csv(f"{root}/ledger", "FY24Q1_Pipeline.csv", hdr, [
         ["A1", "D", "OBLG_UNI", "656-M", "A047", "", "B1", "100", "1", "1", "1", "1"],
         ["A1", "D", "OBLG_UNI", "656-M", "A047", "", "B2", "50", "1", "1", "1", "1"],
         ["A1", "D", "OBLG_SUBOB", "656-W", "A048", "", "B1", "20", "1", "1", "1", "1"],
         ["E1", "D", "OBLG_SUBOB", "656-W", "A048", "", "656-DOAG-656-22-019-IH", "9", "1", "1", "4", "1"]])
-    _csv(f"{root}/phoenix_transactions", "FY24Q1_Transactions.csv",
+    _csv(f"{root}/transactions", "FY24Q1_Transactions.csv",
          ["Award Number", "Document Number", "Obl Document Number", "Transaction Date", "Transaction Amt",
           "Transaction Event", "Transaction Event Type", "Program Element", "Distribution", "Program Area"],
          [["A1", "D", "D", serial, "12", "DISB", "OTHER", "A047", "656-W", ""]])
