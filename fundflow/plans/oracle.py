@@ -93,10 +93,10 @@ r_award AS (
     period
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN r_period ON c_custkey = custkey),
 r_closeout AS (
-  SELECT concat('AW', c_custkey) AS award_number, c_acctbal AS to_be_deobligated,
-    CASE WHEN c_acctbal > 0 THEN 'Open' ELSE 'Closed' END AS status, period
+  SELECT CASE WHEN c_custkey % 3 = 0 THEN concat('CO', c_custkey) ELSE concat('AW', c_custkey) END AS award_number,
+    c_acctbal AS to_be_deobligated, CASE WHEN c_acctbal > 0 THEN 'Open' ELSE 'Closed' END AS status, period
   FROM customer JOIN r_period ON c_custkey = custkey
-  WHERE c_mktsegment = 'MACHINERY' AND c_custkey % 3 <> 0),
+  WHERE c_mktsegment = 'MACHINERY'),
 r_plan AS (
   SELECT concat('AW', o_custkey) AS award_number,
     CASE WHEN o_orderkey % 25 = 0 THEN 'Total' WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'Mechanism' END AS implementing_mechanism,
