@@ -62,7 +62,7 @@ def txn_cumulative(f: DriverFlow) -> DataFrame:
     return f.txn
 
 
-@register("pipeline_dataset", O.with_ctes("SELECT * FROM d1", O.D1_NUM))
+@register("pipeline_dataset", O.with_ctes("SELECT * FROM d1", O.D1_NUM), reuse=("ledger",))
 def pipeline_dataset(f: DriverFlow) -> DataFrame:
     """D1 award pipeline dataset."""
     return f.pipeline
@@ -70,7 +70,7 @@ def pipeline_dataset(f: DriverFlow) -> DataFrame:
 
 @register("txn_dataset", O.with_ctes(
     "SELECT * FROM d2", ["transaction_disbursement", "transaction_obligation", "transaction_amt",
-                         "avg_monthly_exp_rate", "last_qtr_accrual_amt"]))
+                         "avg_monthly_exp_rate", "last_qtr_accrual_amt"]), reuse=("ledger", "txn"))
 def txn_dataset(f: DriverFlow) -> DataFrame:
     """D2 transaction dataset."""
     return f.txn_dataset
@@ -153,7 +153,8 @@ SELECT r.award_number, r.activity_name, r.period, r.raw_total_estimated_cost, n.
   r.raw_total_estimated_cost - n.new_total_estimated_cost AS TEA_diff
 FROM (SELECT award_number, activity_name, period, total_estimated_cost AS raw_total_estimated_cost FROM f_active) r
 LEFT JOIN (SELECT DISTINCT award_number, period, total_estimated_cost AS new_total_estimated_cost FROM d1) n
-  ON {O.ns('r', 'n', _AP)}""", ["raw_total_estimated_cost", "new_total_estimated_cost", "TEA_diff"]))
+  ON {O.ns('r', 'n', _AP)}""", ["raw_total_estimated_cost", "new_total_estimated_cost", "TEA_diff"]),
+          reuse=("ledger",))
 def recon_awards(f: DriverFlow) -> DataFrame:
     """K5 estimated cost, raw vs pipeline dataset."""
     return checks.recon_awards(f.active, f.pipeline)
@@ -175,13 +176,13 @@ FROM (
   ON {O.ns('r', 'n', _AP)}) x""", ["raw_transaction_amt", "new_transaction_amt", "transaction_diff"])
 
 
-@register("recon_txn_pipeline", _recon_txn_sql("d1"))
+@register("recon_txn_pipeline", _recon_txn_sql("d1"), reuse=("ledger", "txn"))
 def recon_txn_pipeline(f: DriverFlow) -> DataFrame:
     """K6 transaction amounts, raw vs pipeline dataset."""
     return checks.recon_txn_pipeline(f.txn, f.active, f.pipeline)
 
 
-@register("recon_txn_dataset", _recon_txn_sql("d2"))
+@register("recon_txn_dataset", _recon_txn_sql("d2"), reuse=("ledger", "txn"))
 def recon_txn_dataset(f: DriverFlow) -> DataFrame:
     """K7 transaction amounts, raw vs transaction dataset."""
     return checks.recon_txn_dataset(f.active, f.txn, f.txn_dataset)
@@ -210,7 +211,7 @@ FROM (
   LEFT JOIN (SELECT award_number, activity_name, period,
                {", ".join(f"coalesce(sum({m}), 0) AS new_{m}" for m in _K8_M)}
              FROM d1 GROUP BY award_number, activity_name, period) n
-    ON {O.ns('r', 'n', ['award_number', 'period', 'activity_name'])}) x""", _K8_OUT))
+    ON {O.ns('r', 'n', ['award_number', 'period', 'activity_name'])}) x""", _K8_OUT), reuse=("ledger",))
 def recon_ledger(f: DriverFlow) -> DataFrame:
     """K8 ledger amounts, raw vs pipeline dataset."""
     return checks.recon_ledger(f.ledger, f.active, f.pipeline)

@@ -476,7 +476,7 @@ def max_all_numeric_q(f: DriverFlow) -> DataFrame:
     return max_all_numeric(f.active, ["award_number", "activity_name", "period"])
 
 
-@register("accrual_latest", O.with_ctes("SELECT * FROM d2_accrual", ["last_qtr_accrual_amt"]))
+@register("accrual_latest", O.with_ctes("SELECT * FROM d2_accrual", ["last_qtr_accrual_amt"]), reuse=("ledger",))
 def accrual_latest(f: DriverFlow) -> DataFrame:
     """Accrual of the pipeline dataset's latest period per award x area."""
     return datasets.latest_accrual(f.pipeline)

@@ -24,10 +24,12 @@ ORACLE: dict[str, str] = {}
 STAGED = True
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, reuse: tuple[str, ...] = ()):
+    """Register a query.  ``reuse`` names the intermediates ("ledger",
+    "txn") the query reads more than once; they are written once per call."""
     def deco(fn: Callable[[DriverFlow], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(DriverFlow(spark, sf_dir, staged=STAGED)))
+            return round_doubles(fn(DriverFlow(spark, sf_dir, staged=STAGED, reuse=reuse)))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

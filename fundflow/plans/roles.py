@@ -167,6 +167,7 @@ def role_txn(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 # Staged award lists / key sets, shared by every query of one application
 # over one input folder (one quarterly run stages its award lists once).
 _STAGED: dict[tuple, object] = {}
+_PLANS: dict[tuple, DataFrame] = {}
 
 
 @dataclass
@@ -179,6 +180,8 @@ class DriverFlow:
     cfg: FlowConfig = DRIVER_CFG
     # Stage the award lists / key sets in the shared checkpoint folder.
     staged: bool = True
+    # Intermediates ("ledger", "txn") the query reads more than once.
+    reuse: tuple[str, ...] = ()
 
     def t(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
@@ -189,30 +192,39 @@ class DriverFlow:
             _STAGED[key] = build()
         return _STAGED[key]
 
+    def _memo(self, name: str, build) -> DataFrame:
+        """Memoize a lazy DataFrame *plan* per session (plan construction is
+        driver-side analysis work; no data is cached, every query still runs
+        the plan in full)."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.cfg, self.staged, name)
+        if key not in _PLANS:
+            _PLANS[key] = build()
+        return _PLANS[key]
+
     # role extracts --------------------------------------------------------
     @cached_property
     def periods(self) -> DataFrame:
-        return role_period(self.t("orders"))
+        return self._memo("periods", lambda: role_period(self.t("orders")))
 
     @cached_property
     def raw_award(self) -> DataFrame:
-        return role_award(self.t("customer"), self.t("nation"), self.periods)
+        return self._memo("raw_award", lambda: role_award(self.t("customer"), self.t("nation"), self.periods))
 
     @cached_property
     def raw_closeout(self) -> DataFrame:
-        return role_closeout(self.t("customer"), self.periods)
+        return self._memo("raw_closeout", lambda: role_closeout(self.t("customer"), self.periods))
 
     @cached_property
     def raw_plan(self) -> DataFrame:
-        return role_plan(self.t("orders"))
+        return self._memo("raw_plan", lambda: role_plan(self.t("orders")))
 
     @cached_property
     def raw_ledger(self) -> DataFrame:
-        return role_ledger(self.t("orders"))
+        return self._memo("raw_ledger", lambda: role_ledger(self.t("orders")))
 
     @cached_property
     def raw_txn(self) -> DataFrame:
-        return role_txn(self.t("lineitem"), self.t("orders"))
+        return self._memo("raw_txn", lambda: role_txn(self.t("lineitem"), self.t("orders")))
 
     # feeds ----------------------------------------------------------------
     # The award lists are the small dimension every other step joins to:
@@ -256,28 +268,45 @@ class DriverFlow:
     @cached_property
     def closeout(self) -> DataFrame:
         from fundflow.plans import feeds
-        return feeds.close_out(self.raw_closeout)
+        return self._memo("closeout", lambda: feeds.close_out(self.raw_closeout))
 
     @cached_property
     def plan(self) -> DataFrame:
         from fundflow.plans import feeds
-        return feeds.plan(self.raw_plan, self.cfg)
+        return self._memo("plan", lambda: feeds.plan(self.raw_plan, self.cfg))
+
+    def _reused(self, name: str, df: DataFrame) -> DataFrame:
+        """An aggregated intermediate the current query reads more than once
+        is written once to the shared folder and read back (per query, not
+        shared across queries); otherwise it stays a lazy plan."""
+        if self.staged and name in self.reuse:
+            from fundflow.operators import stage
+            return stage(df, name)
+        return df
 
     @cached_property
-    def ledger(self) -> DataFrame:
+    def ledger_plan(self) -> DataFrame:
         from fundflow.plans import feeds
-        return feeds.ledger(self.raw_ledger, self.all_keys, self.cfg)
+        return self._memo("ledger_plan", lambda: feeds.ledger(self.raw_ledger, self.all_keys, self.cfg))
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        return self._reused("ledger", self.ledger_plan)
 
     @cached_property
     def txn_rollup(self) -> DataFrame:
         from fundflow.plans import feeds
-        return feeds.transactions(self.raw_txn, self.active_keys, self.cfg)
+        return self._memo("txn_rollup", lambda: feeds.transactions(self.raw_txn, self.active_keys, self.cfg))
 
     # datasets -------------------------------------------------------------
     @cached_property
-    def txn(self) -> DataFrame:
+    def txn_plan(self) -> DataFrame:
         from fundflow.plans import datasets
-        return datasets.cumulative_transactions(self.txn_rollup)
+        return self._memo("txn_plan", lambda: datasets.cumulative_transactions(self.txn_rollup))
+
+    @cached_property
+    def txn(self) -> DataFrame:
+        return self._reused("txn", self.txn_plan)
 
     @cached_property
     def pipeline(self) -> DataFrame:
