@@ -74,7 +74,9 @@ def _present(df: DataFrame, names: Iterable[str]) -> list[str]:
 def text_ingest(df: DataFrame, keep: Iterable[str] = ("period", SOURCE_FILE)) -> DataFrame:
     """Read every column as text (the two accounting feeds are ingested as
     text and cast explicitly, so a stray number format never changes the
-    schema)."""
+    schema).  Columns in ``keep`` keep their type: amounts that already
+    land as numbers are cast directly instead of round-tripping through
+    text (same values, no per-row string work)."""
     keep = set(keep)
     return df.select([F.col(c) if c in keep else F.col(c).cast("string").alias(c) for c in df.columns])
 
@@ -136,12 +138,12 @@ def ledger_lines(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     """Row-level part of F5 before key resolution: text ingest, drift
     rename, type / distribution filters, amounts cast, area code,
     outlays = disbursement + accrual (NULL if either is NULL)."""
-    df = text_ingest(rename_drift(raw, LEDGER_HEADER_DRIFT))
+    df = text_ingest(rename_drift(raw, LEDGER_HEADER_DRIFT), keep=("period", SOURCE_FILE, *LEDGER_AMOUNT_COLUMNS))
     df = df.filter(F.col("obligation_type").isin(*cfg.event_types)
                    & F.col("distribution").isin(*cfg.distributions))
     extra = [c for c in ("period", SOURCE_FILE) if c in df.columns]
     df = df.select(*_present(df, LEDGER_COLUMNS), *extra)
-    df = df.withColumns({c: text_to_number(c) for c in _present(df, LEDGER_AMOUNT_COLUMNS)})
+    df = as_number(df, LEDGER_AMOUNT_COLUMNS)
     df = df.withColumn("program_area", area_from_element("program_element", "program_area"))
     return df.withColumn("total_disbursement_outlays",
                          F.col("disbursement_amt") + F.col("last_qtr_accrual_amt"))
@@ -184,12 +186,14 @@ def transaction_measures(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame
     """Row-level part of F6 before key resolution: distribution filter,
     amount cast, date -> quarter start -> fiscal period, area code,
     conditional measures.  Keeps the three candidate key columns."""
-    df = text_ingest(raw)
+    df = text_ingest(raw, keep=("period", SOURCE_FILE, "transaction_amt", "transaction_date"))
     df = df.select(*_present(df, TXN_COLUMNS))
     df = df.filter(F.col("distribution").isin(*cfg.distributions))
+    serial_is_text = dict(df.dtypes).get("transaction_date") == "string"
+    df = as_number(df, ["transaction_amt"])
     df = df.withColumns({
-        "transaction_amt": text_to_number("transaction_amt"),
-        "transaction_date": quarter_start(serial_to_date("transaction_date", cfg.serial_offset_days)),
+        "transaction_date": quarter_start(serial_to_date("transaction_date", cfg.serial_offset_days,
+                                                         text=serial_is_text)),
         "program_area": area_from_element("program_element", "program_area"),
     })
     amt = F.col("transaction_amt")

@@ -134,3 +134,20 @@ def test_ledger_feed_strict_and_keys(spark):
     lenient = {r["program_area"]: r for r in
                feeds.ledger(raw, keys, DEFAULT.__class__(strict_ledger_sum=False)).collect()}
     assert lenient["HL.1"]["document_amt"] == 10.0
+
+
+def test_typed_and_text_amounts_agree(spark):
+    from pyspark.sql import functions as F
+    text = spark.createDataFrame([
+        ("A1", "D", "D", "45200", "12.5", "DISB", "OBLG_UNI", "A047", "656-W", None),
+        ("Z", "A1", "D", "45290.5", "7", "OBLG", "OBLG_SUBOB", "A048", "656-M", None),
+        ("A1", "D", "D", None, "3", "DISB", "OTHER", "A141", "656-W", "DR.4")],
+        "award_number string, document_number string, obl_document_number string, transaction_date string, "
+        "transaction_amt string, transaction_event string, transaction_event_type string, program_element string, "
+        "distribution string, program_area string")
+    typed = text.withColumns({"transaction_date": F.col("transaction_date").cast("double"),
+                              "transaction_amt": F.col("transaction_amt").cast("double")})
+    keys = spark.createDataFrame([("A1",)], "award_number string")
+    a = sorted(tuple(r) for r in feeds.transactions(text, keys).collect())
+    b = sorted(tuple(r) for r in feeds.transactions(typed, keys).collect())
+    assert a == b and len(a) == 3
