@@ -148,6 +148,6 @@ def test_typed_and_text_amounts_agree(spark):
     typed = text.withColumns({"transaction_date": F.col("transaction_date").cast("double"),
                               "transaction_amt": F.col("transaction_amt").cast("double")})
     keys = spark.createDataFrame([("A1",)], "award_number string")
-    a = sorted(tuple(r) for r in feeds.transactions(text, keys).collect())
-    b = sorted(tuple(r) for r in feeds.transactions(typed, keys).collect())
+    a = sorted((tuple(r) for r in feeds.transactions(text, keys).collect()), key=repr)
+    b = sorted((tuple(r) for r in feeds.transactions(typed, keys).collect()), key=repr)
     assert a == b and len(a) == 3
