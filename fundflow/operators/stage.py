@@ -21,12 +21,17 @@ ENTRY_OVERHEAD = 48
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.  Only when the cluster
-    names none (local tests) is a private folder created and registered."""
+    """The shared checkpoint folder of the session.  Only in local mode, when
+    none is named (tests), is a private folder created and registered; on a
+    cluster an unset folder is an error (a machine-local folder is not
+    reachable by other executors)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor can reach "
+                               "(HDFS / object store) for staged tables")
         d = tempfile.mkdtemp(prefix="fundflow-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
