@@ -42,7 +42,6 @@ def text_to_number(c: ColumnOrName) -> Column:
     return F.when(plain | special, F.trim(c).try_cast("double"))
 
 
-
 def as_number(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Cast the named columns to double: text is parsed with
     :func:`text_to_number`, numeric columns are widened, absent columns are

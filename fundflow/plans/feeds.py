@@ -45,7 +45,6 @@ from fundflow.functions import (
     quarter_start,
     recode,
     serial_to_date,
-    text_to_number,
     trim_ws,
 )
 from fundflow.operators import (

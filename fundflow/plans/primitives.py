@@ -4,6 +4,8 @@ join / aggregate / window building block, each over whole driver tables
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,12 +43,12 @@ from fundflow.operators import (
     nan_to_null,
     resolve_key,
     running_total,
+    shared_dir,
     spread_attribute,
-    stage,
     sum_all_numeric,
     zero_fill_numeric,
 )
-from fundflow.plans import checks, datasets, feeds
+from fundflow.plans import datasets, feeds
 from fundflow.plans import oracle as O
 from fundflow.plans.registry import register
 from fundflow.plans.roles import DriverFlow, excel_serial
@@ -155,8 +157,6 @@ def csv_roundtrip(f: DriverFlow) -> DataFrame:
     name = (F.when(k % 7 == 0, F.lit(None).cast("string"))
              .when(k % 5 == 0, F.concat(F.col("c_name"), F.lit(', "quoted"'))).otherwise(F.col("c_name")))
     df = f.t("customer").select("c_custkey", name.alias("name"), "c_acctbal")
-    from fundflow.operators import shared_dir
-    import uuid
     path = f"{shared_dir(f.spark)}/fundflow-out/customers-{uuid.uuid4().hex}"
     write_csv(df, path)
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("name", T.StringType()),
