@@ -102,3 +102,32 @@ def run_quarter(spark: SparkSession, landing_root: str, out_root: str, cfg: Flow
             write_csv(outs[name], path)
         paths.append(path)
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m fundflow.plans.run LANDING OUT [--format parquet] [--out-format parquet]``"""
+    import argparse
+
+    from fundflow.session import get_spark
+
+    ap = argparse.ArgumentParser(description="One quarterly run: landing folders -> reporting datasets + checks")
+    ap.add_argument("landing")
+    ap.add_argument("out")
+    ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    ap.add_argument("--out-format", default="csv", choices=["csv", "parquet"])
+    ap.add_argument("--sector", default=DEFAULT.active_sector)
+    ap.add_argument("--expired-from-active-folder", action="store_true")
+    ap.add_argument("--lenient-ledger", action="store_true", help="sum ledger amounts skipping NULLs")
+    args = ap.parse_args(argv)
+    from dataclasses import replace
+
+    cfg = replace(DEFAULT, active_sector=args.sector, expired_sector=args.sector,
+                  strict_ledger_sum=not args.lenient_ledger)
+    spark = get_spark()
+    for p in run_quarter(spark, args.landing, args.out, cfg, args.format, args.out_format,
+                         args.expired_from_active_folder):
+        print(p)
+
+
+if __name__ == "__main__":
+    main()
