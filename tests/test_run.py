@@ -60,3 +60,15 @@ def test_run_quarter_g5(spark, scratch):
     assert len(paths) == 8
     back = read_csv_output(spark, f"{out}/transaction")
     assert back.count() == 1
+
+
+def test_command_line_run(spark, scratch, capsys):
+    from fundflow.plans.run import main
+
+    root = os.path.join(scratch, "landing")
+    landing(root)
+    out = os.path.join(scratch, "out")
+    main([root, out, "--out-format", "parquet"])
+    printed = capsys.readouterr().out.split()
+    assert len(printed) == 8
+    assert spark.read.parquet(f"{out}/pipeline").count() == 6
