@@ -15,6 +15,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType
 
 from fundflow.config import (
     ACTIVE_COLUMNS,
@@ -58,6 +59,8 @@ from fundflow.operators import (
     sum_all_numeric,
     zero_fill_numeric,
 )
+from fundflow import schemas
+from fundflow.schemas import typed_columns
 from fundflow.sources.headers import rename_drift
 
 SOURCE_FILE = "source_file"
@@ -80,7 +83,16 @@ def text_ingest(df: DataFrame, keep: Iterable[str] = ("period", SOURCE_FILE)) ->
     return df.select([F.col(c) if c in keep else F.col(c).cast("string").alias(c) for c in df.columns])
 
 
+def _typed_dates(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Declared date columns landed as text (CSV) are parsed; typed ones
+    (dates / timestamps) are truncated to the date."""
+    types = dict(df.dtypes)
+    exprs = {n: parse_ymd(n, text=types[n] == "string") for n in names if n in types}
+    return df.withColumns(exprs) if exprs else df
+
+
 def _award_common(df: DataFrame, sector: str) -> DataFrame:
+    df = _typed_dates(df, typed_columns(schemas.ACTIVE, DateType))
     return (df.filter(F.col("sector") == F.lit(sector))
               .withColumns({
                   "award_number": trim_ws("award_number"),
@@ -95,7 +107,7 @@ def active_awards(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     activities whose name contains an excluded fragment removed (a NULL
     name is removed too)."""
     df = _award_common(raw, cfg.active_sector)
-    df = as_number(df, ["total_estimated_cost"])
+    df = as_number(df, typed_columns(schemas.ACTIVE, DoubleType))
     df = zero_fill_numeric(df)
     df = df.select(*_present(df, ACTIVE_COLUMNS)).dropna(subset=["award_number"])
     return df.filter(~matches_any("activity_name", cfg.remove_awards))
@@ -126,9 +138,7 @@ def plan(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     df = df.withColumnRenamed("program_area", "program_area_name")
     df = df.withColumn("program_area", area_code_from_name("program_area_name"))
     df = as_number(df, PLAN_NUMERIC_COLUMNS)
-    if PLAN_DATE_COLUMN in df.columns:
-        is_text = dict(df.dtypes)[PLAN_DATE_COLUMN] == "string"
-        df = df.withColumn(PLAN_DATE_COLUMN, parse_ymd(PLAN_DATE_COLUMN, text=is_text))
+    df = _typed_dates(df, [PLAN_DATE_COLUMN])
     df = zero_fill_numeric(nan_to_null(df))
     return df.drop("program_area_name")
 

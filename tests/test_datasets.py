@@ -203,3 +203,13 @@ def test_hot_award_matches_brute_force(spark):
         want[r[0]] = want.get(r[0], 0.0) + float(r[4])
     assert set(got) == set(want)
     assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_award_dates_typed_from_text(spark):
+    import datetime as dt
+    raw = spark.createDataFrame(
+        [("IHO", "X", "Act", "A1", "5", "2023/10/01", "20250930", "US", "FY24Q1")],
+        "sector string, sub_sector string, activity_name string, award_number string, total_estimated_cost string, "
+        "start_date string, end_date string, u_s_org_local string, period string")
+    r = feeds.active_awards(raw).collect()[0]
+    assert (r["start_date"], r["end_date"], r["total_estimated_cost"]) == (dt.date(2023, 10, 1), dt.date(2025, 9, 30), 5.0)
