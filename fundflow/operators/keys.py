@@ -18,6 +18,9 @@ from fundflow.operators.joins import semi_join_ns
 from fundflow.operators.stage import KeySet
 
 KEY = "award_number"
+# Salt for NULL join keys: a NUL-prefixed bucket number, never a real key.
+NULL_SALT = "\u0000"
+SALT_BUCKETS = 4096
 
 
 def keys_df(keys: DataFrame | KeySet) -> DataFrame:
@@ -76,15 +79,30 @@ def resolve_key(
     columns first (see :func:`fundflow.plans.feeds.transactions`).
     """
     bc = can_broadcast(keys)
-    kdf = keys_df(keys)
+    # NULL is never a key (key sets are built from non-NULL values), so a
+    # NULL candidate is simply "not a member"; plain equality then gives the
+    # same result as a NULL-safe test.
+    kdf = keys_df(keys).dropna()
+    if not bc:
+        # Shuffle joins would send every NULL candidate to one partition; give
+        # NULLs a salt that cannot equal a key, spread by a hash of the row.
+        df = df.withColumn("__salt", F.concat(F.lit(NULL_SALT),
+                                              (F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % SALT_BUCKETS)
+                                              .cast("string")))
     flags = []
     for i, c in enumerate(candidates):
         kcol, fcol = f"__key{i}", f"__hit{i}"
         right = kdf.select(F.col(KEY).alias(kcol)).withColumn(fcol, F.lit(True))
         if bc:
-            right = F.broadcast(right)
-        df = df.join(right, F.col(c).eqNullSafe(F.col(kcol)), "left").drop(kcol)
+            cond = F.col(c) == F.col(kcol)
+            df = df.join(F.broadcast(right), cond, "left").drop(kcol)
+        else:
+            jcol = f"__jk{i}"
+            df = df.withColumn(jcol, F.coalesce(F.col(c), F.col("__salt")))
+            df = df.join(right, F.col(jcol) == F.col(kcol), "left").drop(kcol, jcol)
         flags.append(fcol)
+    if not bc:
+        df = df.drop("__salt")
     chosen = None
     for c, f in zip(candidates, flags):
         chosen = F.when(F.col(f), F.col(c)) if chosen is None else chosen.when(F.col(f), F.col(c))

@@ -57,3 +57,5 @@ def test_rollup_preaggregates_when_keys_unmeasured(spark):
            if "HashAggregate(keys=[award_number" in ln and "document_number" in ln and "obl_document_number" in ln]
     assert pre, physical
     assert physical.index("SortMergeJoin") < physical.index(pre[0])
+    # NULL candidates are salted (hash of the row) so they do not pile into one shuffle partition
+    assert "xxhash64" in physical
