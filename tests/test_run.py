@@ -72,3 +72,19 @@ def test_command_line_run(spark, scratch, capsys):
     printed = capsys.readouterr().out.split()
     assert len(printed) == 8
     assert spark.read.parquet(f"{out}/pipeline").count() == 6
+
+
+def test_run_quarter_parquet_landing(spark, scratch):
+    """Same landing as G5, re-landed as Spark-written Parquet period folders."""
+    csv_root = os.path.join(scratch, "csv")
+    landing(csv_root)
+    pq_root = os.path.join(scratch, "pq")
+    for feed in sorted(os.listdir(csv_root)):
+        for name in os.listdir(os.path.join(csv_root, feed)):
+            df = spark.read.option("header", True).csv(os.path.join(csv_root, feed, name))
+            df.coalesce(1).write.parquet(os.path.join(pq_root, feed, name.replace(".csv", ".parquet")))
+    outs = build(spark, pq_root, fmt="parquet")
+    assert outs["pipeline"].count() == 6
+    k8 = {r["award_number"]: r for r in outs["pipeline_test_all"].collect()}
+    assert (k8["A1"]["raw_document_amt"], k8["A1"]["new_document_amt"]) == (170.0, 340.0)
+    assert {r["period"] for r in outs["pipeline"].collect()} == {"FY24Q1"}
