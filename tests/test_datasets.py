@@ -213,3 +213,21 @@ def test_award_dates_typed_from_text(spark):
         "start_date string, end_date string, u_s_org_local string, period string")
     r = feeds.active_awards(raw).collect()[0]
     assert (r["start_date"], r["end_date"], r["total_estimated_cost"]) == (dt.date(2023, 10, 1), dt.date(2025, 9, 30), 5.0)
+
+
+def test_small_checks_k3_k5_k9_k10(spark):
+    active = spark.createDataFrame([("A1", "Act 1", "FY24Q1", 10.0), ("A1", "Act 1", "FY24Q2", 10.0),
+                                    ("A2", "Act 2", "FY24Q1", 5.0)], ACTIVE_SCHEMA)
+    plan = spark.createDataFrame([("A1", "FY24Q1", "HL.1", 1.0, None), ("A3", "FY24Q1", "HL.2", 1.0, None),
+                                  ("A2", "FY24Q1", None, 1.0, None)], PLAN_SCHEMA)
+    # K3: award-periods with no mapped plan area (no plan row, or a NULL area)
+    k3 = sorted((r["award_number"], r["period"]) for r in checks.missing_area(active, plan).collect())
+    assert k3 == [("A1", "FY24Q2"), ("A2", "FY24Q1")]
+    # K9 / K10
+    assert sorted(tuple(r) for r in checks.distinct_activities(active).collect()) == [("A1", "Act 1"), ("A2", "Act 2")]
+    assert [r["award_number"] for r in checks.plan_awards_not_active(plan, active).collect()] == ["A3"]
+    # K5: raw vs reported estimated cost (reported = distinct per award-period)
+    d1 = spark.createDataFrame([("A1", "FY24Q1", 10.0), ("A1", "FY24Q1", 10.0), ("A2", "FY24Q1", 4.0)],
+                               "award_number string, period string, total_estimated_cost double")
+    k5 = {(r["award_number"], r["period"]): r["TEA_diff"] for r in checks.recon_awards(active, d1).collect()}
+    assert k5 == {("A1", "FY24Q1"): 0.0, ("A1", "FY24Q2"): None, ("A2", "FY24Q1"): 1.0}

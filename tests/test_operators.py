@@ -124,3 +124,25 @@ def test_measured_keys_beyond_limit_not_broadcast(spark):
     ks = measure_keys(keys)
     assert not ks.broadcastable(limit=10)
     assert ks.broadcastable(limit=10_000)
+
+
+def test_max_all_numeric_a4(spark):
+    from fundflow.operators import max_all_numeric
+    df = spark.createDataFrame([("a", 1.0, None), ("a", 3.0, None), ("b", None, 2)], "k string, x double, n int")
+    out = {r["k"]: (r["x"], r["n"]) for r in max_all_numeric(df, ["k"]).collect()}
+    assert out == {"a": (3.0, None), "b": (None, 2)}
+
+
+def test_union_keys_distinct_q19(spark):
+    from fundflow.operators import key_set, union_keys
+    active = spark.createDataFrame([("A1",), ("A2",), (None,)], "award_number string")
+    expired = spark.createDataFrame([("A2",), ("E1",)], "award_number string")
+    assert sorted(r["award_number"] for r in union_keys(key_set(active), key_set(expired)).collect()) == \
+        ["A1", "A2", "E1"]
+
+
+def test_anti_join_j6(spark):
+    from fundflow.operators import anti_join_ns
+    a = spark.createDataFrame([("A1",), ("A3",), (None,)], "k string")
+    b = spark.createDataFrame([("A1",), ("A1",)], "k string")
+    assert sorted(r["k"] or "" for r in anti_join_ns(a, b, "k").collect()) == ["", "A3"]
