@@ -208,6 +208,12 @@ class DriverFlow:
 
     @cached_property
     def raw_award(self) -> DataFrame:
+        """The award extract both award lists are cut from -- the landed
+        award file of a real run -- written once per run when staging."""
+        if self.staged:
+            from fundflow.operators import stage
+            return self._once("raw_award", lambda: stage(
+                role_award(self.t("customer"), self.t("nation"), self.periods), "raw_award"))
         return self._memo("raw_award", lambda: role_award(self.t("customer"), self.t("nation"), self.periods))
 
     @cached_property
