@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fundflow.config import DEFAULT, LEDGER_HEADER_DRIFT, PLAN_HEADER_DRIFT, FlowConfig
 from fundflow.operators import key_set, latest_period, measure_keys, stage, union_keys
 from fundflow.plans import checks, datasets, feeds
-from fundflow.sources import read_csv_folder, read_parquet_folder, write_csv, write_parquet
+from fundflow.sources import read_csv_folder, read_parquet_folder, read_period_table, write_csv, write_parquet
 
 FEED_FOLDERS = {
     "active": "active_awards",
@@ -50,6 +50,8 @@ class Landing:
         folder = f"{self.root.rstrip('/')}/{FEED_FOLDERS[feed]}"
         if self.fmt == "parquet":
             return read_parquet_folder(self.spark, folder, drift)
+        if self.fmt == "table":          # period-partitioned tables written by the streaming ingest
+            return read_period_table(self.spark, folder, drift)
         return read_csv_folder(self.spark, folder, drift)
 
 
@@ -113,7 +115,7 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="One quarterly run: landing folders -> reporting datasets + checks")
     ap.add_argument("landing")
     ap.add_argument("out")
-    ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    ap.add_argument("--format", default="csv", choices=["csv", "parquet", "table"])
     ap.add_argument("--out-format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--sector", default=DEFAULT.active_sector)
     ap.add_argument("--expired-from-active-folder", action="store_true")

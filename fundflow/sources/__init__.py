@@ -6,6 +6,7 @@ from fundflow.sources.landing import (
     read_csv_file,
     read_csv_folder,
     read_parquet_folder,
+    read_period_table,
     tag_period,
     union_all_by_name,
 )
@@ -13,6 +14,6 @@ from fundflow.sources.sinks import read_csv_output, write_csv, write_parquet
 
 __all__ = [
     "clean_name", "clean_names", "list_files", "normalize_headers", "read_csv_file",
-    "read_csv_folder", "read_csv_output", "read_parquet_folder", "rename_drift", "tag_period",
+    "read_csv_folder", "read_csv_output", "read_parquet_folder", "read_period_table", "rename_drift", "tag_period",
     "union_all_by_name", "write_csv", "write_parquet",
 ]

@@ -19,7 +19,7 @@ def landing(root):
     serial = str((dt.date(2023, 11, 15) - dt.date(1899, 12, 30)).days)
     _csv(f"{root}/active_awards", "FY24Q1_Active Awards.csv",
          ["Sector", "Sub Sector", "Activity Name", "Award Number", "Total Estimated Cost", "U.S. Org (Local)"],
-         [["IHO", "AFG", "Act 1", " A1 ", "1000"], ["IHO", "AFG", "Act 9 MEL", "A9", "5"]])
+         [["IHO", "AFG", "Act 1", " A1 ", "1000", "US"], ["IHO", "AFG", "Act 9 MEL", "A9", "5", "US"]])
     _csv(f"{root}/expired_awards", "FY24Q1_Expired Awards.csv",
          ["Sector", "Sub Sector", "Activity Name", "Award Number", "U.S. Org (Local)"],
          [["IHO", "PCMD", "Old", "E1", "US"]])
@@ -88,3 +88,34 @@ def test_run_quarter_parquet_landing(spark, scratch):
     k8 = {r["award_number"]: r for r in outs["pipeline_test_all"].collect()}
     assert (k8["A1"]["raw_document_amt"], k8["A1"]["new_document_amt"]) == (170.0, 340.0)
     assert {r["period"] for r in outs["pipeline"].collect()} == {"FY24Q1"}
+
+
+def test_streamed_tables_feed_the_run(spark, scratch):
+    """Period files ingested incrementally into period-partitioned tables,
+    then one run over those tables (format "table")."""
+    from fundflow.plans.run import FEED_FOLDERS
+    from fundflow.streaming import ingest_new_period_files
+
+    csv_root = os.path.join(scratch, "csv")
+    landing(csv_root)
+    pq_root, tables = os.path.join(scratch, "pq"), os.path.join(scratch, "tables")
+    import pyarrow.csv as pcsv
+    import pyarrow.parquet as pq
+
+    for feed in FEED_FOLDERS.values():
+        src, dst = os.path.join(csv_root, feed), os.path.join(pq_root, feed)
+        os.makedirs(dst)
+        rows = 0
+        for name in os.listdir(src):
+            t = pcsv.read_csv(os.path.join(src, name),
+                              convert_options=pcsv.ConvertOptions(strings_can_be_null=True))
+            t = t.cast(__import__("pyarrow").schema([(c, __import__("pyarrow").string()) for c in t.column_names]))
+            pq.write_table(t, os.path.join(dst, name.replace(".csv", ".parquet")))
+            rows += t.num_rows
+        schema = spark.read.parquet(dst).schema
+        n = ingest_new_period_files(spark, dst, os.path.join(tables, feed), schema,
+                                    feed, checkpoint=os.path.join(scratch, "ckpt", feed))
+        assert n == rows
+    outs = build(spark, tables, fmt="table")
+    assert outs["pipeline"].count() == 6
+    assert [r["award_number"] for r in outs["expired_awards"].collect()] == ["E1"]
