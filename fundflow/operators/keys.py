@@ -2,9 +2,11 @@
 
 The source pulls key vectors to the client and tests membership with
 ``%in%``.  Here a key set is a one-column distinct DataFrame and membership
-is a join, so nothing is collected and the set may be any size: AQE turns
-the join into a broadcast when the measured set is small, and keeps a
-sort-merge join (with skew splitting) when it is not.
+is a join, so nothing is collected and the set may be any size.  A key set
+measured with :func:`fundflow.operators.stage.measure_keys` is broadcast
+when its bound fits the broadcast limit; any other key set is left to the
+planner and AQE (sort-merge with skew splitting, or a broadcast chosen from
+runtime sizes).
 """
 
 from __future__ import annotations
