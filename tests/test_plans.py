@@ -59,3 +59,21 @@ def test_rollup_preaggregates_when_keys_unmeasured(spark):
     assert physical.index("SortMergeJoin") < physical.index(pre[0])
     # NULL candidates are salted (hash of the row) so they do not pile into one shuffle partition
     assert "xxhash64" in physical
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_operators_inside_whole_stage_codegen(spark, name):
+    """Static plan (adaptive planning off, so codegen stages are visible):
+    every projection, filter, aggregation and join is compiled."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            E.queries()[name](spark, SF).explain()
+        text = buf.getvalue()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    bad = [ln.strip() for ln in text.splitlines()
+           if re.search(r"\b(Project|Filter|HashAggregate|BroadcastHashJoin|SortMergeJoin)\b", ln)
+           and not re.search(r"\*\(\d+\)", ln)]
+    assert not bad, bad[:3]
