@@ -18,6 +18,8 @@ ColumnOrName = Column | str
 # "1,234", "n/a" or "12d" is not a number (Java's parser would accept "12d").
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 SPECIAL_NUMBER_TEXT = r"^\s*[+-]?(?i)(inf|infinity|nan)\s*$"
+# Hexadecimal integers ("0x1A") are numbers too.
+HEX_NUMBER_TEXT = r"^\s*([+-]?)0[xX]([0-9a-fA-F]+)\s*$"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -35,11 +37,15 @@ def text_to_number(c: ColumnOrName) -> Column:
 
     ANSI casts raise on bad text and ``try_cast`` accepts Java suffixes
     ("1d", "1f"), so the text is checked against a pattern first.
+    Hexadecimal integers ("0x1A", "-0xff") are read as numbers.
     """
     c = _col(c)
     plain = c.rlike(NUMBER_TEXT)
     special = c.rlike(SPECIAL_NUMBER_TEXT)
-    return F.when(plain | special, F.trim(c).try_cast("double"))
+    sign = F.when(F.regexp_extract(c, HEX_NUMBER_TEXT, 1) == F.lit("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
+    hex_value = F.conv(F.regexp_extract(c, HEX_NUMBER_TEXT, 2), 16, 10).try_cast("double") * sign
+    return (F.when(plain | special, F.trim(c).try_cast("double"))
+             .when(c.rlike(HEX_NUMBER_TEXT), hex_value))
 
 
 def as_number(df: DataFrame, names: Iterable[str]) -> DataFrame:

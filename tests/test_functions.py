@@ -79,9 +79,10 @@ def test_trim_all_whitespace_n12(spark):
 
 def test_text_to_number_n9_n10(spark):
     df = spark.createDataFrame([("12.5",), (" 7 ",), ("1,234",), ("n/a",), ("1d",), ("1f",), ("1e3",),
-                                ("-.5",), ("",), (None,), ("\t5\n",), ("\x1c5",)], "s string")
+                                ("-.5",), ("",), (None,), ("\t5\n",), ("\x1c5",),
+                                ("0x1A",), (" -0xff ",), ("0x",), ("0xZZ",)], "s string")
     out = col_values(df.select(text_to_number("s").alias("x")), "x")
-    assert out == [12.5, 7.0, None, None, None, None, 1000.0, -0.5, None, None, 5.0, None]
+    assert out == [12.5, 7.0, None, None, None, None, 1000.0, -0.5, None, None, 5.0, None, 26.0, -255.0, None, None]
 
 
 def test_parse_ymd_layouts(spark):

@@ -67,7 +67,8 @@ NUM = re.compile(rf"^{WS}*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?{WS}*
 @SETTINGS
 @given(st.lists(st.one_of(st.floats(allow_nan=False, allow_infinity=False, width=32).map(repr),
                           st.integers(-10**6, 10**6).map(str),
-                          st.sampled_from(["1,234", "n/a", "7d", "1f", "", " 12 ", "1e3", ".5", "5.", "-0", "\t5\n", "\x1c5"]),
+                          st.sampled_from(["1,234", "n/a", "7d", "1f", "", " 12 ", "1e3", ".5", "5.", "-0", "\t5\n", "\x1c5",
+                                           "0x1A", "-0xff", "0x"]),
                           st.text(max_size=6)),
                 min_size=1, max_size=40))
 def test_text_to_number_matches_python(spark, texts):
@@ -78,6 +79,8 @@ def test_text_to_number_matches_python(spark, texts):
             assert x == float(t.strip(" \t\n\x0b\f\r"))
         elif re.fullmatch(rf"{WS}*[+-]?(?i:inf|infinity|nan){WS}*", t):
             continue
+        elif m := re.fullmatch(rf"{WS}*([+-]?)0[xX]([0-9a-fA-F]+){WS}*", t):
+            assert x == (-1 if m.group(1) == "-" else 1) * int(m.group(2), 16)
         else:
             assert x is None, (t, x)
 
