@@ -231,3 +231,27 @@ def test_small_checks_k3_k5_k9_k10(spark):
                                "award_number string, period string, total_estimated_cost double")
     k5 = {(r["award_number"], r["period"]): r["TEA_diff"] for r in checks.recon_awards(active, d1).collect()}
     assert k5 == {("A1", "FY24Q1"): 0.0, ("A1", "FY24Q2"): None, ("A2", "FY24Q1"): 1.0}
+
+
+def test_reconciliation_invariants(spark):
+    """SURVEY §5.4: with one activity name, one plan row per (award, period,
+    area), at most one comment, one agreement per area and every transaction
+    area in the ledger, the K6 and K8 differences are all zero."""
+    active = spark.createDataFrame([("A1", "Act 1", "FY24Q1", 10.0), ("A1", "Act 1", "FY24Q2", 10.0),
+                                    ("A2", "Act 2", "FY24Q1", 5.0)], ACTIVE_SCHEMA)
+    ledger = spark.createDataFrame([
+        ("A1", "FY24Q1", "HL.1", "B1", 100.0, 10.0, 5.0, 1.0, 0.0, 11.0),
+        ("A1", "FY24Q1", "HL.2", "B2", 50.0, 5.0, 2.0, 2.0, 0.0, 7.0),
+        ("A1", "FY24Q2", "HL.1", "B1", 30.0, 3.0, 1.0, 3.0, 0.0, 6.0),
+        ("A2", "FY24Q1", "HL.3", "B3", 20.0, 2.0, 1.0, 4.0, 0.0, 6.0)], LEDGER_SCHEMA)
+    plan = spark.createDataFrame([("A1", "FY24Q1", "HL.1", 7.0, "only comment"), ("A1", "FY24Q1", "HL.2", 8.0, None),
+                                  ("A2", "FY24Q1", "HL.3", 9.0, None)], PLAN_SCHEMA)
+    txn = spark.createDataFrame([("A1", "FY24Q1", "HL.1", 12.0, 12.0, 0.0, 4.0, 12.0),
+                                 ("A1", "FY24Q2", "HL.1", 3.0, 3.0, 0.0, 1.0, 3.0),
+                                 ("A2", "FY24Q1", "HL.3", 4.0, 0.0, 4.0, 0.0, 0.0)], TXN_SCHEMA)
+    d1 = datasets.pipeline_dataset(active, ledger, plan, txn)
+    for r in checks.recon_txn_pipeline(txn, active, d1).collect():
+        assert r["transaction_diff"] == 0.0, r
+    for r in checks.recon_ledger(ledger, active, d1).collect():
+        assert (r["document_dif"], r["disbursement_dif"], r["last_qtr_accrual_diff"], r["undisbursed_diff"]) == \
+            (0.0, 0.0, 0.0, 0.0), r
