@@ -18,6 +18,7 @@ from fundflow.operators import (
     latest_period,
     left_join_ns,
     lenient_sum,
+    semi_join_ns,
     running_total,
     sum_all_numeric,
     zero_fill_numeric,
@@ -51,16 +52,20 @@ def pipeline_dataset(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn:
     name added, and the plan comments of each award-period spread to all
     its rows (one row per distinct comment).
 
-    The distinct comments are taken before the transaction join: a left
+    The distinct comments are taken without the transaction join (a left
     join neither drops rows nor changes (award, period, comment), so the
-    set is the same, and the comment branch does not re-run the
+    set is the same), so the comment branch does not re-run the
     transaction roll-up.
     """
-    df = left_join_ns(active, ledger, AP)
-    df = left_join_ns(df, plan, APA)
+    base = left_join_ns(active, ledger, AP)
+    df = left_join_ns(base, plan, APA)
     comments = None
-    if "comments" in df.columns:
-        comments = df.select(*AP, "comments").dropna(subset=["comments"]).distinct()
+    if "comments" in plan.columns:
+        # A comment reaches the joined frame iff its plan row matches some
+        # (award, period, area) of active LEFT ledger: a semi join gives that
+        # set without fanning plan rows out over ledger agreements first.
+        commented = plan.select(*APA, "comments").dropna(subset=["comments"])
+        comments = semi_join_ns(commented, base.select(*APA), APA).select(*AP, "comments").distinct()
         df = df.drop("comments")
     df = left_join_ns(df, txn, APA)
     df = zero_fill_numeric(df)
