@@ -6,6 +6,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 CSV_OPTIONS = {
     "header": "true",
@@ -17,8 +19,23 @@ CSV_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header, NULL written as ``NA``."""
+def integral_doubles_plain(df: DataFrame) -> DataFrame:
+    """Floating columns as text the way the source writes them: whole
+    numbers without a trailing ``.0`` (``5`` not ``5.0``); other values keep
+    Spark's shortest round-trip form; NaN / infinities unchanged."""
+    cols = {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            c = F.col(f.name)
+            whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e15))
+            cols[f.name] = F.when(whole, c.cast("long").cast("string")).otherwise(c.cast("string"))
+    return df.withColumns(cols) if cols else df
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", plain_whole_numbers: bool = True) -> None:
+    """CSV with a header, NULL written as ``NA``; whole doubles as ``5``."""
+    if plain_whole_numbers:
+        df = integral_doubles_plain(df)
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 

@@ -67,3 +67,16 @@ def test_csv_sink_roundtrip(spark, scratch):
     assert "NA" in text and '"say \\"hi\\", ok"' in text or '"say ""hi"", ok"' in text
     back = read_csv_output(spark, out, "k int, s string, x double")
     assert sorted(tuple(r) for r in back.collect()) == [(1, None, 2.5), (2, 'say "hi", ok', None)]
+
+
+def test_csv_whole_numbers_plain(spark, scratch):
+    df = spark.createDataFrame([(1, 5.0), (2, 2.5), (3, -0.0), (4, None), (5, 1e20), (6, float("nan"))],
+                               "k int, x double")
+    out = os.path.join(scratch, "nums")
+    write_csv(df, out)
+    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.endswith(".csv"))
+    lines = sorted(text.strip().splitlines())
+    assert "1,5" in lines and "2,2.5" in lines and "3,0" in lines and "4,NA" in lines
+    assert "5,1.0E20" in lines and "6,NaN" in lines
+    back = {r["k"]: r["x"] for r in read_csv_output(spark, out, "k int, x double").collect()}
+    assert back[1] == 5.0 and back[2] == 2.5 and back[4] is None
