@@ -40,11 +40,16 @@ FEED_FOLDERS = {
 }
 
 
+# Feeds exported from spreadsheets (a banner row may sit above the header).
+SPREADSHEET_FEEDS = ("active", "expired", "closeout", "plan")
+
+
 @dataclass
 class Landing:
     spark: SparkSession
     root: str
     fmt: str = "csv"
+    skip_rows: int = 0
 
     def read(self, feed: str, drift=()) -> DataFrame:
         folder = f"{self.root.rstrip('/')}/{FEED_FOLDERS[feed]}"
@@ -52,14 +57,16 @@ class Landing:
             return read_parquet_folder(self.spark, folder, drift)
         if self.fmt == "table":          # period-partitioned tables written by the streaming ingest
             return read_period_table(self.spark, folder, drift)
-        return read_csv_folder(self.spark, folder, drift)
+        skip = self.skip_rows if feed in SPREADSHEET_FEEDS else 0
+        return read_csv_folder(self.spark, folder, drift, skip_rows=skip)
 
 
 def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt: str = "csv",
-          expired_from_active_folder: bool = False) -> dict[str, DataFrame]:
+          expired_from_active_folder: bool = False, skip_rows: int = 0) -> dict[str, DataFrame]:
     """Every feed, dataset and check of one run as DataFrames (shared
-    intermediates already staged)."""
-    land = Landing(spark, landing_root, fmt)
+    intermediates already staged).  ``skip_rows`` banner lines are skipped
+    in the CSV exports of the four spreadsheet feeds."""
+    land = Landing(spark, landing_root, fmt, skip_rows)
     raw_active = land.read("active")
     raw_expired = raw_active if expired_from_active_folder else land.read("expired")
     active = stage(feeds.active_awards(raw_active, cfg), "active")
@@ -92,9 +99,10 @@ WRITTEN = ("pipeline", "transaction", "expired_awards", "awards_exist", "program
 
 
 def run_quarter(spark: SparkSession, landing_root: str, out_root: str, cfg: FlowConfig = DEFAULT,
-                fmt: str = "csv", out_fmt: str = "csv", expired_from_active_folder: bool = False) -> list[str]:
+                fmt: str = "csv", out_fmt: str = "csv", expired_from_active_folder: bool = False,
+                skip_rows: int = 0) -> list[str]:
     """Build and write the eight outputs of a run; returns their paths."""
-    outs = build(spark, landing_root, cfg, fmt, expired_from_active_folder)
+    outs = build(spark, landing_root, cfg, fmt, expired_from_active_folder, skip_rows)
     paths = []
     for name in WRITTEN:
         path = f"{out_root.rstrip('/')}/{name}"
@@ -120,6 +128,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sector", default=DEFAULT.active_sector)
     ap.add_argument("--expired-from-active-folder", action="store_true")
     ap.add_argument("--lenient-ledger", action="store_true", help="sum ledger amounts skipping NULLs")
+    ap.add_argument("--skip-rows", type=int, default=0, help="banner rows above the header of spreadsheet CSVs")
     args = ap.parse_args(argv)
     from dataclasses import replace
 
@@ -127,7 +136,7 @@ def main(argv: list[str] | None = None) -> None:
                   strict_ledger_sum=not args.lenient_ledger)
     spark = get_spark()
     for p in run_quarter(spark, args.landing, args.out, cfg, args.format, args.out_format,
-                         args.expired_from_active_folder):
+                         args.expired_from_active_folder, args.skip_rows):
         print(p)
 
 

@@ -119,3 +119,19 @@ def test_streamed_tables_feed_the_run(spark, scratch):
     outs = build(spark, tables, fmt="table")
     assert outs["pipeline"].count() == 6
     assert [r["award_number"] for r in outs["expired_awards"].collect()] == ["E1"]
+
+
+def test_run_with_banner_rows(spark, scratch):
+    """Spreadsheet exports with a title row above the header (the source skips one row)."""
+    root = os.path.join(scratch, "landing")
+    landing(root)
+    for feed in ("active_awards", "expired_awards", "close_out_tracker", "subobligation_summary"):
+        folder = os.path.join(root, feed)
+        for name in os.listdir(folder):
+            p = os.path.join(folder, name)
+            body = open(p).read()
+            with open(p, "w") as fh:
+                fh.write("Quarterly extract - do not edit\n" + body)
+    outs = build(spark, root, skip_rows=1)
+    assert outs["pipeline"].count() == 6
+    assert [r["award_number"] for r in outs["expired_awards"].collect()] == ["E1"]

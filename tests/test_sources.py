@@ -80,3 +80,13 @@ def test_csv_whole_numbers_plain(spark, scratch):
     assert "5,1.0E20" in lines and "6,NaN" in lines
     back = {r["k"]: r["x"] for r in read_csv_output(spark, out, "k int, x double").collect()}
     assert back[1] == 5.0 and back[2] == 2.5 and back[4] is None
+
+
+def test_csv_banner_rows_skipped(spark, scratch):
+    folder = os.path.join(scratch, "awards")
+    os.makedirs(folder)
+    _write(os.path.join(folder, "FY24Q1_Active.csv"),
+           "Active Awards report\nSector,Award Number,Activity Name\nIHO, A1 ,\"Name, with comma\"\nIHO,A2,\n")
+    df = read_csv_folder(spark, folder, skip_rows=1)
+    got = sorted((r["sector"], r["award_number"], r["activity_name"], r["period"]) for r in df.collect())
+    assert got == [("IHO", " A1 ", "Name, with comma", "FY24Q1"), ("IHO", "A2", None, "FY24Q1")]
