@@ -33,3 +33,26 @@ def test_incremental_ingest_exactly_once(spark, scratch):
     df = spark.read.parquet(table)
     got = sorted((r["award_number"], r["period"]) for r in df.collect())
     assert got == [("A1", "FY24Q1"), ("A1", "FY24Q2"), ("A2", "FY24Q1"), ("A3", "FY24Q3")]
+
+
+def test_incremental_ingest_csv(spark, scratch):
+    from fundflow.schemas import LEDGER, landing_schema
+
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    raw_names = ["Award Number", "Document Amt"]
+    schema = landing_schema(LEDGER)
+    st = type(schema)([f for f in schema.fields if f.name in ("award_number", "document_amt")])
+    st = type(schema)([type(f)(n, f.dataType, True) for n, f in zip(raw_names, st.fields)])
+
+    def land(name, rows):
+        with open(os.path.join(landing, name), "w") as fh:
+            fh.write(",".join(raw_names) + "\n" + "".join(f"{a},{b}\n" for a, b in rows))
+
+    land("FY24Q1_ledger.csv", [("A1", "5"), ("A2", "1,5")])
+    table, ckpt = os.path.join(scratch, "table"), os.path.join(scratch, "ckpt")
+    assert ingest_new_period_files(spark, landing, table, st, "csv_ledger", fmt="csv", checkpoint=ckpt) == 2
+    land("FY24Q2_ledger.csv", [("A3", "7")])
+    assert ingest_new_period_files(spark, landing, table, st, "csv_ledger", fmt="csv", checkpoint=ckpt) == 1
+    got = sorted((r["award_number"], r["document_amt"], r["period"]) for r in spark.read.parquet(table).collect())
+    assert got == [("A1", "5", "FY24Q1"), ("A2", "1", "FY24Q1"), ("A3", "7", "FY24Q2")]
