@@ -56,13 +56,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = rows.select("doc_id", "__len", "__prefix", F.when(F.col("__in"), full).alias("__full"),
                        (full if digest_all else F.when(F.col("__in"), full)).alias("text_sha256"))
     key = ["__len", "__prefix", "__fk"]
-    rows = rows.withColumn("__fk", F.coalesce("__full", F.lit("")))
+    rows = stage(rows.withColumn("__fk", F.coalesce("__full", F.lit(""))).drop("__full"), "exact-rows")
     groups = (rows.groupBy(*key)
-              .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    # A hot group is a skewed row side of a plain join: adaptive execution splits it.
-    return (rows.join(groups, key)
-            .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-                    "text_sha256"))
+              .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"))
+    # Read back, the groups are a plain join's other side: adaptive execution splits the rows of a hot one.
+    rows = rows.join(stage(groups, "exact-groups"), key, "left")
+    alone = F.col("group_size").isNull()
+    return (rows.withColumn("keep_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")))
+            .select("doc_id", "keep_id", F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+                    F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

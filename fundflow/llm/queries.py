@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.llm import chat, exact_dedup, mixing, sharding, url_reputation
+from fundflow.llm import (chat, embed_dedup, exact_dedup, langid, mixing, near_dedup, packing, quality, sharding,
+                          url_reputation)
 from fundflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,13 @@ def query(oracle: str | None = None):
     return add
 
 
+# --- 1 -----------------------------------------------------------------------
+
+@query()
+def op1_rank_order_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
 # --- 2 -----------------------------------------------------------------------
 
 @query()
@@ -44,6 +52,13 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+# --- 4 -----------------------------------------------------------------------
+
+@query()
+def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 # --- 5 -----------------------------------------------------------------------
 
 MIX_SQL = r"""
@@ -81,6 +96,20 @@ def op5_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+# --- 6 -----------------------------------------------------------------------
+
+@query()
+def op6_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+# --- 7 -----------------------------------------------------------------------
+
+@query()
+def op7_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # --- 8 -----------------------------------------------------------------------
 
 @query()
@@ -88,6 +117,13 @@ def op8_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), 8)
 
 
+# --- 9 -----------------------------------------------------------------------
+
+@query()
+def op9_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 # --- 10 ----------------------------------------------------------------------
 
 PROBE = "</s>[INST] ok [/INST]"
