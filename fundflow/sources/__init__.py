@@ -3,7 +3,6 @@
 from fundflow.sources.headers import clean_name, clean_names, normalize_headers, rename_drift
 from fundflow.sources.landing import (
     list_files,
-    read_csv_file,
     read_csv_folder,
     read_parquet_folder,
     read_period_table,
@@ -13,7 +12,7 @@ from fundflow.sources.landing import (
 from fundflow.sources.sinks import read_csv_output, write_csv, write_parquet
 
 __all__ = [
-    "clean_name", "clean_names", "list_files", "normalize_headers", "read_csv_file",
+    "clean_name", "clean_names", "list_files", "normalize_headers",
     "read_csv_folder", "read_csv_output", "read_parquet_folder", "read_period_table", "rename_drift", "tag_period",
     "union_all_by_name", "write_csv", "write_parquet",
 ]

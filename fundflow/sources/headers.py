@@ -11,6 +11,7 @@ import unicodedata
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def clean_name(name: str) -> str:
@@ -31,14 +32,18 @@ def clean_name(name: str) -> str:
 
 
 def clean_names(names: Iterable[str]) -> list[str]:
-    """Clean every header and make duplicates unique with ``_2``, ``_3``..."""
+    """Clean every header; a name already given gets ``_2``, ``_3``... until
+    it is unique, whatever the other headers are."""
     out: list[str] = []
-    seen: dict[str, int] = {}
+    taken: set[str] = set()
     for n in names:
-        base = clean_name(n)
-        k = seen.get(base, 0) + 1
-        seen[base] = k
-        out.append(base if k == 1 else f"{base}_{k}")
+        base = name = clean_name(n)
+        k = 1
+        while name in taken:
+            k += 1
+            name = f"{base}_{k}"
+        taken.add(name)
+        out.append(name)
     return out
 
 
@@ -49,6 +54,11 @@ def normalize_headers(df: DataFrame) -> DataFrame:
 
 def rename_drift(df: DataFrame, drift: Iterable[tuple[str, str]]) -> DataFrame:
     """Rename old header names to current ones; absent names are ignored.
-    Apply per file *before* a union, so old and new files line up."""
-    mapping = {old: new for old, new in drift if old in df.columns}
-    return df.withColumnsRenamed(mapping) if mapping else df
+    Where a scan merged old and new files, so that both names are there, the
+    two columns become one (a row has a value under one of them)."""
+    for old, new in drift:
+        if old in df.columns and new in df.columns:
+            df = df.withColumn(new, F.coalesce(F.col(new), F.col(old))).drop(old)
+        elif old in df.columns:
+            df = df.withColumnRenamed(old, new)
+    return df

@@ -8,16 +8,25 @@ the files not yet recorded in its checkpoint, tags them with their period
 a Parquet table partitioned by period -- exactly once, because the file
 sink commits through the same checkpoint.  Downstream batch steps then
 read the table and prune to the periods they need.
+
+A file is taken once: one delivered again under its old name is not read a
+second time, so a corrected file needs a new name (``FY24Q1_ledger_2.csv``) and
+the old rows removed, or a fresh table and checkpoint.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
+from fundflow.functions.text import period_from_filename
 from fundflow.operators.stage import shared_dir
-from fundflow.sources.headers import normalize_headers
-from fundflow.sources.landing import tag_period
+from fundflow.sources.headers import clean_names, normalize_headers
+from fundflow.sources.landing import CSV_READ, SOURCE_FILE, reject_long_rows, source_name, tag_period
+
+RAGGED = "__ragged"
 
 
 def ingest_new_period_files(
@@ -43,16 +52,41 @@ def ingest_new_period_files(
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     if fmt == "csv":
-        stream = reader.option("header", True).csv(landing_folder)
+        stream = _csv_stream(reader, landing_folder, schema)
     else:
-        stream = reader.parquet(landing_folder)
-    stream = tag_period(normalize_headers(stream))
-    query = (stream.writeStream.format("parquet")
-             .option("path", table_path)
-             .option("checkpointLocation", ckpt)
-             .partitionBy("period")
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+        stream = tag_period(normalize_headers(reader.parquet(landing_folder)))
+    # The row count below sums all progress reports of this run: keep every one.
+    retained = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(retained)
+    spark.conf.set(retained, str(2**31 - 1))
+    try:
+        query = _start(stream, table_path, ckpt)
+        query.awaitTermination()
+        return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    finally:
+        spark.conf.set(retained, before)
+
+
+def _csv_stream(reader: DataStreamReader, folder: str, schema: StructType) -> DataFrame:
+    """CSV files whose header is ``schema``'s (any other header is an error,
+    as is a row with more cells than it)."""
+    kept = StructType([*schema.fields, StructField(RAGGED, StringType())])
+    df = (reader.schema(kept).options(**CSV_READ).option("header", True).option("enforceSchema", False)
+          .option("columnNameOfCorruptRecord", RAGGED).csv(folder))
+    names = clean_names([f.name for f in schema.fields])
+    df = df.toDF(*names, RAGGED).withColumn(SOURCE_FILE, source_name())
+    # A ragged row comes with its text: too long if it has a cell after the last column.
+    cells = ", ".join(f"_c{i} string" for i in range(len(names) + 1))
+    after = F.from_csv(RAGGED, cells, CSV_READ)[f"_c{len(names)}"]
+    df = reject_long_rows(df, F.col(RAGGED).isNotNull() & after.isNotNull(), F.col(SOURCE_FILE)).drop(RAGGED)
+    return df.withColumn("period", period_from_filename(SOURCE_FILE))
+
+
+def _start(stream: DataFrame, table_path: str, ckpt: str) -> StreamingQuery:
+    return (stream.writeStream.format("parquet")
+            .option("path", table_path)
+            .option("checkpointLocation", ckpt)
+            .partitionBy("period")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start())

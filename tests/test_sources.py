@@ -1,5 +1,7 @@
 """Landing-folder scans, header handling and sinks (S1-S7) on real files."""
 
+import contextlib
+import io
 import os
 
 from pyspark.sql import functions as F
@@ -69,15 +71,18 @@ def test_csv_sink_roundtrip(spark, scratch):
     assert sorted(tuple(r) for r in back.collect()) == [(1, None, 2.5), (2, 'say "hi", ok', None)]
 
 
-def test_csv_whole_numbers_plain(spark, scratch):
-    df = spark.createDataFrame([(1, 5.0), (2, 2.5), (3, -0.0), (4, None), (5, 1e20), (6, float("nan"))],
+def test_csv_numbers_plain(spark, scratch):
+    df = spark.createDataFrame([(1, 5.0), (2, 2.5), (3, -0.0), (4, None), (5, 1e20), (6, float("nan")), (7, 12345678.9),
+                                (8, 0.0001), (9, -1.25e-7), (10, 123456789012.5), (11, -float("inf"))],
                                "k int, x double")
     out = os.path.join(scratch, "nums")
     write_csv(df, out)
     text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.endswith(".csv"))
     lines = sorted(text.strip().splitlines())
     assert "1,5" in lines and "2,2.5" in lines and "3,0" in lines and "4,NA" in lines
-    assert "5,1.0E20" in lines and "6,NaN" in lines
+    assert "5,100000000000000000000" in lines and "6,NaN" in lines
+    assert "7,12345678.9" in lines and "8,0.0001" in lines and "9,-0.000000125" in lines
+    assert "10,123456789012.5" in lines and "11,-Infinity" in lines
     back = {r["k"]: r["x"] for r in read_csv_output(spark, out, "k int, x double").collect()}
     assert back[1] == 5.0 and back[2] == 2.5 and back[4] is None
 
@@ -90,3 +95,78 @@ def test_csv_banner_rows_skipped(spark, scratch):
     df = read_csv_folder(spark, folder, skip_rows=1)
     got = sorted((r["sector"], r["award_number"], r["activity_name"], r["period"]) for r in df.collect())
     assert got == [("IHO", " A1 ", "Name, with comma", "FY24Q1"), ("IHO", "A2", None, "FY24Q1")]
+
+
+def test_csv_timestamps_in_utc(spark, scratch):
+    out = os.path.join(scratch, "out")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(1).select(F.timestamp_seconds(F.lit(1696118400)).alias("t"))   # 2023-10-01T00:00:00Z
+        write_csv(df, out)
+        back = read_csv_output(spark, out, "t timestamp").select(F.unix_timestamp("t")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.endswith(".csv"))
+    assert "2023-10-01T00:00:00Z" in text and back == 1696118400
+
+
+def test_unique_headers_for_any_input():
+    assert clean_names(["Amount", "Amount", "Amount 2"]) == ["amount", "amount_2", "amount_2_2"]
+
+
+def test_same_names_from_csv_and_parquet(spark, scratch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    csv_folder, pq_folder = os.path.join(scratch, "csv"), os.path.join(scratch, "pq")
+    os.makedirs(csv_folder)
+    os.makedirs(pq_folder)
+    _write(os.path.join(csv_folder, "FY24Q1_a.csv"), "Total Amt,total_amt\n1.0,2.0\n,4.0\n")
+    _write(os.path.join(csv_folder, "FY24Q2_a.csv"), "total_amt\n3.0\n")
+    pq.write_table(pa.table({"Total Amt": ["1.0", None], "total_amt": ["2.0", "4.0"]}),
+                   os.path.join(pq_folder, "FY24Q1_a.parquet"))
+    pq.write_table(pa.table({"total_amt": ["3.0"]}), os.path.join(pq_folder, "FY24Q2_a.parquet"))
+    got = [sorted(((r["period"], r["total_amt"], r["total_amt_2"]) for r in df.collect()), key=repr)
+           for df in (read_csv_folder(spark, csv_folder), read_parquet_folder(spark, pq_folder))]
+    assert got[0] == got[1] == [("FY24Q1", "1.0", "2.0"), ("FY24Q1", None, "4.0"), ("FY24Q2", "3.0", None)]
+
+
+def test_parquet_period_folder_with_partitions(spark, scratch):
+    folder = os.path.join(scratch, "ledger")
+    spark.createDataFrame([("A1", "656-M"), ("A2", "a/b")], "award_number string, dist string") \
+        .write.partitionBy("dist").parquet(os.path.join(folder, "FY24Q1_ledger.parquet"))
+    got = sorted((r["award_number"], r["dist"], r["period"], r["source_file"])
+                 for r in read_parquet_folder(spark, folder).collect())
+    assert got == [("A1", "656-M", "FY24Q1", "FY24Q1_ledger.parquet"), ("A2", "a/b", "FY24Q1", "FY24Q1_ledger.parquet")]
+
+
+def test_csv_row_longer_than_the_header_is_refused(spark, scratch):
+    import pytest
+    for skip in (0, 1):
+        folder = os.path.join(scratch, f"t{skip}")
+        os.makedirs(folder)
+        _write(os.path.join(folder, "FY24Q1_a.csv"), "banner\n" * skip + "Award Number,Amount\nA1,1,5\n")
+        with pytest.raises(Exception, match="more cells than the header"):
+            read_csv_folder(spark, folder, skip_rows=skip).collect()
+
+
+def test_csv_jobs_do_not_grow_with_files(spark, scratch):
+    """Files of one layout share one scan, and one job reads all headers."""
+    jobs, scans = [], []
+    for n in (2, 12):
+        folder = os.path.join(scratch, f"n{n}")
+        os.makedirs(folder)
+        for i in range(n):
+            _write(os.path.join(folder, f"FY{10 + i}Q1_a.csv"), f"Award Number,Amount\nA{i},{i}\n")
+        group = f"jobs-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        df = read_csv_folder(spark, folder)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        scans.append(len(df.inputFiles()))
+        plan = io.StringIO()
+        with contextlib.redirect_stdout(plan):
+            df.explain()
+        assert plan.getvalue().count("FileScan csv") == 1
+        assert df.count() == n
+    assert jobs[0] == jobs[1] and scans == [2, 12]

@@ -49,10 +49,65 @@ def test_incremental_ingest_csv(spark, scratch):
         with open(os.path.join(landing, name), "w") as fh:
             fh.write(",".join(raw_names) + "\n" + "".join(f"{a},{b}\n" for a, b in rows))
 
-    land("FY24Q1_ledger.csv", [("A1", "5"), ("A2", "1,5")])
+    land("FY24Q1_ledger.csv", [("A1", "5"), ("A2", '"say ""hi"", ok"')])
     table, ckpt = os.path.join(scratch, "table"), os.path.join(scratch, "ckpt")
     assert ingest_new_period_files(spark, landing, table, st, "csv_ledger", fmt="csv", checkpoint=ckpt) == 2
     land("FY24Q2_ledger.csv", [("A3", "7")])
     assert ingest_new_period_files(spark, landing, table, st, "csv_ledger", fmt="csv", checkpoint=ckpt) == 1
     got = sorted((r["award_number"], r["document_amt"], r["period"]) for r in spark.read.parquet(table).collect())
-    assert got == [("A1", "5", "FY24Q1"), ("A2", "1", "FY24Q1"), ("A3", "7", "FY24Q2")]
+    assert got == [("A1", "5", "FY24Q1"), ("A2", 'say "hi", ok', "FY24Q1"), ("A3", "7", "FY24Q2")]
+
+
+def test_csv_rows_longer_than_the_header_stop_the_ingest(spark, scratch):
+    import pytest
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    schema = StructType([StructField("Award Number", StringType()), StructField("Document Amt", StringType())])
+
+    def run(name, text):
+        with open(os.path.join(landing, name), "w") as fh:
+            fh.write(text)
+        return ingest_new_period_files(spark, landing, os.path.join(scratch, "t"), schema, "x", fmt="csv",
+                                       checkpoint=os.path.join(scratch, "c"))
+
+    assert run("FY24Q1_a.csv", "Award Number,Document Amt\nA1\nA2,2\n") == 2  # a short row has NULLs
+    with pytest.raises(Exception, match="more cells than the header"):
+        run("FY24Q2_a.csv", "Award Number,Document Amt\nA1,1,5\n")
+    os.remove(os.path.join(landing, "FY24Q2_a.csv"))
+
+
+def test_csv_header_other_than_the_schema_stops_the_ingest(spark, scratch):
+    import pytest
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    schema = StructType([StructField("Award Number", StringType()), StructField("Document Amt", StringType())])
+    with open(os.path.join(landing, "FY24Q1_a.csv"), "w") as fh:
+        fh.write("Document Amt,Award Number\n1,A1\n")
+    with pytest.raises(Exception, match="header"):
+        ingest_new_period_files(spark, landing, os.path.join(scratch, "t"), schema, "x", fmt="csv",
+                                checkpoint=os.path.join(scratch, "c"))
+
+
+def test_row_count_over_many_batches(spark, scratch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    for i in range(6):
+        pq.write_table(pa.table({"Award Number": [f"A{i}"]}), os.path.join(landing, f"FY24Q1_{i}.parquet"))
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        n = ingest_new_period_files(spark, landing, os.path.join(scratch, "t"),
+                                    StructType([StructField("Award Number", StringType())]), "x",
+                                    checkpoint=os.path.join(scratch, "c"), max_files_per_batch=1)
+        assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "2"
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert n == 6
