@@ -1,9 +1,11 @@
 """DataFrame operators: NULL-safe joins, numeric roll-ups, key handling."""
 
 from fundflow.operators.aggs import (
+    at_latest,
     combine_sums,
     partial_sums,
     latest_period,
+    latest_value,
     lenient_sum,
     max_all_numeric,
     nan_to_null,
@@ -27,7 +29,7 @@ from fundflow.operators.stage import KeySet, measure_keys, shared_dir, stage
 
 __all__ = [
     "KeySet", "can_broadcast", "combine_sums", "keys_df", "measure_keys", "partial_sums",
-    "shared_dir", "stage",
+    "at_latest", "latest_value", "shared_dir", "stage",
     "anti_join_ns", "full_join_ns", "in_keys", "join_ns", "key_set", "latest_period",
     "left_join_ns", "lenient_sum", "max_all_numeric", "nan_to_null", "numeric_columns",
     "resolve_key", "round_doubles", "running_total", "semi_join_ns", "spread_attribute",

@@ -21,8 +21,13 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def lenient_sum(c: str) -> Column:
-    """Sum that skips NULLs; an all-NULL (or empty) group sums to 0."""
-    return F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    """Sum that skips NULLs and NaNs; a group without values sums to 0."""
+    return F.coalesce(F.sum(known(c)), F.lit(0)).alias(c)
+
+
+def known(c: str) -> Column:
+    """The value, NULL where it is NaN: missing either way."""
+    return F.when(~F.isnan(c), F.col(c))
 
 
 def strict_sum(c: str) -> Column:
@@ -42,20 +47,21 @@ def sum_all_numeric(df: DataFrame, keys: Sequence[str], strict: bool = False) ->
     return df.groupBy(*keys).agg(*[agg(c) for c in cols])
 
 
-def partial_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def partial_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str], strict: bool = False) -> DataFrame:
     """First stage of a two-level sum: per group, the sum and non-NULL
     count of each column plus the row count.  :func:`combine_sums` over a
-    coarser key then gives exactly the strict or lenient sum of the rows."""
+    coarser key then gives exactly the strict or lenient sum of the rows
+    (``strict`` in both: a lenient sum skips NaNs here already)."""
     aggs = []
     for c in cols:
-        aggs += [F.sum(c).alias(f"__s_{c}"), F.count(c).alias(f"__n_{c}")]
+        aggs += [F.sum(c if strict else known(c)).alias(f"__s_{c}"), F.count(c).alias(f"__n_{c}")]
     aggs.append(F.count(F.lit(1)).alias("__rows"))
     return df.groupBy(*keys).agg(*aggs)
 
 
 def combine_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str], strict: bool = False) -> DataFrame:
     """Second stage of :func:`partial_sums`: strict (NULL if any input row
-    was NULL) or lenient (NULLs skipped, all-NULL -> 0) sums."""
+    was NULL) or lenient (NULLs and NaNs skipped, none left -> 0) sums."""
     aggs = []
     for c in cols:
         s = F.sum(f"__s_{c}")
@@ -68,12 +74,12 @@ def combine_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str], strict
 
 def max_all_numeric(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Group by ``keys`` and take the max of every other numeric column
-    (NULLs skipped)."""
+    (NULLs and NaNs skipped)."""
     keys = list(keys)
     cols = numeric_columns(df, keys)
     if not cols:
         return df.select(*keys).distinct()
-    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
+    return df.groupBy(*keys).agg(*[F.max(known(c)).alias(c) for c in cols])
 
 
 def zero_fill_numeric(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
@@ -103,6 +109,20 @@ def latest_period(df: DataFrame, col: str = "period") -> DataFrame:
     return df.join(F.broadcast(top), F.col(col) == F.col(mx), "inner").drop(mx)
 
 
+def latest_value(df: DataFrame, col: str = "period") -> object:
+    """The column's maximum (NULLs skipped), by one aggregate job that reads
+    that column only -- of a table partitioned by it, no data column.  A
+    filter on the value prunes the partitions of other values."""
+    return df.agg(F.max(col)).first()[0]
+
+
+def at_latest(df: DataFrame, col: str = "period") -> DataFrame:
+    """:func:`latest_period` with the maximum as a literal: for written tables
+    partitioned by ``col``, of which only the latest partition is read."""
+    top = latest_value(df, col)
+    return df.filter(F.col(col) == F.lit(top)) if top is not None else df.limit(0)
+
+
 def running_total(
     df: DataFrame,
     value: str,

@@ -4,14 +4,14 @@ The source pulls key vectors to the client and tests membership with
 ``%in%``.  Here a key set is a one-column distinct DataFrame and membership
 is a join, so nothing is collected and the set may be any size.  A key set
 measured with :func:`fundflow.operators.stage.measure_keys` is broadcast
-when its bound fits the broadcast limit; any other key set is left to the
-planner and AQE (sort-merge with skew splitting, or a broadcast chosen from
-runtime sizes).
+when its bound fits the broadcast limit; any other key set is met in a
+shuffle join, salted where one key may be hot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +20,8 @@ from fundflow.operators.joins import semi_join_ns
 from fundflow.operators.stage import KeySet
 
 KEY = "award_number"
-# Salt for NULL join keys: a NUL-prefixed bucket number, never a real key.
-NULL_SALT = "\u0000"
-SALT_BUCKETS = 4096
+# Partitions over which one key's candidate rows are spread; the key set is read this many times over.
+SALT_BUCKETS = 16
 
 
 def keys_df(keys: DataFrame | KeySet) -> DataFrame:
@@ -71,40 +70,31 @@ def resolve_key(
 
     The source writes ``case_when(a %in% K ~ a, b %in% K ~ b, TRUE ~ c)``
     followed by ``filter(out %in% K)``: a row survives iff some candidate
-    is a member, and the chosen value is the first member.  One left join
-    per candidate adds a membership flag (the key set is distinct, so no
-    row is multiplied); the final filter needs no further join.
-
-    A measured key set within the broadcast limit is broadcast, so all the
-    flag joins run map-side in one stage; otherwise they are shuffle
-    joins, and callers should pre-aggregate ``df`` on the candidate
-    columns first (see :func:`fundflow.plans.feeds.transactions`).
+    is a member, and the chosen value is the first member.  With
+    ``keep_unmatched`` the other rows keep the last candidate.
+
+    A measured key set within the broadcast limit is broadcast: one left
+    join per candidate adds a membership flag, all map-side in one stage.
+
+    Any other key set is met once: the distinct candidate tuples are
+    exploded into (tuple, rank, candidate), joined to the key set, and the
+    least rank per tuple is joined back.  A hot key's candidates are spread
+    over ``SALT_BUCKETS`` partitions by a hash of their tuple, against as many
+    copies of the key set.  Callers should pre-aggregate ``df`` on the
+    candidate columns first (see :func:`fundflow.plans.feeds.transactions`).
     """
-    bc = can_broadcast(keys)
+    if not can_broadcast(keys):
+        return _resolve_large(df, keys_df(keys), list(candidates), out, keep_unmatched)
     # NULL is never a key (key sets are built from non-NULL values), so a
     # NULL candidate is simply "not a member"; plain equality then gives the
     # same result as a NULL-safe test.
     kdf = keys_df(keys).dropna()
-    if not bc:
-        # Shuffle joins would send every NULL candidate to one partition; give
-        # NULLs a salt that cannot equal a key, spread by a hash of the row.
-        df = df.withColumn("__salt", F.concat(F.lit(NULL_SALT),
-                                              (F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % SALT_BUCKETS)
-                                              .cast("string")))
     flags = []
     for i, c in enumerate(candidates):
         kcol, fcol = f"__key{i}", f"__hit{i}"
         right = kdf.select(F.col(KEY).alias(kcol)).withColumn(fcol, F.lit(True))
-        if bc:
-            cond = F.col(c) == F.col(kcol)
-            df = df.join(F.broadcast(right), cond, "left").drop(kcol)
-        else:
-            jcol = f"__jk{i}"
-            df = df.withColumn(jcol, F.coalesce(F.col(c), F.col("__salt")))
-            df = df.join(right, F.col(jcol) == F.col(kcol), "left").drop(kcol, jcol)
+        df = df.join(F.broadcast(right), F.col(c) == F.col(kcol), "left").drop(kcol)
         flags.append(fcol)
-    if not bc:
-        df = df.drop("__salt")
     chosen = None
     for c, f in zip(candidates, flags):
         chosen = F.when(F.col(f), F.col(c)) if chosen is None else chosen.when(F.col(f), F.col(c))
@@ -114,3 +104,19 @@ def resolve_key(
     else:
         hit = F.coalesce(*[F.col(f) for f in flags], F.lit(False))
     return df.filter(hit).withColumn(out, chosen).drop(*flags)
+
+
+def _resolve_large(df: DataFrame, keys: DataFrame, candidates: list[str], out: str, keep_unmatched: bool) -> DataFrame:
+    """:func:`resolve_key` by one salted shuffle join, for key sets of any size."""
+    tup = [f"__t{i}" for i in range(len(candidates))]
+    tuples = df.select([F.col(c).alias(t) for c, t in zip(candidates, tup)]).distinct()
+    ranked = (tuples.select(*tup, F.posexplode(F.array(*tup)).alias("__rank", KEY)).dropna(subset=[KEY])
+              .withColumn("__salt", F.pmod(F.xxhash64(*tup), F.lit(SALT_BUCKETS)).cast("int")))
+    salted = (keys.select(KEY).dropna().distinct()
+              .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1)))))
+    first = (ranked.join(salted, [KEY, "__salt"]).groupBy(*tup)
+             .agg(F.min(F.struct("__rank", KEY))[KEY].alias("__chosen")))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(t)) for c, t in zip(candidates, tup)])
+    got = df.join(first, same, "left" if keep_unmatched else "inner")
+    chosen = F.coalesce("__chosen", candidates[-1]) if keep_unmatched else F.col("__chosen")
+    return got.withColumn(out, chosen).drop("__chosen", *tup)

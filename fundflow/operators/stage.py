@@ -9,8 +9,10 @@ and the planner sees the real on-disk size of the table.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor can reach "
                                "(HDFS / object store) for staged tables")
         d = tempfile.mkdtemp(prefix="fundflow-ckpt-")
@@ -37,13 +39,15 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet to a fresh folder in the shared checkpoint
-    folder and return a DataFrame reading it back."""
+    folder and return a DataFrame reading it back, columns in their order."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/fundflow-stage/{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("error").partitionBy(*partition_by).parquet(path)
+    back = spark.read.parquet(path)
+    # Partition values are read from folder names, last and with a guessed type.
+    return back.select([F.col(f.name).cast(f.dataType) for f in df.schema.fields]) if partition_by else back
 
 
 @dataclass(frozen=True)
@@ -85,5 +89,5 @@ def broadcast_limit(spark: SparkSession) -> int:
 def measure_keys(keys: DataFrame, col: str = "award_number") -> KeySet:
     """Measure a key set (row count and widest key) with one small
     aggregate job, so a broadcast decision rests on a checked bound."""
-    r = keys.agg(F.count(F.lit(1)).alias("n"), F.max(F.length(col)).alias("w")).first()
+    r = keys.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length(col)).alias("w")).first()
     return KeySet(keys, int(r["n"] or 0), int(r["w"] or 0))
