@@ -171,6 +171,8 @@ class FlowConfig:
     # Strict (NULL-poisoning) ledger sums as in the source; False sums leniently.
     strict_ledger_sum: bool = True
     spotlight_area: str = SPOTLIGHT_AREA
+    # Amounts of the open-schema plan beyond PLAN_NUMERIC_COLUMNS.
+    plan_extra_amounts: tuple[str, ...] = ()
 
     def with_sectors(self, active: str, expired: str) -> "FlowConfig":
         from dataclasses import replace

@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from fundflow.config import EXCEL_ORIGIN, NULL_PERIOD_LABEL, SERIAL_OFFSET_DAYS
 from fundflow.functions.text import text_to_number
 
-# Layouts accepted for year-month-day text (first that parses wins).
-YMD_LAYOUTS = ("y-M-d", "y/M/d", "yyyyMMdd", "y.M.d", "y M d")
+# Year-month-day text: a four- or two-digit year, a month in digits or by its English name, a day; parts are set apart
+# by any other characters, or written together in fixed width.
+_YMD_APART = r"^[^0-9A-Za-z]*(\d{4}|\d{2})[^0-9A-Za-z]*(\d{1,2}|[A-Za-z]{3,9})[^0-9A-Za-z]+(\d{1,2})[^0-9A-Za-z]*$"
+_YMD_NAMED = r"^[^0-9A-Za-z]*(\d{4}|\d{2})[^0-9A-Za-z]*([A-Za-z]{3,9})[^0-9A-Za-z]*(\d{1,2})[^0-9A-Za-z]*$"
+_YMD_DIGITS = r"^[^0-9A-Za-z]*(\d{4}|\d{2})(\d{2})(\d{2})[^0-9A-Za-z]*$"
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november",
+          "december")
+# Two-digit years up to this one are 20yy, later ones 19yy.
+YEAR_PIVOT = 68
 
 
 def _col(c):
@@ -17,12 +24,24 @@ def _col(c):
 
 
 def parse_ymd(c, text: bool = True) -> Column:
-    """Year-month-day text -> date; unparseable text is NULL.  Pass
-    ``text=False`` for a column that is already a date or timestamp."""
+    """Year-month-day text -> date; unparseable text (a time of day included)
+    is NULL.  Two-digit years and English month names, short or full, are
+    read.  Pass ``text=False`` for a column that is already a date or
+    timestamp."""
     c = _col(c)
     if not text:
         return F.to_date(c)
-    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in YMD_LAYOUTS])
+    return F.coalesce(*[_ymd(c, p) for p in (_YMD_DIGITS, _YMD_APART, _YMD_NAMED)])
+
+
+def _ymd(c: Column, pattern: str) -> Column:
+    year, month, day = (F.regexp_extract(c, pattern, i) for i in (1, 2, 3))
+    short = F.concat(F.when(year.try_cast("int") <= YEAR_PIVOT, F.lit("20")).otherwise(F.lit("19")), year)
+    names = F.lower(month)
+    named = F.coalesce(*[F.when(names.isin(m, m[:3]), F.lit(f"{i:02d}")) for i, m in enumerate(MONTHS, 1)])
+    month = F.when(month.rlike("^[0-9]+$"), F.lpad(month, 2, "0")).otherwise(named)
+    text = F.concat_ws("-", F.when(F.length(year) == 2, short).otherwise(year), month, F.lpad(day, 2, "0"))
+    return F.when(c.rlike(pattern) & month.isNotNull(), F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def serial_to_date(c, offset_days: int = SERIAL_OFFSET_DAYS, text: bool = True) -> Column:

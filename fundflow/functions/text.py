@@ -81,6 +81,7 @@ def recode(c: ColumnOrName, pairs: Iterable[tuple[str, str]]) -> Column:
 
 def matches_any(c: ColumnOrName, fragments: Iterable[str]) -> Column:
     """Unanchored regex match against any fragment (fragments are matched
-    literally).  NULL input gives NULL, which filters treat as false."""
+    literally).  NULL input gives NULL, which filters treat as false.  Without
+    fragments nothing matches, NULL included."""
     pattern = "|".join(re.escape(f) for f in fragments)
-    return _col(c).rlike(pattern)
+    return _col(c).rlike(pattern) if pattern else F.lit(False)

@@ -15,7 +15,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType
+from pyspark.sql.types import DoubleType
 
 from fundflow.config import (
     ACTIVE_COLUMNS,
@@ -68,9 +68,13 @@ TXN_KEYS = ("award_number", "period", "program_area")
 LEDGER_KEYS = ("award_number", "period", "program_area", "bilateral_obl_number")
 
 
-def _present(df: DataFrame, names: Iterable[str]) -> list[str]:
-    have = set(df.columns)
-    return [n for n in names if n in have]
+def _declared(df: DataFrame, names: Iterable[str], feed: str) -> list[str]:
+    """``names``, all of which the landing must have."""
+    names = list(names)
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise ValueError(f"{feed}: columns missing from the landing: {', '.join(missing)}")
+    return names
 
 
 def text_ingest(df: DataFrame, keep: Iterable[str] = ("period", SOURCE_FILE)) -> DataFrame:
@@ -83,16 +87,8 @@ def text_ingest(df: DataFrame, keep: Iterable[str] = ("period", SOURCE_FILE)) ->
     return df.select([F.col(c) if c in keep else F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def _typed_dates(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Declared date columns landed as text (CSV) are parsed; typed ones
-    (dates / timestamps) are truncated to the date."""
-    types = dict(df.dtypes)
-    exprs = {n: parse_ymd(n, text=types[n] == "string") for n in names if n in types}
-    return df.withColumns(exprs) if exprs else df
-
-
 def _award_common(df: DataFrame, sector: str) -> DataFrame:
-    df = _typed_dates(df, typed_columns(schemas.ACTIVE, DateType))
+    """Start and end dates pass through as landed, like every column not named here."""
     return (df.filter(F.col("sector") == F.lit(sector))
               .withColumns({
                   "award_number": trim_ws("award_number"),
@@ -109,7 +105,7 @@ def active_awards(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     df = _award_common(raw, cfg.active_sector)
     df = as_number(df, typed_columns(schemas.ACTIVE, DoubleType))
     df = zero_fill_numeric(df)
-    df = df.select(*_present(df, ACTIVE_COLUMNS)).dropna(subset=["award_number"])
+    df = df.select(*_declared(df, ACTIVE_COLUMNS, "active awards")).dropna(subset=["award_number"])
     return df.filter(~matches_any("activity_name", cfg.remove_awards))
 
 
@@ -117,28 +113,33 @@ def expired_awards(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     """expired awards; like F1 but keeps ``sector``, no zero fill and no
     name exclusion."""
     df = _award_common(raw, cfg.expired_sector)
-    return df.select(*_present(df, EXPIRED_COLUMNS)).dropna(subset=["award_number"])
+    return df.select(*_declared(df, EXPIRED_COLUMNS, "expired awards")).dropna(subset=["award_number"])
 
 
 def close_out(raw: DataFrame) -> DataFrame:
     """close-out tracker rows with a trimmed, non-NULL key."""
     df = raw.withColumn("award_number", trim_ws("award_number"))
-    return df.select(*_present(df, CLOSEOUT_COLUMNS)).dropna(subset=["award_number"])
+    return df.select(*_declared(df, CLOSEOUT_COLUMNS, "close-out tracker")).dropna(subset=["award_number"])
 
 
 def plan(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     """sub-obligation plan, open schema.  Drops "Total" rows (and rows
     whose mechanism is NULL), maps area names to codes (unknown -> NULL),
     casts the known amount columns and the planned date, NaN -> NULL ->
-    0 in every numeric column.  Other columns pass through."""
+    0 in every numeric column.  Other columns pass through; amounts among
+    them that land as text (CSV) are named in ``cfg.plan_extra_amounts``, so
+    that one type holds for the whole feed.  Amounts the feed knows but the
+    landing lacks stay absent (the schema is open)."""
     df = rename_drift(raw, PLAN_HEADER_DRIFT)
     df = df.withColumn("award_number", trim_ws("award_number"))
     df = df.filter(F.col("implementing_mechanism") != F.lit("Total"))
     df = df.drop("filename", SOURCE_FILE, "implementing_mechanism").dropna(subset=["award_number"])
     df = df.withColumnRenamed("program_area", "program_area_name")
     df = df.withColumn("program_area", area_code_from_name("program_area_name"))
-    df = as_number(df, PLAN_NUMERIC_COLUMNS)
-    df = _typed_dates(df, [PLAN_DATE_COLUMN])
+    df = as_number(df, [*PLAN_NUMERIC_COLUMNS, *cfg.plan_extra_amounts])
+    kind = dict(df.dtypes).get(PLAN_DATE_COLUMN)
+    if kind:
+        df = df.withColumn(PLAN_DATE_COLUMN, parse_ymd(PLAN_DATE_COLUMN, text=kind == "string"))
     df = zero_fill_numeric(nan_to_null(df))
     return df.drop("program_area_name")
 
@@ -151,7 +152,7 @@ def ledger_lines(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     df = df.filter(F.col("obligation_type").isin(*cfg.event_types)
                    & F.col("distribution").isin(*cfg.distributions))
     extra = [c for c in ("period", SOURCE_FILE) if c in df.columns]
-    df = df.select(*_present(df, LEDGER_COLUMNS), *extra)
+    df = df.select(*_declared(df, LEDGER_COLUMNS, "ledger"), *extra)
     df = as_number(df, LEDGER_AMOUNT_COLUMNS)
     df = df.withColumn("program_area", area_from_element("program_element", "program_area"))
     return df.withColumn("total_disbursement_outlays",
@@ -181,7 +182,7 @@ def ledger(raw: DataFrame, all_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAU
         df = resolve_key(df, all_keys, LEDGER_CANDIDATES)
         out = sum_all_numeric(df.select(*keys, *measures), keys, strict=cfg.strict_ledger_sum)
     else:
-        pre = partial_sums(df, [*keys, "document_number"], measures)
+        pre = partial_sums(df, [*keys, "document_number"], measures, strict=cfg.strict_ledger_sum)
         pre = resolve_key(pre, all_keys, LEDGER_CANDIDATES)
         out = combine_sums(pre, keys, measures, strict=cfg.strict_ledger_sum)
     return out.drop(SOURCE_FILE) if SOURCE_FILE in keys else out
@@ -196,7 +197,7 @@ def transaction_measures(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame
     amount cast, date -> quarter start -> fiscal period, area code,
     conditional measures.  Keeps the three candidate key columns."""
     df = text_ingest(raw, keep=("period", SOURCE_FILE, "transaction_amt", "transaction_date"))
-    df = df.select(*_present(df, TXN_COLUMNS))
+    df = df.select(*_declared(df, TXN_COLUMNS, "transactions"))
     df = df.filter(F.col("distribution").isin(*cfg.distributions))
     serial_is_text = dict(df.dtypes).get("transaction_date") == "string"
     df = as_number(df, ["transaction_amt"])

@@ -9,6 +9,8 @@ landing schema up front; ``landing_schema`` gives the all-text one.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, D, DT = T.StringType(), T.DoubleType(), T.DateType()
@@ -38,8 +40,12 @@ TRANSACTIONS = _schema(("award_number", S), ("document_number", S), ("obl_docume
                        ("transaction_event_type", S), ("program_element", S), ("distribution", S),
                        ("program_area", S))
 
-FEEDS = {"active": ACTIVE, "expired": EXPIRED, "closeout": CLOSE_OUT, "plan": PLAN, "ledger": LEDGER,
-         "txn": TRANSACTIONS}
+
+def with_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Add the declared columns that ``df`` lacks, as NULLs: for a caller who
+    knows that a landing has no such column (a feed by itself refuses)."""
+    missing = [f for f in schema.fields if f.name not in df.columns]
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
 
 
 def typed_columns(schema: T.StructType, kind: type) -> list[str]:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fundflow.config import DEFAULT
 from fundflow.plans import checks, datasets, feeds
+from fundflow.schemas import ACTIVE, LEDGER, with_declared
 
 AP = ["award_number", "period"]
 LEDGER_SCHEMA = ("award_number string, period string, program_area string, bilateral_obl_number string, "
@@ -95,7 +96,7 @@ def test_active_feed_exclusion_g14(spark):
          ("IHO", "X", "Melon", None, 1.0, "US", "FY24Q1")],
         "sector string, sub_sector string, activity_name string, award_number string, "
         "total_estimated_cost double, u_s_org_local string, period string")
-    out = feeds.active_awards(raw, DEFAULT).collect()
+    out = feeds.active_awards(with_declared(raw, ACTIVE), DEFAULT).collect()
     assert [(r["award_number"], r["total_estimated_cost"], r["u_s_org_local"]) for r in out] == \
         [("A2", 0.0, "US/Int'l")]
 
@@ -126,13 +127,13 @@ def test_ledger_feed_strict_and_keys(spark):
         "disbursement_amt string, last_qtr_adj_amt string, undisbursed_amt string, pipeline_amt string, "
         "period string")
     keys = spark.createDataFrame([("A1",)], "award_number string")
-    out = {r["program_area"]: r for r in feeds.ledger(raw, keys).collect()}
+    out = {r["program_area"]: r for r in feeds.ledger(with_declared(raw, LEDGER), keys).collect()}
     assert set(out) == {"HL.1", "PO.2"}
     assert out["HL.1"]["document_amt"] is None            # '1,234' poisons the strict sum
     assert out["HL.1"]["last_qtr_accrual_amt"] == 10.0    # drifted header renamed
     assert out["PO.2"]["total_disbursement_outlays"] is None
     lenient = {r["program_area"]: r for r in
-               feeds.ledger(raw, keys, DEFAULT.__class__(strict_ledger_sum=False)).collect()}
+               feeds.ledger(with_declared(raw, LEDGER), keys, DEFAULT.__class__(strict_ledger_sum=False)).collect()}
     assert lenient["HL.1"]["document_amt"] == 10.0
 
 
@@ -162,9 +163,9 @@ def test_ledger_keeps_per_file_grain_q22(spark):
         "disbursement_amt string, last_qtr_accrual_amt string, undisbursed_amt string, pipeline_amt string, "
         "period string, source_file string")
     keys = spark.createDataFrame([("A1",)], "award_number string")
-    out = sorted(r["document_amt"] for r in feeds.ledger(raw, keys).collect())
+    out = sorted(r["document_amt"] for r in feeds.ledger(with_declared(raw, LEDGER), keys).collect())
     assert out == [5.0, 10.0]                      # two extracts of one period: two rows
-    assert "source_file" not in feeds.ledger(raw, keys).columns
+    assert "source_file" not in feeds.ledger(with_declared(raw, LEDGER), keys).columns
 
 
 def test_activity_name_change_duplicates_q10(spark):
@@ -205,14 +206,51 @@ def test_hot_award_matches_brute_force(spark):
     assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
-def test_award_dates_typed_from_text(spark):
+def test_award_dates_pass_through(spark):
     import datetime as dt
-    raw = spark.createDataFrame(
-        [("IHO", "X", "Act", "A1", "5", "2023/10/01", "20250930", "US", "FY24Q1")],
+    cells = ["2023/10/01", "2023-10-01 00:00:00", "2023-10-01T00:00:00Z", "10/01/2023"]
+    raw = with_declared(spark.createDataFrame(
+        [("IHO", "X", "Act", "A1", "5", c, dt.datetime(2025, 9, 30, 8), "US", "FY24Q1") for c in cells],
         "sector string, sub_sector string, activity_name string, award_number string, total_estimated_cost string, "
-        "start_date string, end_date string, u_s_org_local string, period string")
-    r = feeds.active_awards(raw).collect()[0]
-    assert (r["start_date"], r["end_date"], r["total_estimated_cost"]) == (dt.date(2023, 10, 1), dt.date(2025, 9, 30), 5.0)
+        "start_date string, end_date timestamp, u_s_org_local string, period string"), ACTIVE)
+    out = feeds.active_awards(raw).collect()
+    assert sorted(r["start_date"] for r in out) == sorted(cells)
+    assert {(r["end_date"], r["total_estimated_cost"]) for r in out} == {(dt.datetime(2025, 9, 30, 8), 5.0)}
+
+
+def test_absent_columns_are_refused(spark):
+    import pytest
+    raw = with_declared(spark.createDataFrame([("IHO", "A1")], "sector string, award_number string"), ACTIVE)
+    raw = raw.withColumn("period", F.lit("FY24Q1"))
+    for absent in ("total_estimated_cost", "funding_type"):
+        with pytest.raises(ValueError, match=absent):
+            feeds.active_awards(raw.drop(absent))
+    with pytest.raises(ValueError, match="undisbursed_amt"):
+        feeds.ledger_lines(with_declared(spark.createDataFrame([("A1",)], "award_number string"), LEDGER)
+                           .drop("undisbursed_amt"))
+
+
+def test_empty_fragment_lists(spark):
+    """No excluded fragment: no award is removed; no new agreement: all are old."""
+    from dataclasses import replace
+    cfg = replace(DEFAULT, remove_awards=(), new_agreements=())
+    raw = with_declared(spark.createDataFrame([("IHO", "A1", "x MEL"), ("IHO", "A2", None)],
+                                              "sector string, award_number string, activity_name string"), ACTIVE)
+    assert feeds.active_awards(raw.withColumn("period", F.lit("FY24Q1")), cfg).count() == 2
+    ledger = spark.createDataFrame([("E1", "FY24Q2", "HL.1", "656-DOAG-656-22-019-IH", 0.0, 0.0, 5.0, 0.0, 0.0, 0.0)],
+                                   LEDGER_SCHEMA)
+    expired = spark.createDataFrame([("E1", "FY24Q2")], "award_number string, period string")
+    closeout = spark.createDataFrame([], "award_number string, period string, status string")
+    assert [r["doag_new_old"] for r in datasets.expired_dataset(expired, ledger, closeout, cfg).collect()] == ["old"]
+
+
+def test_plan_extra_amounts(spark):
+    from dataclasses import replace
+    raw = spark.createDataFrame([("A1", "M", "TB", "5", None, "FY24Q1"), ("A2", "M", "TB", "x", "7", "FY24Q1")],
+                                "award_number string, implementing_mechanism string, program_area string, "
+                                "un_sub_obligated_funds string, bridge string, period string")
+    out = {r["award_number"]: r for r in feeds.plan(raw, replace(DEFAULT, plan_extra_amounts=("bridge",))).collect()}
+    assert (out["A1"]["bridge"], out["A2"]["bridge"]) == (0.0, 7.0)
 
 
 def test_small_checks_k3_k5_k9_k10(spark):

@@ -100,6 +100,7 @@ def test_ledger_paths_agree(spark, rows, strict):
     from fundflow.config import DEFAULT
     from fundflow.operators import measure_keys
     from fundflow.plans import feeds
+    from fundflow.schemas import LEDGER, with_declared
 
     raw = spark.createDataFrame(
         [(a, d, t, "656-M", e, None, b, amt, "1", acc, "1", "1", p) for a, d, t, e, b, amt, acc, p in rows],
@@ -109,8 +110,8 @@ def test_ledger_paths_agree(spark, rows, strict):
         "period string")
     keys = spark.createDataFrame([("A1",), ("A2",)], "award_number string")
     cfg = replace(DEFAULT, strict_ledger_sum=strict)
-    broadcast = sorted((tuple(r) for r in feeds.ledger(raw, measure_keys(keys), cfg).collect()), key=repr)
-    shuffled = sorted((tuple(r) for r in feeds.ledger(raw, keys, cfg).collect()), key=repr)
+    broadcast = sorted((tuple(r) for r in feeds.ledger(with_declared(raw, LEDGER), measure_keys(keys), cfg).collect()), key=repr)
+    shuffled = sorted((tuple(r) for r in feeds.ledger(with_declared(raw, LEDGER), keys, cfg).collect()), key=repr)
     assert broadcast == shuffled
 
 

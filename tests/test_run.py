@@ -18,11 +18,14 @@ def _csv(folder, name, header, rows):
 def landing(root):
     serial = str((dt.date(2023, 11, 15) - dt.date(1899, 12, 30)).days)
     _csv(f"{root}/active_awards", "FY24Q1_Active Awards.csv",
-         ["Sector", "Sub Sector", "Activity Name", "Award Number", "Total Estimated Cost", "U.S. Org (Local)"],
-         [["IHO", "AFG", "Act 1", " A1 ", "1000", "US"], ["IHO", "AFG", "Act 9 MEL", "A9", "5", "US"]])
+         ["Sector", "Sub Sector", "Activity Name", "Award Number", "Total Estimated Cost", "U.S. Org (Local)",
+          "Start Date", "End Date", "AOR/COR or Activity Manager", "Funding Type", "PEPFAR Funding"],
+         [["IHO", "AFG", "Act 1", " A1 ", "1000", "US", "2023-10-01 00:00:00", "", "M", "Core", ""],
+          ["IHO", "AFG", "Act 9 MEL", "A9", "5", "US", "", "", "M", "Core", ""]])
     _csv(f"{root}/expired_awards", "FY24Q1_Expired Awards.csv",
-         ["Sector", "Sub Sector", "Activity Name", "Award Number", "U.S. Org (Local)"],
-         [["IHO", "PCMD", "Old", "E1", "US"]])
+         ["Sector", "Sub Sector", "Activity Name", "Award Number", "U.S. Org (Local)", "End Date",
+          "AOR/COR or Activity Manager", "Funding Type"],
+         [["IHO", "PCMD", "Old", "E1", "US", "", "M", "Core"]])
     _csv(f"{root}/close_out_tracker", "FY24Q1_Close Out.csv",
          ["Award Number", "To Be Deobligated", "Status"], [["E1", "3", "Open"]])
     _csv(f"{root}/subobligation_summary", "FY24Q1_Sub.csv",
@@ -30,12 +33,12 @@ def landing(root):
          [["A1", "M", "HIV/AIDS", "30", "c1"], ["A1", "M", "TB", "40", "c2"], ["A1", "Total", "TB", "70", ""]])
     hdr = ["Award Number", "Document Number", "Obligation Type", "Distribution", "Program Element", "Program Area",
            "Bilateral Obl Number", "Document Amt", "Disbursement Amt", "Last Qtr Adj Amt", "Undisbursed Amt",
-           "Pipeline Amt"]
+           "Pipeline Amt", "Obligation Amt", "Subobligation Amt"]
     _csv(f"{root}/ledger", "FY24Q1_Pipeline.csv", hdr, [
-        ["A1", "D", "OBLG_UNI", "656-M", "A047", "", "B1", "100", "1", "1", "1", "1"],
-        ["A1", "D", "OBLG_UNI", "656-M", "A047", "", "B2", "50", "1", "1", "1", "1"],
-        ["A1", "D", "OBLG_SUBOB", "656-W", "A048", "", "B1", "20", "1", "1", "1", "1"],
-        ["E1", "D", "OBLG_SUBOB", "656-W", "A048", "", "656-DOAG-656-22-019-IH", "9", "1", "1", "4", "1"]])
+        ["A1", "D", "OBLG_UNI", "656-M", "A047", "", "B1", "100", "1", "1", "1", "1", "", ""],
+        ["A1", "D", "OBLG_UNI", "656-M", "A047", "", "B2", "50", "1", "1", "1", "1", "", ""],
+        ["A1", "D", "OBLG_SUBOB", "656-W", "A048", "", "B1", "20", "1", "1", "1", "1", "", ""],
+        ["E1", "D", "OBLG_SUBOB", "656-W", "A048", "", "656-DOAG-656-22-019-IH", "9", "1", "1", "4", "1", "", ""]])
     _csv(f"{root}/transactions", "FY24Q1_Transactions.csv",
          ["Award Number", "Document Number", "Obl Document Number", "Transaction Date", "Transaction Amt",
           "Transaction Event", "Transaction Event Type", "Program Element", "Distribution", "Program Area"],
