@@ -66,9 +66,9 @@ def coverage_areas(active: DataFrame, plan: DataFrame, txn: DataFrame, ledger: D
 
 def missing_area(active: DataFrame, plan: DataFrame) -> DataFrame:
     """K3: named active award-periods that have no mapped plan area."""
-    df = left_join_ns(active, plan, AP).filter(F.col("activity_name").isNotNull())
-    df = df.select("award_number", "period", "activity_name", "program_area").distinct()
-    return df.filter(F.col("program_area").isNull())
+    named = active.filter(F.col("activity_name").isNotNull()).select("award_number", "period", "activity_name").distinct()
+    areas = plan.select("award_number", "period", "program_area").distinct()
+    return left_join_ns(named, areas, AP).filter(F.col("program_area").isNull())
 
 
 def area_spotlight(active: DataFrame, ledger: DataFrame, txn: DataFrame, active_keys: DataFrame,

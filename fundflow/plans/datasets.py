@@ -7,6 +7,8 @@ many-to-many matches is kept: these are the report's semantics.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,6 @@ from fundflow.operators import (
     lenient_sum,
     semi_join_ns,
     running_total,
-    sum_all_numeric,
     zero_fill_numeric,
 )
 from fundflow.plans.feeds import transactions
@@ -34,8 +35,7 @@ def cumulative_transactions(txn_rollup: DataFrame) -> DataFrame:
     fiscal year x area, ordered by quarter.  Quarters without activity get
     no row.  The roll-up key is unique, so the running total is added in
     place (no self re-join); its window shuffles only the rolled-up rows."""
-    df = sum_all_numeric(txn_rollup, ["award_number", "period", "program_area", "fiscal_year", "quarter"])
-    df = running_total(df, "transaction_disbursement",
+    df = running_total(txn_rollup, "transaction_disbursement",
                        ["award_number", "fiscal_year", "program_area"], ["quarter"],
                        "cumulative_transaction_disbursement_fy")
     return df.drop("fiscal_year", "quarter")
@@ -46,7 +46,8 @@ def transaction_history(raw_txn: DataFrame, active_keys: DataFrame, cfg: FlowCon
     return cumulative_transactions(transactions(raw_txn, active_keys, cfg))
 
 
-def pipeline_dataset(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn: DataFrame) -> DataFrame:
+def pipeline_dataset(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn: DataFrame,
+                     cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Active award-periods LEFT ledger (award, period) LEFT plan and
     LEFT transactions (award, period, area); numeric NULLs -> 0, area
     name added, and the plan comments of each award-period spread to all
@@ -55,9 +56,12 @@ def pipeline_dataset(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn:
     The distinct comments are taken without the transaction join (a left
     join neither drops rows nor changes (award, period, comment), so the
     set is the same), so the comment branch does not re-run the
-    transaction roll-up.
+    transaction roll-up.  Active LEFT ledger is read by both branches: ``cut``
+    writes it and reads it back (:func:`fundflow.operators.stage`).
     """
     base = left_join_ns(active, ledger, AP)
+    if cut is not None and "comments" in plan.columns:
+        base = cut(base)
     df = left_join_ns(base, plan, APA)
     comments = None
     if "comments" in plan.columns:
@@ -75,14 +79,15 @@ def pipeline_dataset(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn:
     return df
 
 
-def latest_accrual(pipeline: DataFrame) -> DataFrame:
+def latest_accrual(pipeline: DataFrame, latest: Callable[[DataFrame], DataFrame] = latest_period) -> DataFrame:
     """Accrual of the latest period in the pipeline dataset, per award x
-    area (NULLs skipped)."""
-    latest = latest_period(pipeline)
+    area (NULLs skipped).  ``latest`` picks the rows of the latest period."""
+    latest = latest(pipeline)
     return latest.groupBy(*APA).agg(lenient_sum("last_qtr_accrual_amt"))
 
 
-def transaction_dataset(active: DataFrame, txn: DataFrame, pipeline: DataFrame) -> DataFrame:
+def transaction_dataset(active: DataFrame, txn: DataFrame, pipeline: DataFrame,
+                        latest: Callable[[DataFrame], DataFrame] = latest_period) -> DataFrame:
     """Distinct (award, activity) LEFT D0 on award LEFT latest-period
     accrual (award, period, area); numeric NULLs -> 0; area name.
 
@@ -90,13 +95,14 @@ def transaction_dataset(active: DataFrame, txn: DataFrame, pipeline: DataFrame)
     the pipeline dataset built from the latest period's active rows alone
     (:func:`latest_period` of ``active``): every pipeline row's period is
     its active row's period, so the result is the same and the large
-    joins run for one period instead of all.
+    joins run for one period instead of all.  Over a written pipeline table
+    partitioned by period, :func:`at_latest` as ``latest`` reads one partition.
     """
     base = active.select("award_number", "activity_name").distinct()
     df = left_join_ns(base, txn, "award_number").select(
         "award_number", "activity_name", "transaction_disbursement", "transaction_obligation",
         "transaction_amt", "avg_monthly_exp_rate", "period", "program_area")
-    df = left_join_ns(df, latest_accrual(pipeline), APA)
+    df = left_join_ns(df, latest_accrual(pipeline, latest), APA)
     df = zero_fill_numeric(df)
     return df.withColumn("program_area_name", area_name("program_area"))
 

@@ -1,7 +1,7 @@
 """One quarterly run: landing folders in, reporting datasets and checks out.
 
     from fundflow.plans.run import run_quarter
-    run_quarter(spark, "s3://bucket/landing", "s3://bucket/out")
+    run_quarter(spark, "<landing root>", "<output root>")
 
 Landing layout (one folder per feed, period files named ``FY24Q1_*``)::
 
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from fundflow.config import DEFAULT, LEDGER_HEADER_DRIFT, PLAN_HEADER_DRIFT, FlowConfig
-from fundflow.operators import key_set, latest_period, measure_keys, stage, union_keys
+from fundflow.operators import at_latest, key_set, measure_keys, stage, union_keys
 from fundflow.plans import checks, datasets, feeds
 from fundflow.sources import read_csv_folder, read_parquet_folder, read_period_table, write_csv, write_parquet
 
@@ -77,9 +77,9 @@ def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt
     plan = stage(feeds.plan(land.read("plan", PLAN_HEADER_DRIFT), cfg), "plan")
     ledger = stage(feeds.ledger(land.read("ledger", LEDGER_HEADER_DRIFT), all_keys, cfg), "ledger")
     txn = stage(datasets.transaction_history(land.read("txn"), active_keys, cfg), "txn")
-    pipeline = stage(datasets.pipeline_dataset(active, ledger, plan, txn), "pipeline")
-    txn_ds = datasets.transaction_dataset(active, txn, datasets.pipeline_dataset(
-        latest_period(active), ledger, plan, txn))
+    pipeline = stage(datasets.pipeline_dataset(active, ledger, plan, txn, cut=lambda df: stage(df, "base")), "pipeline",
+                     partition_by=("period",))
+    txn_ds = datasets.transaction_dataset(active, txn, pipeline, latest=at_latest)
     return {
         "pipeline": pipeline,
         "transaction": txn_ds,
