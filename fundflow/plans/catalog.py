@@ -35,7 +35,7 @@ def feed_closeout(f: DriverFlow) -> DataFrame:
     return f.closeout
 
 
-@register("feed_plan", O.with_ctes("SELECT * FROM f_plan", ["un_sub_obligated_funds"]))
+@register("feed_plan", O.with_ctes("SELECT * FROM f_plan", O.PLAN_NUM))
 def feed_plan(f: DriverFlow) -> DataFrame:
     """F4 sub-obligation plan."""
     return f.plan

@@ -89,7 +89,14 @@ r_award AS (
     CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN c_custkey % 20 = 0 THEN concat(c_name, ' MEL') ELSE c_name END AS activity_name,
     CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE concat('  AW', c_custkey, ' ') END AS award_number,
     CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_acctbal END AS total_estimated_cost,
+    CASE WHEN c_custkey % 3 = 0 THEN '2023-10-' || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0') || ' 00:00:00'
+         ELSE lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0') || '/01/2023' END AS start_date,
+    CASE WHEN c_custkey % 7 <> 0 THEN '2027-09-' || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00Z' END
+      AS end_date,
     CASE n_regionkey WHEN 0 THEN 'International' WHEN 1 THEN 'US' ELSE 'Local' END AS u_s_org_local,
+    concat('Manager ', c_custkey % 5) AS aor_cor_or_activity_manager,
+    CASE c_custkey % 2 WHEN 0 THEN 'Core' ELSE 'OCO' END AS funding_type,
+    CASE WHEN c_custkey % 4 <> 0 THEN 'Yes' END AS pepfar_funding,
     period
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN r_period ON c_custkey = custkey),
 r_closeout AS (
@@ -102,18 +109,27 @@ r_plan AS (
     CASE WHEN o_orderkey % 25 = 0 THEN 'Total' WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'Mechanism' END AS implementing_mechanism,
     CASE o_orderkey % 4 WHEN 0 THEN 'HIV/AIDS' WHEN 1 THEN 'TB' WHEN 2 THEN 'Malaria' ELSE 'Other' END AS program_area,
     CASE WHEN o_orderkey % 9 = 0 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS un_sub_obligated_funds,
+    CAST(o_orderkey % 400 AS VARCHAR) AS planned_subobligations_for_the_next_months,
+    CAST(o_orderkey % 600 AS VARCHAR) AS total_obligations_this_fy,
+    CASE WHEN o_orderkey % 17 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 70 AS VARCHAR) END AS projected_monthly_burn_rate,
+    CASE o_orderkey % 6 WHEN 0 THEN '2024-01-31' WHEN 1 THEN '24-02-28' WHEN 2 THEN '240131' WHEN 3 THEN '2024 Jan 31'
+      WHEN 4 THEN '99/12/5' ELSE 'soon' END AS planned_sub_oblig_date,
+    CAST(o_orderkey % 800 AS VARCHAR) AS approved_budget_cop_op,
+    CAST(o_orderkey % 50 AS VARCHAR) AS unliquidated_obligations_at_the_beginning_of_the_fy,
+    CASE WHEN o_orderkey % 8 <> 0 THEN CAST(o_orderkey % 333 AS VARCHAR) END AS bridge_amount,
     CASE WHEN o_orderkey % 6 = 0 THEN concat('note ', o_orderkey % 7) END AS comments,
     concat('FY', year(d) % 100, 'Q', quarter(d)) AS period
   FROM (SELECT *, CAST(o_orderdate AS DATE) + INTERVAL 3 MONTH AS d FROM orders) x),
 r_ledger AS (
   SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'ZZ' WHEN o_orderkey % 33 = 0 THEN NULL ELSE concat('AW', o_custkey) END AS award_number,
-    CASE WHEN o_orderkey % 20 = 0 THEN 'ZZ' ELSE concat('AW', o_custkey) END AS document_number,
+    CASE WHEN o_orderkey % 20 = 0 THEN concat('D', o_orderkey) ELSE concat('AW', o_custkey) END AS document_number,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'OBLG_UNI' WHEN '2-HIGH' THEN 'OBLG_SUBOB' ELSE 'OTHER' END AS obligation_type,
     CASE o_orderstatus WHEN 'F' THEN '656-M' WHEN 'O' THEN '656-GH-M' ELSE 'OTHER' END AS distribution,
     CASE o_orderkey % 5 WHEN 0 THEN 'A047' WHEN 1 THEN 'A048' WHEN 2 THEN 'A141' WHEN 3 THEN 'A051' END AS program_element,
     CASE WHEN o_orderkey % 3 = 0 THEN 'DR.4' END AS program_area,
     CASE o_orderkey % 3 WHEN 0 THEN '656-DOAG-656-22-019-IH' WHEN 1 THEN '656-DOAG-OLD' END AS bilateral_obl_number,
     CASE WHEN o_orderkey % 29 = 0 THEN '1,234' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS document_amt,
+    CAST(o_orderkey % 700 AS VARCHAR) AS obligation_amt, CAST(o_orderkey % 650 AS VARCHAR) AS subobligation_amt,
     CAST(o_orderkey % 900 AS VARCHAR) AS disbursement_amt,
     CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_orderkey % 1000 AS VARCHAR) END AS last_qtr_accrual_amt,
     CAST(o_orderkey % 777 AS VARCHAR) AS undisbursed_amt,
@@ -121,8 +137,10 @@ r_ledger AS (
     concat('FY', year(d) % 100, 'Q', quarter(d)) AS period
   FROM (SELECT *, CAST(o_orderdate AS DATE) + INTERVAL 3 MONTH AS d FROM orders) x),
 r_txn AS (
-  SELECT CASE WHEN l_linenumber = 1 THEN 'ZZ' WHEN l_linenumber = 2 THEN NULL ELSE concat('AW', o_custkey) END AS award_number,
-    CASE WHEN l_linenumber = 1 THEN concat('AW', o_custkey) ELSE 'ZZ' END AS document_number,
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'AW4' WHEN l_linenumber = 1 THEN 'ZZ' WHEN l_linenumber = 2 THEN NULL
+              ELSE concat('AW', o_custkey) END AS award_number,
+    CASE WHEN l_linenumber = 1 THEN concat('AW', o_custkey) ELSE concat('D', l_orderkey, '-', l_linenumber) END
+      AS document_number,
     concat('AW', o_custkey) AS obl_document_number,
     CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE CAST({SERIAL} AS VARCHAR) END AS transaction_date,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS transaction_amt,
@@ -133,17 +151,33 @@ r_txn AS (
     CASE WHEN l_discount > 0.07 THEN 'OTHER' ELSE '656-W' END AS distribution
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
+PLAN_NUM = ["un_sub_obligated_funds", "planned_subobligations_for_the_next_months", "total_obligations_this_fy",
+            "projected_monthly_burn_rate", "approved_budget_cop_op",
+            "unliquidated_obligations_at_the_beginning_of_the_fy", "bridge_amount"]
+
+
+def ymd(x: str) -> str:
+    """Year-month-day text in the layouts that the role extracts write."""
+    layouts = ((r"^\d{4}-", "%Y-%m-%d"), (r"^\d{4}/", "%Y/%m/%d"), (r"^\d{2}-", "%y-%m-%d"), (r"^\d{2}/", "%y/%m/%d"),
+               (r"^\d{8}$", "%Y%m%d"), (r"^\d{6}$", "%y%m%d"), (r"^\d{4} [A-Z]", "%Y %b %d"))
+    whens = " ".join(f"WHEN regexp_matches({x}, {q(p)}) THEN try_strptime({x}, {q(f)})" for p, f in layouts)
+    return f"CAST(CASE {whens} END AS DATE)"
+
+
+YMD = ymd("planned_sub_oblig_date")
+
 FEED_CTES = f"""
 f_active AS (
   SELECT * FROM (
     SELECT {SUB_SECTOR} AS sub_sector, activity_name, {trim_ws('award_number')} AS award_number,
-      coalesce(total_estimated_cost, 0) AS total_estimated_cost, {ORG} AS u_s_org_local, period
+      coalesce(total_estimated_cost, 0) AS total_estimated_cost, start_date, end_date, {ORG} AS u_s_org_local,
+      aor_cor_or_activity_manager, funding_type, pepfar_funding, period
     FROM r_award WHERE sector = 'BUILDING') x
   WHERE award_number IS NOT NULL AND NOT regexp_matches(activity_name, 'MEL')),
 f_expired AS (
   SELECT * FROM (
     SELECT sector, {SUB_SECTOR} AS sub_sector, activity_name, {trim_ws('award_number')} AS award_number,
-      {ORG} AS u_s_org_local, period
+      end_date, {ORG} AS u_s_org_local, aor_cor_or_activity_manager, funding_type, period
     FROM r_award WHERE sector = 'MACHINERY') x
   WHERE award_number IS NOT NULL),
 f_closeout AS (
@@ -153,8 +187,8 @@ f_closeout AS (
 f_plan AS (
   SELECT * FROM (
     SELECT {trim_ws('award_number')} AS award_number,
-      coalesce({num('un_sub_obligated_funds')}, 0) AS un_sub_obligated_funds,
-      comments, period, {NAME_AREA} AS program_area
+      {", ".join(f"coalesce({num(c)}, 0) AS {c}" for c in PLAN_NUM)},
+      {YMD} AS planned_sub_oblig_date, comments, period, {NAME_AREA} AS program_area
     FROM r_plan WHERE implementing_mechanism <> 'Total') x
   WHERE award_number IS NOT NULL),
 k_active AS (SELECT DISTINCT award_number FROM f_active),
@@ -220,7 +254,7 @@ LEDGER_NUM = ["document_amt", "disbursement_amt", "undisbursed_amt", "last_qtr_a
               "pipeline_amt", "total_disbursement_outlays"]
 TXN_NUM = ["transaction_amt", "transaction_disbursement", "transaction_obligation", "avg_monthly_exp_rate"]
 D0_NUM = TXN_NUM + ["cumulative_transaction_disbursement_fy"]
-D1_NUM = ["total_estimated_cost", *LEDGER_NUM, "un_sub_obligated_funds", *D0_NUM]
+D1_NUM = ["total_estimated_cost", *LEDGER_NUM, *PLAN_NUM, *D0_NUM]
 
 
 def _zero(cols) -> str:
@@ -232,7 +266,7 @@ d1_j AS (
   SELECT a.*, l.program_area, l.bilateral_obl_number, {", ".join("l." + c for c in LEDGER_NUM)}
   FROM f_active a LEFT JOIN f_ledger l ON {ns('a', 'l', ['award_number', 'period'])}),
 d1_p AS (
-  SELECT j.*, p.un_sub_obligated_funds, p.comments
+  SELECT j.*, p.* EXCLUDE (award_number, period, program_area)
   FROM d1_j j LEFT JOIN f_plan p ON {ns('j', 'p', ['award_number', 'period', 'program_area'])}),
 d1_t AS (
   SELECT j.*, {", ".join("t." + c for c in D0_NUM)}

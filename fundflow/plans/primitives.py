@@ -14,6 +14,7 @@ from fundflow.config import (
     DISTRIBUTION_FILTER,
     EVENT_TYPE_FILTER,
     LEDGER_HEADER_DRIFT,
+    PLAN_HEADER_DRIFT,
     NEW_AGREEMENTS,
     ORG_RECODE,
     REMOVE_AWARDS,
@@ -52,7 +53,8 @@ from fundflow.plans import datasets, feeds
 from fundflow.plans import oracle as O
 from fundflow.plans.registry import register
 from fundflow.plans.roles import DriverFlow, excel_serial
-from fundflow.sources import normalize_headers, read_csv_output, rename_drift, union_all_by_name, write_csv
+from fundflow.sources import (normalize_headers, read_csv_folder, read_csv_output, rename_drift, union_all_by_name,
+                              write_csv)
 
 AP = ["award_number", "period"]
 APA = ["award_number", "period", "program_area"]
@@ -105,7 +107,7 @@ def period_from_filename_q(f: DriverFlow) -> DataFrame:
 @register("normalize_headers", O.with_ctes("""
 SELECT c_custkey AS customer_key, c_name AS customer_name_local, c_nationkey AS nation_key,
   c_acctbal AS balance_percent, c_custkey AS award_number, c_mktsegment AS u_s_org_local,
-  c_nationkey AS customer_key_2, c_name AS x2024_name
+  c_nationkey AS customer_key_2, c_name AS x2024_name, c_custkey AS amount, c_nationkey AS amount_2, c_custkey + 1 AS amount_2_2
 FROM customer""", ["balance_percent"]))
 def normalize_headers_q(f: DriverFlow) -> DataFrame:
     """S3: spreadsheet headers -> snake_case (with %/# words, de-duplication)."""
@@ -113,7 +115,9 @@ def normalize_headers_q(f: DriverFlow) -> DataFrame:
     df = c.select(F.col("c_custkey").alias("Customer Key"), F.col("c_name").alias("Customer Name (Local)"),
                   F.col("c_nationkey").alias("NationKey"), F.col("c_acctbal").alias("Balance %"),
                   F.col("c_custkey").alias("Award #"), F.col("c_mktsegment").alias("U.S. Org (Local)"),
-                  F.col("c_nationkey").alias("customer key"), F.col("c_name").alias("2024 Name"))
+                  F.col("c_nationkey").alias("customer key"), F.col("c_name").alias("2024 Name"),
+                  F.col("c_custkey").alias("Amount"), F.col("c_nationkey").alias("amount"),
+                  (F.col("c_custkey") + 1).alias("Amount 2"))
     return normalize_headers(df)
 
 
@@ -148,20 +152,53 @@ def text_ingest_cast(f: DriverFlow) -> DataFrame:
 
 
 @register("csv_roundtrip", O.with_ctes("""
-SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN c_name || ', "quoted"'
-                       ELSE c_name END AS name, c_acctbal
-FROM customer""", ["c_acctbal"]))
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+  CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN c_name || ', "quoted"' ELSE c_name END AS name,
+  CASE c_custkey % 4 WHEN 0 THEN '12345678.9' WHEN 1 THEN '0.0001' WHEN 2 THEN '-120000000000000000000'
+       ELSE regexp_replace(CAST(c_acctbal AS VARCHAR), '\\.0$', '') END AS amount,
+  strftime(TIMESTAMP '2023-10-01' + to_hours(CAST(c_custkey % 1000 AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ') AS stamped
+FROM customer"""))
 def csv_roundtrip(f: DriverFlow) -> DataFrame:
-    """CSV sink (header, NULL as NA, quoting) and read back."""
+    """CSV sink (header, NULL as NA, quoting, plain decimals, UTC), read back as written text."""
     k = F.col("c_custkey")
     name = (F.when(k % 7 == 0, F.lit(None).cast("string"))
              .when(k % 5 == 0, F.concat(F.col("c_name"), F.lit(', "quoted"'))).otherwise(F.col("c_name")))
-    df = f.t("customer").select("c_custkey", name.alias("name"), "c_acctbal")
+    amount = (F.when(k % 4 == 0, F.lit(12345678.9)).when(k % 4 == 1, F.lit(0.0001)).when(k % 4 == 2, F.lit(-1.2e20))
+               .otherwise(F.col("c_acctbal")))
+    stamp = F.timestamp_seconds(F.unix_timestamp(F.lit("2023-10-01 00:00:00Z"), "yyyy-MM-dd HH:mm:ssX") + k % 1000 * 3600)
+    df = f.t("customer").select("c_custkey", name.alias("name"), amount.alias("amount"), stamp.alias("stamped"))
     path = f"{shared_dir(f.spark)}/fundflow-out/customers-{uuid.uuid4().hex}"
     write_csv(df, path)
-    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("name", T.StringType()),
-                           T.StructField("c_acctbal", T.DoubleType())])
-    return read_csv_output(f.spark, path, schema)
+    return read_csv_output(f.spark, path, "c_custkey string, name string, amount string, stamped string")
+
+
+# The last two clean to one name.
+_LANDED = ["Award Number", "Implementing Mechanism", "Program Area", "Un-Sub-Obligated Funds", "Comments", "Amount",
+           "Amount:"]
+
+
+@register("landing_scan", O.with_ctes("""
+SELECT award_number, implementing_mechanism, program_area, un_sub_obligated_funds, comments,
+  planned_subobligations_for_the_next_months AS amount, total_obligations_this_fy AS amount_2,
+  CASE WHEN substr(period, -1) <= '2' THEN NULL ELSE bridge_amount END AS bridge_amount,
+  unliquidated_obligations_at_the_beginning_of_the_fy,
+  'FY00Q' || substr(period, -1) AS period, 'FY00Q' || substr(period, -1) || '_plan.csv' AS source_file
+FROM r_plan"""))
+def landing_scan(f: DriverFlow) -> DataFrame:
+    """The plan extract written as CSV period files with two
+    header layouts (an old column name, a repeated header, an added column),
+    scanned as one folder."""
+    folder = f"{shared_dir(f.spark)}/fundflow-out/landing-{uuid.uuid4().hex}"
+    old, new = PLAN_HEADER_DRIFT[0]
+    for quarter in "1234":
+        late = quarter > "2"
+        df = f.raw_plan.filter(F.col("period").endswith(quarter))
+        df = df.select("award_number", "implementing_mechanism", "program_area", "un_sub_obligated_funds", "comments",
+                       "planned_subobligations_for_the_next_months", "total_obligations_this_fy", new,
+                       *(["bridge_amount"] if late else []))
+        df = df.toDF(*_LANDED, new if late else old, *(["Bridge Amount"] if late else []))
+        df.write.option("header", True).option("escape", '"').csv(f"{folder}/FY00Q{quarter}_plan.csv")
+    return read_csv_folder(f.spark, folder, PLAN_HEADER_DRIFT, pattern="FY*.csv")
 
 
 # --- filters and predicates (P6-P13) ----------------------------------------
@@ -293,23 +330,23 @@ def nan_to_null_q(f: DriverFlow) -> DataFrame:
     return nan_to_null(f.t("customer").select("c_custkey", "c_name", _injected_balance().alias("balance")))
 
 
-@register("parse_ymd", O.with_ctes("""
-SELECT o_orderkey, date_text,
-  coalesce(CAST(try_strptime(date_text, '%Y-%m-%d') AS DATE), CAST(try_strptime(date_text, '%Y/%m/%d') AS DATE),
-           CAST(try_strptime(date_text, '%Y%m%d') AS DATE)) AS planned_date
+@register("parse_ymd", O.with_ctes(f"""
+SELECT o_orderkey, date_text, {O.ymd('date_text')} AS planned_date
 FROM (SELECT o_orderkey,
         CASE WHEN o_orderkey % 17 = 0 THEN 'not a date'
-             WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
-             WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y/%m/%d')
-             ELSE strftime(o_orderdate, '%Y%m%d') END AS date_text FROM orders) x"""))
+             ELSE CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+               WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d') WHEN 2 THEN strftime(o_orderdate, '%Y%m%d')
+               WHEN 3 THEN strftime(o_orderdate, '%y-%m-%d') WHEN 4 THEN strftime(o_orderdate, '%y%m%d')
+               ELSE strftime(o_orderdate, '%Y %b %d') END END AS date_text
+      FROM orders) x"""))
 def parse_ymd_q(f: DriverFlow) -> DataFrame:
     """Year-month-day text in several layouts -> date; bad text -> NULL."""
     k = F.col("o_orderkey")
     d = F.col("o_orderdate")
-    text = (F.when(k % 17 == 0, F.lit("not a date"))
-             .when(k % 3 == 0, F.date_format(d, "yyyy-MM-dd"))
-             .when(k % 3 == 1, F.date_format(d, "yyyy/MM/dd"))
-             .otherwise(F.date_format(d, "yyyyMMdd")))
+    layouts = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "yy-MM-dd", "yyMMdd", "yyyy MMM dd")
+    text = F.when(k % 17 == 0, F.lit("not a date"))
+    for i, layout in enumerate(layouts):
+        text = text.when(k % 6 == i, F.date_format(d, layout))
     df = f.t("orders").select("o_orderkey", text.alias("date_text"))
     return df.withColumn("planned_date", parse_ymd("date_text"))
 
@@ -395,6 +432,22 @@ def resolve_key_3(f: DriverFlow) -> DataFrame:
         "award_number", "transaction_date", "period", "program_area", "transaction_amt")
 
 
+@register("resolve_key_3_shuffled", O.with_ctes(f"""
+SELECT rkey AS award_number, qd AS transaction_date, coalesce({O.fy_label('qd')}, 'FYNAQNA') AS period,
+  program_area, transaction_amt
+FROM t_keyed WHERE rkey IS NOT NULL""", ["transaction_amt"]))
+def resolve_key_3_shuffled(f: DriverFlow) -> DataFrame:
+    """C21 with a key set of unknown size: one salted shuffle join."""
+    return feeds.transaction_lines(f.raw_txn, keys_df(f.active_keys), f.cfg).select(
+        "award_number", "transaction_date", "period", "program_area", "transaction_amt")
+
+
+@register("ledger_rollup_shuffled", O.with_ctes("SELECT * FROM f_ledger", O.LEDGER_NUM))
+def ledger_rollup_shuffled(f: DriverFlow) -> DataFrame:
+    """F5 with a key set of unknown size: pre-aggregation, then the salted join."""
+    return feeds.ledger(f.raw_ledger, keys_df(f.all_keys), f.cfg)
+
+
 @register("tag_agreement", O.with_ctes(f"""
 SELECT bilateral_obl_number,
   CASE WHEN regexp_matches(bilateral_obl_number, {O.q('|'.join(NEW_AGREEMENTS))}) THEN 'new' ELSE 'old' END AS doag_new_old
@@ -417,7 +470,7 @@ def left_join_nullsafe(f: DriverFlow) -> DataFrame:
 
 
 @register("left_join_nullsafe3", O.with_ctes("SELECT * FROM d1_p",
-                                             ["total_estimated_cost", *O.LEDGER_NUM, "un_sub_obligated_funds"]))
+                                             ["total_estimated_cost", *O.LEDGER_NUM, *O.PLAN_NUM]))
 def left_join_nullsafe3(f: DriverFlow) -> DataFrame:
     """Left join on 3 keys; an award-period without ledger rows has a NULL
     area and meets plan rows whose area is NULL."""
@@ -442,7 +495,7 @@ def full_join_coalesce(f: DriverFlow) -> DataFrame:
 @register("spread_attribute", O.with_ctes(f"""
 SELECT p.* EXCLUDE (comments), c.comments
 FROM f_plan p LEFT JOIN (SELECT DISTINCT award_number, period, comments FROM f_plan WHERE comments IS NOT NULL) c
-  ON {O.ns('p', 'c', AP)}""", ["un_sub_obligated_funds"]))
+  ON {O.ns('p', 'c', AP)}""", O.PLAN_NUM))
 def spread_attribute_q(f: DriverFlow) -> DataFrame:
     """Each distinct comment of an award-period re-attached to all its rows."""
     return spread_attribute(f.plan, AP, "comments")
@@ -450,12 +503,20 @@ def spread_attribute_q(f: DriverFlow) -> DataFrame:
 
 # --- aggregations and window (A1-A8, W1) --------------------------------------------
 
+_NAN_LEDGER = {c: f"CASE WHEN bilateral_obl_number = '656-DOAG-OLD' THEN CAST('NaN' AS DOUBLE) ELSE {c} END"
+               for c in ("document_amt", "undisbursed_amt")}
+_KNOWN = "CASE WHEN NOT isnan({0}) THEN {0} END"
+
+
 @register("sum_all_numeric", O.with_ctes(f"""
-SELECT award_number, period, {", ".join(O.lenient(c, c) for c in O.LEDGER_NUM)}
-FROM f_ledger GROUP BY award_number, period""", O.LEDGER_NUM))
+SELECT award_number, period, {", ".join(f"coalesce(sum({_KNOWN.format(c)}), 0) AS {c}" for c in O.LEDGER_NUM)}
+FROM (SELECT * REPLACE ({", ".join(f"{e} AS {c}" for c, e in _NAN_LEDGER.items())}) FROM f_ledger) x
+GROUP BY award_number, period""", O.LEDGER_NUM))
 def sum_all_numeric_q(f: DriverFlow) -> DataFrame:
-    """A1: group sum over every numeric column, NULLs skipped, all-NULL -> 0."""
-    return sum_all_numeric(f.ledger, AP)
+    """A1: group sum over every numeric column, NULLs and NaNs skipped, none left -> 0."""
+    old = F.col("bilateral_obl_number") == "656-DOAG-OLD"
+    return sum_all_numeric(f.ledger.withColumns({
+        c: F.when(old, F.lit(float("nan"))).otherwise(F.col(c)) for c in _NAN_LEDGER}), AP)
 
 
 @register("strict_sum", O.with_ctes(f"""
@@ -469,17 +530,26 @@ def strict_sum_q(f: DriverFlow) -> DataFrame:
 
 
 @register("max_all_numeric", O.with_ctes("""
-SELECT award_number, activity_name, period, max(total_estimated_cost) AS total_estimated_cost
+SELECT award_number, activity_name, period, max(CASE WHEN funding_type = 'Core' THEN total_estimated_cost END)
+  AS total_estimated_cost
 FROM f_active GROUP BY award_number, activity_name, period""", ["total_estimated_cost"]))
 def max_all_numeric_q(f: DriverFlow) -> DataFrame:
-    """A4: group max over every numeric column."""
-    return max_all_numeric(f.active, ["award_number", "activity_name", "period"])
+    """A4: group max over every numeric column, NULLs and NaNs skipped."""
+    core = F.col("funding_type") == "Core"
+    active = f.active.withColumn("total_estimated_cost", F.when(core, F.col("total_estimated_cost"))
+                                 .otherwise(F.lit(float("nan"))))
+    return max_all_numeric(active, ["award_number", "activity_name", "period"])
 
 
-@register("accrual_latest", O.with_ctes("SELECT * FROM d2_accrual", ["last_qtr_accrual_amt"]), reuse=("ledger",))
+@register("accrual_latest", O.with_ctes("""
+SELECT award_number, period, program_area,
+  coalesce(sum(CASE WHEN bilateral_obl_number IS NOT NULL THEN last_qtr_accrual_amt END), 0) AS last_qtr_accrual_amt
+FROM d1_latest GROUP BY award_number, period, program_area""", ["last_qtr_accrual_amt"]), reuse=("ledger",))
 def accrual_latest(f: DriverFlow) -> DataFrame:
-    """Accrual of the pipeline dataset's latest period per award x area."""
-    return datasets.latest_accrual(f.pipeline)
+    """Accrual of the pipeline dataset's latest period per award x area, NaNs skipped."""
+    known = F.col("bilateral_obl_number").isNotNull()
+    return datasets.latest_accrual(f.pipeline.withColumn("last_qtr_accrual_amt", F.when(
+        known, F.col("last_qtr_accrual_amt")).otherwise(F.lit(float("nan")))))
 
 
 @register("running_total_fy", O.with_ctes(f"""

@@ -11,7 +11,7 @@ the tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,31 +25,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Sector values standing for the active / expired award lists.
 ACTIVE_SEGMENT = "BUILDING"
 EXPIRED_SEGMENT = "MACHINERY"
-DRIVER_CFG: FlowConfig = DEFAULT.with_sectors(ACTIVE_SEGMENT, EXPIRED_SEGMENT)
-
-
-# Fact-sized driver tables (grow with the scale factor).
-FACT_TABLES = ("orders", "lineitem")
+DRIVER_CFG: FlowConfig = replace(DEFAULT.with_sectors(ACTIVE_SEGMENT, EXPIRED_SEGMENT),
+                                 plan_extra_amounts=("bridge_amount",))
+# The award that a third of all transactions carry.
+HOT_AWARD = "AW4"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table.  A fact table whose scan yields fewer splits
-    than the cluster has cores (one big row group) is spread round-robin so
-    the row-level work runs on every core; a scan of many files / row
-    groups -- the normal case at scale -- is left as it is."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if name in FACT_TABLES:
-        cores = spark.sparkContext.defaultParallelism
-        key = (spark.sparkContext.applicationId, path)
-        if key not in _SPLITS:
-            _SPLITS[key] = df.rdd.getNumPartitions()
-        if _SPLITS[key] < cores:
-            df = df.repartition(cores)
-    return df
-
-
-_SPLITS: dict[tuple[str, str], int] = {}
+    """Scan one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(c: Column, pairs, default=None) -> Column:
@@ -87,7 +71,14 @@ def role_award(customer: DataFrame, nation: DataFrame, periods: DataFrame) -> Da
         F.when(k % 97 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("  AW"), k.cast("string"), F.lit(" "))).alias("award_number"),
         F.when(k % 11 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal")).alias("total_estimated_cost"),
+        F.when(k % 3 == 0, F.concat(F.lit("2023-10-"), F.lpad((k % 28 + 1).cast("string"), 2, "0"), F.lit(" 00:00:00")))
+         .otherwise(F.concat(F.lpad((k % 12 + 1).cast("string"), 2, "0"), F.lit("/01/2023"))).alias("start_date"),
+        F.when(k % 7 != 0, F.concat(F.lit("2027-09-"), F.lpad((k % 28 + 1).cast("string"), 2, "0"),
+                                    F.lit("T00:00:00Z"))).alias("end_date"),
         _case(region, [(0, "International"), (1, "US")], F.lit("Local")).alias("u_s_org_local"),
+        F.concat(F.lit("Manager "), (k % 5).cast("string")).alias("aor_cor_or_activity_manager"),
+        F.when(k % 2 == 0, F.lit("Core")).otherwise(F.lit("OCO")).alias("funding_type"),
+        F.when(k % 4 != 0, F.lit("Yes")).alias("pepfar_funding"),
         F.col("period"),
     )
 
@@ -115,6 +106,14 @@ def role_plan(orders: DataFrame) -> DataFrame:
          .otherwise(F.lit("Mechanism")).alias("implementing_mechanism"),
         _case(k % 4, [(0, "HIV/AIDS"), (1, "TB"), (2, "Malaria")], F.lit("Other")).alias("program_area"),
         F.when(k % 9 == 0, F.lit("n/a")).otherwise(_money_text(F.col("o_totalprice"))).alias("un_sub_obligated_funds"),
+        (k % 400).cast("string").alias("planned_subobligations_for_the_next_months"),
+        (k % 600).cast("string").alias("total_obligations_this_fy"),
+        F.when(k % 17 == 0, F.lit("n/a")).otherwise((k % 70).cast("string")).alias("projected_monthly_burn_rate"),
+        _case(k % 6, [(0, "2024-01-31"), (1, "24-02-28"), (2, "240131"), (3, "2024 Jan 31"), (4, "99/12/5")],
+              F.lit("soon")).alias("planned_sub_oblig_date"),
+        (k % 800).cast("string").alias("approved_budget_cop_op"),
+        (k % 50).cast("string").alias("unliquidated_obligations_at_the_beginning_of_the_fy"),
+        F.when(k % 8 != 0, (k % 333).cast("string")).alias("bridge_amount"),
         F.when(k % 6 == 0, F.concat(F.lit("note "), (k % 7).cast("string"))).alias("comments"),
         _label(F.col("o_orderdate")).alias("period"),
     )
@@ -125,13 +124,15 @@ def role_ledger(orders: DataFrame) -> DataFrame:
     aw = F.concat(F.lit("AW"), F.col("o_custkey").cast("string"))
     return orders.select(
         F.when(k % 10 == 0, F.lit("ZZ")).when(k % 33 == 0, F.lit(None).cast("string")).otherwise(aw).alias("award_number"),
-        F.when(k % 20 == 0, F.lit("ZZ")).otherwise(aw).alias("document_number"),
+        F.when(k % 20 == 0, F.concat(F.lit("D"), k.cast("string"))).otherwise(aw).alias("document_number"),
         _case(F.col("o_orderpriority"), [("1-URGENT", "OBLG_UNI"), ("2-HIGH", "OBLG_SUBOB")], F.lit("OTHER")).alias("obligation_type"),
         _case(F.col("o_orderstatus"), [("F", "656-M"), ("O", "656-GH-M")], F.lit("OTHER")).alias("distribution"),
         _case(k % 5, [(0, "A047"), (1, "A048"), (2, "A141"), (3, "A051")]).alias("program_element"),
         F.when(k % 3 == 0, F.lit("DR.4")).alias("program_area"),
         _case(k % 3, [(0, "656-DOAG-656-22-019-IH"), (1, "656-DOAG-OLD")]).alias("bilateral_obl_number"),
         F.when(k % 29 == 0, F.lit("1,234")).otherwise(_money_text(F.col("o_totalprice"))).alias("document_amt"),
+        (k % 700).cast("string").alias("obligation_amt"),
+        (k % 650).cast("string").alias("subobligation_amt"),
         (k % 900).cast("string").alias("disbursement_amt"),
         F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise((k % 1000).cast("string")).alias("last_qtr_accrual_amt"),
         (k % 777).cast("string").alias("undisbursed_amt"),
@@ -150,8 +151,10 @@ def role_txn(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     aw = F.concat(F.lit("AW"), F.col("o_custkey").cast("string"))
     df = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return df.select(
-        F.when(ln == 1, F.lit("ZZ")).when(ln == 2, F.lit(None).cast("string")).otherwise(aw).alias("award_number"),
-        F.when(ln == 1, aw).otherwise(F.lit("ZZ")).alias("document_number"),
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(HOT_AWARD)).when(ln == 1, F.lit("ZZ"))
+         .when(ln == 2, F.lit(None).cast("string")).otherwise(aw).alias("award_number"),
+        F.when(ln == 1, aw).otherwise(F.concat(F.lit("D"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                                               ln.cast("string"))).alias("document_number"),
         aw.alias("obl_document_number"),
         F.when(F.col("l_orderkey") % 101 == 0, F.lit(None).cast("string"))
          .otherwise(excel_serial(F.col("l_shipdate")).cast("string")).alias("transaction_date"),
@@ -165,7 +168,8 @@ def role_txn(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 # Staged award lists / key sets, shared by every query of one application
-# over one input folder (one quarterly run stages its award lists once).
+# over one input folder (one quarterly run stages its award lists once).  The
+# driver tables do not change while an application runs.
 _STAGED: dict[tuple, object] = {}
 _PLANS: dict[tuple, DataFrame] = {}
 
@@ -196,7 +200,9 @@ class DriverFlow:
         """Memoize a lazy DataFrame *plan* per session (plan construction is
         driver-side analysis work; no data is cached, every query still runs
         the plan in full)."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.cfg, self.staged, name)
+        from fundflow.operators.stage import broadcast_limit
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.cfg, self.staged, broadcast_limit(self.spark),
+               name)
         if key not in _PLANS:
             _PLANS[key] = build()
         return _PLANS[key]
@@ -261,11 +267,6 @@ class DriverFlow:
         from fundflow.operators import key_set
         return self._keys(key_set(self.active), "active_keys")
 
-    @cached_property
-    def expired_keys(self):
-        from fundflow.operators import key_set
-        return self._keys(key_set(self.expired), "expired_keys")
-
     @cached_property
     def all_keys(self):
         from fundflow.operators import key_set, union_keys
@@ -317,14 +318,19 @@ class DriverFlow:
     @cached_property
     def pipeline(self) -> DataFrame:
         from fundflow.plans import datasets
-        return datasets.pipeline_dataset(self.active, self.ledger, self.plan, self.txn)
+        return datasets.pipeline_dataset(self.active, self.ledger, self.plan, self.txn, self._cut)
 
     @cached_property
     def pipeline_latest(self) -> DataFrame:
         """Pipeline dataset of the latest active period only (all D2 needs)."""
         from fundflow.operators import latest_period
         from fundflow.plans import datasets
-        return datasets.pipeline_dataset(latest_period(self.active), self.ledger, self.plan, self.txn)
+        return datasets.pipeline_dataset(latest_period(self.active), self.ledger, self.plan, self.txn, self._cut)
+
+    @property
+    def _cut(self):
+        from fundflow.operators import stage
+        return (lambda df: stage(df, "base")) if self.staged else None
 
     @cached_property
     def txn_dataset(self) -> DataFrame:

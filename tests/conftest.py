@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     s = (SparkSession.builder.master("local[4]")
@@ -16,6 +16,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
