@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct named ``__row``: an operator that returns the
+    rows as they came carries them so, clear of its own column names."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z only; every other letter keeps its case."""
     return F.translate(c, string.ascii_uppercase, string.ascii_lowercase)

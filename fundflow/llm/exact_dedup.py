@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.llm.common import ascii_lower, bitmap, group_key, with_membership
+from fundflow.llm.common import ascii_lower, bitmap, group_key, whole_row, with_membership
 from fundflow.operators.stage import stage
 
 PREFIX_CHARS = 64
@@ -81,10 +81,10 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                      .groupBy(group_key(F.col("doc_id")).alias("__id"), F.col("text_sha256").alias("__sha"))
                      .agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__n"))
                      .filter("NOT __kept OR __n > 1"), "exact-verdicts")
-    sha = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256)
-    flagged = with_membership(docs.withColumn("__id", group_key(F.col(id_col))).withColumn("__h", F.xxhash64("__id")),
-                              bitmap(verdicts.select(F.xxhash64("__id").alias("__h")), "__h"), "__h", "__in")
+    rows = docs.select(whole_row(docs), group_key(F.col(id_col)).alias("__id")).withColumn("__h", F.xxhash64("__id"))
+    sha = F.sha2(ascii_lower(F.coalesce(F.col(f"__row.{text_col}"), F.lit(""))).cast("binary"), 256)
+    flagged = with_membership(rows, bitmap(verdicts.select(F.xxhash64("__id").alias("__h")), "__h"), "__h", "__in")
     concerned = (flagged.filter("__in").withColumn("__sha", sha)
                  .join(verdicts.filter("NOT __kept").select("__id", "__sha"), ["__id", "__sha"], "left_anti")
                  .dropDuplicates(["__id", "__sha"]))
-    return flagged.filter("NOT __in").select(*docs.columns).unionByName(concerned.select(*docs.columns))
+    return flagged.filter("NOT __in").select("__row.*").union(concerned.select("__row.*"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fundflow.llm.common import bucket_count, group_key, running, word_count
+from fundflow.llm.common import bucket_count, group_key, running, whole_row, word_count
 from fundflow.operators.stage import stage
 
 MAX_EPOCHS = 3
@@ -92,7 +92,7 @@ def time_of(segs: Column, share: Column) -> Column:
     s = F.coalesce(F.element_at(F.filter(segs, lambda s: (s["s0"] <= due) & (s["area"] > 0)), -1), F.get(segs, 0))
     rest = F.greatest(due - s["s0"], F.lit(0.0))
     root = s["a"] + F.sqrt(F.greatest(s["a"] * s["a"] + 2.0 * s["b"] * rest, F.lit(0.0)))
-    return s["t0"] + F.coalesce(F.least(F.when(root > 0, 2.0 * rest / root), s["d"]), F.lit(0.0))
+    return s["t0"] + F.least(F.when(root > 0, 2.0 * rest / root).otherwise(F.lit(0.0)), s["d"])
 
 
 def mix_plan(docs: DataFrame, weigh=ranked_weights, id_col: str = "doc_id", text_col: str = "text",
@@ -131,7 +131,7 @@ def mix_plan(docs: DataFrame, weigh=ranked_weights, id_col: str = "doc_id", text
         take = lambda k: F.greatest(F.least(due - start(k), F.col("size")), F.lit(0))
     copies = F.filter(F.transform(F.array(*[F.lit(k) for k in range(max_epochs)]), lambda k: F.struct(
         k.alias("copy"), take(k).cast("long").alias("take"),
-        F.least(time_of(F.col("__segs"), start(k) / F.col("target")), F.lit(1.0)).alias("position"))),
+        F.least(time_of(F.col("__segs"), start(k) / F.nullif(F.col("target"), F.lit(0.0))), F.lit(1.0)).alias("position"))),
         lambda x: x["take"] > 0)
     return (rows.withColumn("copies", copies)
             .withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda acc, x: acc + x["take"]))
@@ -147,8 +147,8 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .agg(F.flatten(F.collect_list("copies.position")).alias("__at")))
     md5 = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
     # Rows that repeat id and text share one list of copies: give each list to one of them.
-    keyed = docs.withColumn("__id", group_key(F.col(id_col))).withColumn("__text_md5", md5)
+    keyed = docs.select(whole_row(docs), group_key(F.col(id_col)).alias("__id"), md5.alias("__text_md5"))
     return (keyed.dropDuplicates(["__id", "__text_md5"]).join(plan, ["__id", "__text_md5"])
             .withColumn("__at", F.explode("__at"))
             .repartitionByRange(F.col("__at"), F.col("__id")).sortWithinPartitions("__at", "__id", "__text_md5")
-            .select(*docs.columns))
+            .select("__row.*"))
