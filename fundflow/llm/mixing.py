@@ -57,8 +57,9 @@ def water_fill(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     w = Window.partitionBy(F.lit(0))
     order = w.orderBy(F.col("__ratio").asc_nulls_last(), F.col("__gk"))
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    level = (F.sum("source_size").over(w) - F.coalesce(F.sum("__cap").over(before), F.lit(0.0))) \
-        / F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    rest = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    level = ((F.sum("source_size").over(w) - F.coalesce(F.sum("__cap").over(before), F.lit(0.0)))
+             / F.nullif(rest, F.lit(0.0)))
     return (sizes.withColumn("__cap", cap).withColumn("__ratio", F.col("__cap") / F.nullif(F.col("weight"), F.lit(0.0)))
             .withColumn("__level", level).withColumn("__i", F.row_number().over(order))
             .withColumn("__first", F.min(F.when(F.col("__cap") >= F.col("weight") * F.col("__level"), F.col("__i")))
@@ -70,7 +71,7 @@ def water_fill(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
 
 
 def segments(knots: Column) -> Column:
-    """Knots ``array<struct<t, w>>`` to segments with start ``t0``, length
+    """Knots ``array<struct<t, w>>``, ``t`` rising, to segments with start ``t0``, length
     ``d``, weight ``a`` at the start, slope ``b`` and integral ``s0`` before."""
     pair = F.transform(F.sequence(F.lit(0), F.size(knots) - 2), lambda i: F.struct(
         F.get(knots, i)["t"].alias("t0"), (F.get(knots, i + 1)["t"] - F.get(knots, i)["t"]).alias("d"),
@@ -89,7 +90,7 @@ def time_of(segs: Column, share: Column) -> Column:
     reached: the inverse of a piecewise quadratic."""
     whole = F.aggregate(segs, F.lit(0.0), lambda acc, s: acc + s["area"])
     due = share * whole
-    s = F.coalesce(F.element_at(F.filter(segs, lambda s: (s["s0"] <= due) & (s["area"] > 0)), -1), F.get(segs, 0))
+    s = F.coalesce(F.try_element_at(F.filter(segs, lambda s: (s["s0"] <= due) & (s["area"] > 0)), F.lit(-1)), F.get(segs, 0))
     rest = F.greatest(due - s["s0"], F.lit(0.0))
     root = s["a"] + F.sqrt(F.greatest(s["a"] * s["a"] + 2.0 * s["b"] * rest, F.lit(0.0)))
     return s["t0"] + F.least(F.when(root > 0, 2.0 * rest / root).otherwise(F.lit(0.0)), s["d"])
