@@ -5,15 +5,19 @@ union-find grouping.
    fingerprint of the set and a SuperMinHash signature cut into bands.
    Documents with equal sets are one class; only its smallest id goes on.
 2. Classes that agree in a band share a bucket.  Instead of all its pairs, a
-   bucket is compared to one member, its hub.  Members linked with the hub are
-   connected and done; the others form the bucket of the next round.  When
-   few pairs are left, all are compared.
-3. A member A not linked with the hub may still be linked with a member B that
-   is.  Jaccard distance is a metric, so this needs d(B, hub) >= d(A, hub) -
-   0.2: those pairs are compared too unless they are connected already.  So
-   every pair that shares a bucket is connected, compared, or proven apart.
+   bucket is compared to one member, its hub: the one that agrees with most
+   others over all bands.  Buckets of one hub are its star.  Members linked
+   with the hub are connected and need no other comparison.
+3. A member A that is not linked with the hub may be linked with another
+   member B of the star.  Jaccard distance is a metric, so this needs
+   d(A, hub) and d(B, hub) within 0.2 of each other: such pairs are compared,
+   in blocks of sets, by matrix products.  So every pair that shares a bucket
+   is connected, compared, or proven apart.
 4. Links are confirmed on the full shingle sets, and grouped by union-find.
 
+The work in step 3 is the members a hub does not link times the star; copies
+of one text are mostly linked by their hub.
+
 With 40 bands of 6 rows two texts at similarity 0.8 share no bucket with
 probability 5e-6, at 0.9 with 1e-13.
 """
@@ -21,29 +25,29 @@ probability 5e-6, at 0.9 with 1e-13.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.llm.common import bitmap, with_membership
-from fundflow.llm.graph import components
+from fundflow.llm.common import arrow_batches, bitmap, whole_row, with_membership
+from fundflow.llm.graph import UnionFind, components
 from fundflow.operators.stage import stage
 
 WIDTH = 5
 PERCENT = 80
 BANDS, ROWS = 40, 6
-#: Orders in which buckets choose their hubs: by band, modulo this.
-HUB_ORDERS = 4
-#: All pairs of the remaining buckets are compared once they are at most so many per class.
-PAIRS_PER_CLASS = 4
-MAX_ROUNDS = 12
-CACHE_WORDS = 500_000
-#: Elements whose permutations a task holds at once.
-CHUNK = 1 << 16
+#: Sets in a block and their elements, and columns of a block's 0/1 matrix: they bound a task's memory.
+BLOCK_SETS = 512
+BLOCK_ELEMENTS = 1 << 16
+COLUMNS = 4096
+CACHE_WORDS = 100_000
+#: Elements whose permutations a task holds at once, and the rows that it is sent at once: texts, block pairs.
+CHUNK = 1 << 15
+BATCH_TEXTS, BATCH_BLOCKS = 1000, 32
 
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -119,37 +123,37 @@ def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h
 
 
-def _chunks(sets: list[np.ndarray]) -> Iterator[list[int]]:
-    now: list[int] = []
+def _sign_sets(sets: Iterator[np.ndarray], bands: int, rows: int) -> Iterator[tuple]:
+    """Size, fingerprint and band hashes of every set, a chunk at a time."""
+    def done() -> Iterator[tuple]:
+        full = [s for s in chunk if len(s)]
+        keys = iter(band_hashes(super_minhash(full, bands * rows), bands, rows).view(np.int64) if full else ())
+        for s in chunk:
+            hi, lo = np.array([xxhash.xxh64_intdigest(s.tobytes(), seed) for seed in (1, 2)], np.uint64).view(np.int64)
+            yield len(s), hi, lo, next(keys) if len(s) else None
+
+    chunk: list[np.ndarray] = []
     size = 0
-    for i, s in enumerate(sets):
-        if now and size + len(s) > CHUNK:
-            yield now
-            now, size = [], 0
-        if len(s):
-            now.append(i)
-            size += len(s)
-    if now:
-        yield now
+    for s in sets:
+        if size + len(s) > CHUNK:
+            yield from done()
+            chunk, size = [], 0
+        chunk.append(s)
+        size += len(s)
+    yield from done()
 
 
 def sign(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """``doc_id, n, hi, lo, bands`` of ``docs (doc_id, text)``: size and
     fingerprint of the shingle set, and its band hashes (NULL when empty)."""
-    @F.pandas_udf("n long, hi long, lo long, bands array<long>")
-    def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("n long, hi long, lo long, bands array<long>")
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes = WordHashes()
-        for texts in batches:
-            sets = [shingles(t, width, hashes) for t in texts]
-            keys: list = [None] * len(sets)
-            for part in _chunks(sets):
-                h = band_hashes(super_minhash([sets[i] for i in part], bands * rows), bands, rows).view(np.int64)
-                for i, x in zip(part, h):
-                    keys[i] = x
-            prints = np.array([[xxhash.xxh64_intdigest(s.tobytes(), seed) for seed in (1, 2)] for s in sets],
-                              np.uint64).reshape(len(sets), 2).view(np.int64)
-            yield pd.DataFrame({"n": np.array([len(s) for s in sets], np.int64), "hi": prints[:, 0], "lo": prints[:, 1],
-                                "bands": pd.Series(keys, dtype=object)})
+        for texts in batches:  # one text at a time leaves the Arrow buffer
+            done = list(_sign_sets((shingles(t.as_py(), width, hashes) for t in texts), bands, rows))
+            columns = [pa.array([x[i] for x in done], pa.int64()) for i in range(3)]
+            yield pa.StructArray.from_arrays([*columns, pa.array([x[3] for x in done], pa.list_(pa.int64()))],
+                                             ["n", "hi", "lo", "bands"])
 
     return docs.select("doc_id", signed("text").alias("__s")).select("doc_id", "__s.*")
 
@@ -184,76 +188,121 @@ def _pair(a: str, b: str) -> list:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
 
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set in ``a`` with every set in
+    ``b``, as products of 0/1 matrices over the elements both sides have."""
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    both = np.intersect1d(flat_a, flat_b)
+    sides = []
+    for flat, sets in ((flat_a, a), (flat_b, b)):
+        at = np.searchsorted(both, flat)
+        at[at == len(both)] = 0
+        here = both[at] == flat if len(both) else np.zeros(len(flat), bool)
+        order = np.argsort(at[here], kind="stable")
+        sides.append((np.repeat(np.arange(len(sets)), [len(x) for x in sets])[here][order], at[here][order]))
+    out = np.zeros((len(a), len(b)), np.float32)  # exact up to 2^24
+    for first in range(0, len(both), COLUMNS):
+        x = []
+        for (row, col), n in zip(sides, (len(a), len(b))):
+            lo, hi = np.searchsorted(col, [first, first + COLUMNS])
+            m = np.zeros((n, COLUMNS), np.float32)
+            m[row[lo:hi], col[lo:hi] - first] = 1.0
+            x.append(m)
+        out += x[0] @ x[1].T
+    return out
+
+
+def _compare_blocks(percent: int):
+    """Links between the sets of two blocks, as the edges of a forest."""
+    def sets_of(row, side: str) -> tuple[np.ndarray, list[np.ndarray]]:
+        sizes = np.frombuffer(getattr(row, f"sizes_{side}"), np.int64)
+        return (np.frombuffer(getattr(row, f"ids_{side}"), np.int64),
+                np.split(np.frombuffer(getattr(row, f"sets_{side}"), np.uint64), np.cumsum(sizes)[:-1]))
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                (ia, a), (ib, b) = sets_of(row, "a"), sets_of(row, "b")
+                common = shared_counts(a, b).astype(np.int64)
+                both = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b]) - common
+                x, y = np.nonzero(common * 100 >= both * percent)
+                uf = UnionFind()
+                links = [(u, v) for u, v in zip(ia[x].tolist(), ib[y].tolist()) if u != v and uf.union(u, v)]
+                yield pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+
+    return compare
+
+
 def link_classes(classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
-    """Links ``u, v`` that connect all classes ``(id, bands)`` as the links
+    """Links ``u, v`` that connect all classes ``(id, n, bands)`` as the links
     between them do; None without any."""
-    linked = F.col("common") * 100 >= F.col("both") * percent
+    spark = classes.sparkSession
     slack = 1.0 - percent / 100.0 + 1e-9
-    hub_of = F.min(F.struct(F.xxhash64("id", F.col("band") % HUB_ORDERS), "id"))["id"]
-
     entries = classes.select("id", F.posexplode("bands").alias("band", "h"))
-    buckets = stage(entries.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n"), hub_of.alias("hub")).filter("n > 1"),
-                    "near-buckets")
+    buckets = stage(entries.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-buckets")
     if buckets.isEmpty():
         return None
     few = with_membership(entries, bitmap(buckets, "h"), "h", "__in").filter("__in").drop("__in")
-    members = stage(few.join(buckets.select("band", "h", "hub"), ["band", "h"]), "near-members")
-    ids = members.select("id").distinct()
+    members = stage(few.join(buckets, ["band", "h"]), "near-members")
+    # The hub is the member that agrees with most others over all its bands: of copies, the one nearest to all.
+    degree = members.groupBy("id").agg(F.sum("n").alias("degree"))
+    hubs = (members.join(degree, "id").groupBy("band", "h")
+            .agg(F.max(F.struct("degree", "id"))["id"].alias("hub")))
+    stars = stage(members.join(hubs, ["band", "h"]).filter("id <> hub").select("hub", "id").distinct(), "near-stars")
+    ids = stars.select(F.explode(F.array("hub", "id")).alias("id")).distinct()
     near = with_membership(docs.select(F.col("doc_id").alias("id"), "text").withColumn("__h", F.xxhash64("id")),
                            bitmap(ids.select(F.xxhash64("id").alias("__h")), "__h"), "__h", "__in")
     texts = stage(near.filter("__in").select("id", "text"), "near-texts")
-    n_classes = ids.count()
-
-    found, stars = [], []
-    for turn in count():
-        pairs = members.filter("id <> hub").select(*_pair("hub", "id")).distinct()
-        tested = stage(verify(pairs, texts, width), "near-tested")
-        found.append(tested.filter(linked).select("u", "v"))
-        distance = tested.groupBy("u", "v").agg(F.min(1.0 - F.col("common") / F.col("both")).alias("d"),
-                                                F.max(linked).alias("linked"))
-        star = stage(members.filter("id <> hub").withColumns({"u": F.least("hub", "id"), "v": F.greatest("hub", "id")})
-                     .join(distance, ["u", "v"]).select("band", "h", "id", "d", "linked"), "near-star")
-        stars.append(star.withColumn("turn", F.lit(turn)))
-        rest = star.filter("NOT linked").select("band", "h", "id")
-        left = stage(rest.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n"), hub_of.alias("hub")).filter("n > 1"),
-                     "near-left")
-        open_pairs = left.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()[0]
-        if not open_pairs:
-            break
-        rest = rest.join(left.select("band", "h", "hub"), ["band", "h"])
-        if open_pairs <= PAIRS_PER_CLASS * n_classes or turn + 1 == MAX_ROUNDS:
-            a = rest.select("band", "h", F.col("id").alias("u"))
-            b = rest.select("band", "h", F.col("id").alias("v"))
-            pairs = a.join(b, ["band", "h"]).filter("u < v").select("u", "v").distinct()
-            found.append(stage(verify(pairs, texts, width), "near-tested").filter(linked).select("u", "v"))
-            break
-        members = stage(rest, "near-members")
-
-    links = found[0]
-    for x in found[1:]:
-        links = links.unionByName(x)
-    links = stage(links.distinct(), "near-links")
-    # Members that the hub did not link, against those it did.
-    star = stars[0]
-    for x in stars[1:]:
-        star = star.unionByName(x)
-    key = ["turn", "band", "h"]
-    off = star.filter("NOT linked").select(*key, F.col("id").alias("a"), F.col("d").alias("da"))
-    on = star.filter("linked").select(*key, F.col("id").alias("b"), F.col("d").alias("db"))
-    reach = on.groupBy(*key).agg(F.max("db").alias("far"))
-    off = stage(off.join(reach, key).filter(F.col("far") >= F.col("da") - slack).drop("far"), "near-off")
-    if off.isEmpty():
-        return links
-    root = components(links, "near-cc")
-    at = lambda side: root.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-    off = off.join(at("a"), "a", "left").withColumn("root_a", F.coalesce("root_a", "a"))
-    on = on.join(off.select(*key).distinct(), key, "left_semi").join(at("b"), "b")
-    pairs = (off.join(on, key).filter((F.col("root_a") != F.col("root_b")) & (F.col("db") >= F.col("da") - slack))
-             .select(*_pair("a", "b")).distinct())
-    pairs = stage(pairs, "near-border")
-    if pairs.isEmpty():
+
+    with arrow_batches(spark, BATCH_TEXTS):
+        tested = stage(verify(stars.select(*_pair("hub", "id")).distinct(), texts, width), "near-tested")
+    linked = F.col("common") * 100 >= F.col("both") * percent
+    links = tested.filter(linked).select("u", "v")
+    distance = tested.groupBy("u", "v").agg(F.min(1.0 - F.col("common") / F.col("both")).alias("d"),
+                                            F.max(linked).alias("linked"))
+    star = stage(stars.withColumns({"u": F.least("hub", "id"), "v": F.greatest("hub", "id")})
+                 .join(distance, ["u", "v"]).select("hub", "id", "d", "linked"), "near-star")
+    # Members that a hub did not link, against the others of its star, in blocks.
+    open_ = star.filter("NOT linked").groupBy("hub").agg(F.min("d").alias("least"), F.count(F.lit(1)).alias("k"))
+    there = star.join(open_, "hub").filter(~F.col("linked") | (F.col("d") >= F.col("least") - slack))
+    there = there.join(there.groupBy("hub").agg(F.count(F.lit(1)).alias("all")), "hub").filter("all > 1")
+    there = there.join(classes.select("id", "n"), "id").withColumn("bin", F.floor(F.col("d") * 50).cast("int"))
+    key = ["hub", "linked", "bin"]
+    cuts = there.groupBy(*key).agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS,
+                                                     F.sum("n") / BLOCK_ELEMENTS)).alias("cuts"))
+    there = stage(there.join(cuts, key).withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")))
+                  .select(*key, "cut", "id", "d"), "near-open")
+    if there.isEmpty():
         return links
-    return links.unionByName(stage(verify(pairs, texts, width), "near-tested").filter(linked).select("u", "v"))
+
+    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
+        hashes = WordHashes()
+        sets = [shingles(t, width, hashes) for t in pdf["text"]]
+        first = pdf.iloc[0]
+        return pd.DataFrame({"hub": [first["hub"]], "linked": [first["linked"]], "bin": [first["bin"]],
+                             "cut": [first["cut"]], "low": [pdf["d"].min()], "high": [pdf["d"].max()],
+                             "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
+                             "sizes": [np.array([len(s) for s in sets], np.int64).tobytes()],
+                             "sets": [np.concatenate(sets).tobytes()]})
+
+    packing = there.join(texts, "id").groupBy(*key, "cut").applyInPandas(
+        packed, "hub long, linked boolean, bin int, cut long, low double, high double, ids binary, sizes binary, "
+                "sets binary")
+    with arrow_batches(spark, BATCH_TEXTS):
+        blocks = stage(packing, "near-blocks")
+    side = lambda s, cols: [F.col(c).alias(f"{c}_{s}") for c in cols]
+    name, load = ["linked", "bin", "cut"], ["ids", "sizes", "sets"]
+    a = blocks.filter("NOT linked").select("hub", *side("a", [*name, "low", "high"]))
+    b = blocks.select("hub", *side("b", [*name, "low", "high"]))
+    once = F.col("linked_b") | (F.struct("bin_a", "cut_a") <= F.struct("bin_b", "cut_b"))
+    near_enough = (F.col("low_a") <= F.col("high_b") + slack) & (F.col("low_b") <= F.col("high_a") + slack)
+    pairs = a.join(b, "hub").filter(once & near_enough).select("hub", *[f"{c}_{s}" for s in "ab" for c in name])
+    full = lambda s: blocks.select("hub", *side(s, [*name, *load]))
+    found = (pairs.join(full("a"), ["hub", *[f"{c}_a" for c in name]]).join(full("b"), ["hub", *[f"{c}_b" for c in name]])
+             .select(*[f"{c}_{s}" for s in "ab" for c in load])
+             .mapInPandas(_compare_blocks(percent), "u long, v long"))
+    with arrow_batches(spark, BATCH_BLOCKS):
+        return links.unionByName(stage(found, "near-found"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
@@ -272,16 +321,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     no rows.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stage(sign(docs, width, bands, rows), "near-signed")
+    with arrow_batches(docs.sparkSession, BATCH_TEXTS):
+        signed = stage(sign(docs, width, bands, rows), "near-signed")
     some = signed.filter("n > 0 AND doc_id IS NOT NULL")
     classes = stage(some.groupBy("hi", "lo").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("size"),
+                                                 F.first("n").alias("n"),
                                                  F.first("bands").alias("bands")), "near-classes")
     # An id that repeats with other texts ties their classes together.
     tied = (some.select("doc_id", "hi", "lo").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"))
             .filter("k > 1").select("doc_id"))
     ties = (some.select("doc_id", "hi", "lo").join(tied, "doc_id").join(classes.select("hi", "lo", "id"), ["hi", "lo"])
             .select(*_pair("doc_id", "id")).filter("u <> v"))
-    links = link_classes(classes.select("id", "bands"), docs, width, percent)
+    links = link_classes(classes.select("id", "n", "bands"), docs, width, percent)
     links = ties if links is None else links.unionByName(ties)
     root = components(links, "near-cc")
     # Class to component, for classes that have more than one document; a skewed class is a plain join's row side.
@@ -301,7 +352,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows that may carry one are shuffled."""
     dropped = stage(near_duplicates(docs, id_col, text_col, **kw).filter("NOT kept")
                     .select(F.col("doc_id").alias("__id")).distinct(), "near-dropped")
-    flagged = with_membership(docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__h", F.xxhash64("__id")),
-                              bitmap(dropped.select(F.xxhash64("__id").alias("__h")), "__h"), "__h", "__in")
+    rows = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("__id")).withColumn("__h", F.xxhash64("__id"))
+    flagged = with_membership(rows, bitmap(dropped.select(F.xxhash64("__id").alias("__h")), "__h"), "__h", "__in")
     unsure = flagged.filter("__in").join(dropped, "__id", "left_anti")
-    return flagged.filter("NOT __in").select(*docs.columns).unionByName(unsure.select(*docs.columns))
+    return flagged.filter("NOT __in").select("__row.*").union(unsure.select("__row.*"))
