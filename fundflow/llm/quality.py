@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,10 +76,10 @@ def statistics(text: str | None) -> list[float]:
 
 
 def statistics_of(text: Column) -> Column:
-    @F.pandas_udf("array<double>")
-    def stats(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def stats(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([statistics(t) for t in texts], dtype=object)
+            yield pa.array([statistics(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
     return stats(text)
 
@@ -168,11 +168,11 @@ def learn_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_
 
 def quality_of(text: Column, trees: Trees) -> Column:
     """Score of a whole text, 0 to 1."""
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            x = np.array([statistics(t) for t in texts], float).reshape(len(texts), len(FEATURES))
-            yield pd.Series(trees.score(x))
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:  # one text at a time leaves the Arrow buffer
+            x = np.array([statistics(t.as_py()) for t in texts], float).reshape(len(texts), len(FEATURES))
+            yield pa.array(trees.score(x), pa.float64())
 
     return score(text)
 

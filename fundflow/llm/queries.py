@@ -7,19 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.llm import (chat, embed_dedup, exact_dedup, langid, mixing, near_dedup, packing, quality, sharding,
-                          url_reputation)
+from fundflow.llm import (chat, embed_dedup, exact_dedup, langid, mixing, near_dedup, oracle, packing, quality,
+                          sharding, url_reputation)
 from fundflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(oracle: str | None = None):
+def query(sql: str | None = None):
     def add(fn):
         QUERIES[fn.__name__] = fn
-        if oracle:
-            ORACLE[fn.__name__] = oracle
+        if sql:
+            ORACLE[fn.__name__] = sql
         return fn
     return add
 
@@ -33,9 +33,9 @@ def op1_rank_order_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 2 -----------------------------------------------------------------------
 
-@query()
+@query(oracle.URLS)
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcome of a page: the quality label of the document crawled from it."""
+    """Outcome of a page: the quality label of the document with its id."""
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
     return url_reputation.judge_urls(table(spark, sf_dir, "pages"), outcomes)
 
@@ -54,7 +54,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 4 -----------------------------------------------------------------------
 
-@query()
+@query(oracle.NEAR)
 def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -98,7 +98,7 @@ def op5_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 6 -----------------------------------------------------------------------
 
-@query()
+@query(oracle.EMBEDDINGS)
 def op6_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.embedding_duplicates(table(spark, sf_dir, "embeddings"))
 
