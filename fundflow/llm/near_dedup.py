@@ -92,6 +92,10 @@ def super_minhash(sets: list[np.ndarray], m: int) -> np.ndarray:
     ones, and a set stops once no slot holds an offer of a later step than the
     present one.  Values are integers: the step in the top 8 bits, r below.
     """
+    if len(sets) == 1 and len(sets[0]) > CHUNK:
+        # A slot's least offer over a union is the least over its parts.
+        parts = [sets[0][i:i + CHUNK] for i in range(0, len(sets[0]), CHUNK)]
+        return np.minimum.reduce([super_minhash([p], m) for p in parts])
     out = np.full((len(sets), m), np.iinfo(np.uint64).max, np.uint64)
     elements = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])

@@ -115,7 +115,7 @@ def test_near_duplicates_repeated_and_null_ids(spark):
         [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (None, None, True), (9, 9, True)], key=repr)
 
 
-def test_super_minhash_estimates_similarity():
+def test_super_minhash_estimates_similarity(monkeypatch):
     rnd = np.random.default_rng(3)
     m = 128
     errors = []
@@ -127,6 +127,11 @@ def test_super_minhash_estimates_similarity():
     assert abs(np.mean(errors)) < 0.02
     # Lower variance than independent hashes would have.
     assert np.var(errors) < 0.6 * 0.4 / m
+    # A set larger than a chunk is signed in parts, with the same signature.
+    big = np.unique(rnd.integers(0, 2 ** 63, 3 * near_dedup.CHUNK, dtype=np.uint64))
+    whole = near_dedup.super_minhash([big], 32)
+    monkeypatch.setattr(near_dedup, "CHUNK", 1 << 30)
+    assert np.array_equal(near_dedup.super_minhash([big], 32), whole)
     one = near_dedup.super_minhash([np.array([5], np.uint64)], 16)
     assert np.array_equal(np.sort(one[0] >> np.uint64(56)), np.arange(16))
 
