@@ -14,56 +14,54 @@ verdict.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fundflow.llm.common import whole_row
+
 #: N-grams in a profile, of a language and of a document.
 TOP = 400
 #: Bounds of the training sample: documents per language, and languages (the most frequent).
 MAX_TRAIN_DOCS = 1000
 MAX_LANGUAGES = 500
-#: Entries of a task's word cache, after which it starts anew.
-CACHE_WORDS = 200_000
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 class NgramCounter:
-    """N-gram codes of texts, with a bounded cache by word.  An n-gram's code
-    packs its code points, 21 bits each, so codes are exact and ordered."""
-
-    def __init__(self, cache_words: int = CACHE_WORDS) -> None:
-        self.cache: dict[str, np.ndarray] = {}
-        self.cache_words = cache_words
-
-    def word_codes(self, word: str) -> np.ndarray:
-        got = self.cache.get(word)
-        if got is None:
-            if len(self.cache) >= self.cache_words:
-                self.cache.clear()
-            runs = []
-            for run in _LETTERS.findall(word):
-                cp = np.frombuffer(f" {run} ".encode("utf-32-le"), dtype="<u4").astype(np.int64)
-                runs += [cp[1:-1], (cp[:-1] << 21) | cp[1:], (cp[:-2] << 42) | (cp[1:-1] << 21) | cp[2:]]
-            got = self.cache[word] = np.concatenate(runs) if runs else np.empty(0, np.int64)
-        return got
+    """N-gram codes of texts.  An n-gram's code packs its code points, 21 bits
+    each, so codes are exact and ordered."""
+
+    def __init__(self) -> None:
+        #: Which code points of the basic plane are letters.
+        self.letters = np.array([chr(i).isalpha() for i in range(1 << 16)])
+
+    def is_letter(self, points: np.ndarray) -> np.ndarray:
+        out = self.letters[np.minimum(points, 0xFFFF)]
+        high = points > 0xFFFF
+        if high.any():
+            out[high] = [chr(x).isalpha() for x in points[high]]
+        return out
 
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct codes, ascending, and how often each occurs in the whole text."""
-        words = Counter((text or "").lower().split())
-        if not words:
+        """Distinct codes, ascending, and how often each occurs in the whole
+        text.  Runs of letters are padded with one blank on either side."""
+        points = np.frombuffer(f" {text or ''} ".lower().encode("utf-32-le"), "<u4").astype(np.int64)
+        letter = self.is_letter(points)
+        if not letter.any():
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        codes = [self.word_codes(w) for w in words]
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(c) for c in codes])
-        distinct, at = np.unique(np.concatenate(codes), return_inverse=True)
-        return distinct, np.bincount(at, weights=times, minlength=len(distinct)).astype(np.int64)
+        points[~letter] = 32
+        keep = np.ones(len(points), bool)  # the first blank, letters, and the blank behind each run
+        keep[1:] = letter[1:] | letter[:-1]
+        x, inner = points[keep], letter[keep]
+        codes = [x[inner], (x[:-1] << 21) | x[1:],
+                 ((x[:-2] << 42) | (x[1:-1] << 21) | x[2:])[inner[1:-1]]]
+        return np.unique(np.concatenate(codes), return_counts=True)
 
 
 def top_ranked(codes: np.ndarray, counts: np.ndarray, top: int = TOP) -> np.ndarray:
@@ -137,12 +135,13 @@ def learn_profiles(train: DataFrame, top: int = TOP, max_docs: int = MAX_TRAIN_D
 def language_of(text: Column, profiles: Profiles) -> Column:
     """``struct<lang: string, score: double>`` of a whole text; NULL texts and
     texts without a letter are ``und`` with score 0."""
-    @F.pandas_udf("lang string, score double")
-    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, score double")
+    def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = NgramCounter()
-        for texts in batches:
-            yield pd.DataFrame([profiles.nearest(top_ranked(*counter.count(t), profiles.top)) for t in texts],
-                               columns=["lang", "score"])
+        for texts in batches:  # one text at a time leaves the Arrow buffer
+            found = [profiles.nearest(top_ranked(*counter.count(t.as_py()), profiles.top)) for t in texts]
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()),
+                                              pa.array([x for _, x in found], pa.float64())], ["lang", "score"])
 
     return nearest(text)
 
@@ -167,5 +166,6 @@ def keep_identified(docs: DataFrame, **bounds: int) -> DataFrame:
     """``docs``, all columns, without documents whose language is ``und``;
     a NULL ``lang`` is filled in."""
     profiles = learn_profiles(docs, **bounds)
-    return (docs.withColumn("__x", language_of(F.col("text"), profiles)).filter(F.col("__x.lang") != UNKNOWN)
-            .withColumn("lang", F.coalesce("lang", "__x.lang")).select(*docs.columns))
+    named = docs.select(whole_row(docs), language_of(F.col("text"), profiles).alias("__x"))
+    filled = F.col("__row").withField("lang", F.coalesce("__row.lang", "__x.lang"))
+    return named.filter(F.col("__x.lang") != UNKNOWN).select(filled.alias("__row")).select("__row.*")
