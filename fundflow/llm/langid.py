@@ -143,7 +143,8 @@ def language_of(text: Column, profiles: Profiles) -> Column:
             yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()),
                                               pa.array([x for _, x in found], pa.float64())], ["lang", "score"])
 
-    return nearest(text)
+    # Else a filter on the verdict would have every text judged twice.
+    return nearest.asNondeterministic()(text)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
@@ -166,6 +167,6 @@ def keep_identified(docs: DataFrame, **bounds: int) -> DataFrame:
     """``docs``, all columns, without documents whose language is ``und``;
     a NULL ``lang`` is filled in."""
     profiles = learn_profiles(docs, **bounds)
-    named = docs.select(whole_row(docs), language_of(F.col("text"), profiles).alias("__x"))
+    named = docs.select(whole_row(docs)).select("__row", language_of(F.col("__row.text"), profiles).alias("__x"))
     filled = F.col("__row").withField("lang", F.coalesce("__row.lang", "__x.lang"))
     return named.filter(F.col("__x.lang") != UNKNOWN).select(filled.alias("__row")).select("__row.*")
