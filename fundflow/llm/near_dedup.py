@@ -267,13 +267,16 @@ def link_classes(classes: DataFrame, docs: DataFrame, width: int, percent: int)
     star = stage(stars.withColumns({"u": F.least("hub", "id"), "v": F.greatest("hub", "id")})
                  .join(distance, ["u", "v"]).select("hub", "id", "d", "linked"), "near-star")
     # Members that a hub did not link, against the others of its star, in blocks.
-    open_ = star.filter("NOT linked").groupBy("hub").agg(F.min("d").alias("least"), F.count(F.lit(1)).alias("k"))
-    there = star.join(open_, "hub").filter(~F.col("linked") | (F.col("d") >= F.col("least") - slack))
-    there = there.join(there.groupBy("hub").agg(F.count(F.lit(1)).alias("all")), "hub").filter("all > 1")
-    there = there.join(classes.select("id", "n"), "id").withColumn("bin", F.floor(F.col("d") * 50).cast("int"))
+    # Summaries by hub are written first, so that each join has the members of a large star as a plain side, which
+    # adaptive execution splits.
+    least = stage(star.filter("NOT linked").groupBy("hub").agg(F.min("d").alias("least")), "near-least")
+    there = stage(star.join(least, "hub").filter(~F.col("linked") | (F.col("d") >= F.col("least") - slack)), "near-there")
+    several = stage(there.groupBy("hub").agg(F.count(F.lit(1)).alias("all")).filter("all > 1").select("hub"), "near-several")
+    there = stage(there.join(several, "hub").join(classes.select("id", "n"), "id")
+                  .withColumn("bin", F.floor(F.col("d") * 50).cast("int")), "near-sized")
     key = ["hub", "linked", "bin"]
-    cuts = there.groupBy(*key).agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS,
-                                                     F.sum("n") / BLOCK_ELEMENTS)).alias("cuts"))
+    cuts = stage(there.groupBy(*key).agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_ELEMENTS)).alias("cuts")), "near-cuts")
     there = stage(there.join(cuts, key).withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")))
                   .select(*key, "cut", "id", "d"), "near-open")
     if there.isEmpty():
