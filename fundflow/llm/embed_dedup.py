@@ -35,6 +35,8 @@ BLOCK = 4096
 TILE = 1024
 CELL_DIMS = 3
 BOX_DIMS = 16
+#: Bound of the cells, which are broadcast with their number of blocks.
+MAX_CELLS = 100_000
 #: Leading dimensions after which the pairs of a tile are looked at again.
 STEPS = (16, 32)
 _EPS = 1e-9
@@ -143,7 +145,9 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     # Eigenvectors by falling eigenvalue; a driver-side step on a dim x dim matrix.
     basis = np.linalg.eigh(moments(classes, dim))[1][:, ::-1].copy()
     width = float(np.sqrt(2.0 - 2.0 * cosine) + _EPS)
-    q, boxed = min(CELL_DIMS, dim), min(BOX_DIMS, dim)
+    # Coordinates lie in [-1, 1], so there are at most (2 / width + 2)^q cells.
+    q = max(1, min(CELL_DIMS, dim, int(np.log(MAX_CELLS) / np.log(2.0 / width + 2.0))))
+    boxed = min(BOX_DIMS, dim)
     dtype = "<f4" if four else "<f8"
 
     @F.pandas_udf("array<int>")
@@ -157,7 +161,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
 
     placed = classes.select("id", "copies", "vec", cell_of("vec").alias("cell"))
     sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("k"))
-    placed = placed.join(sizes, "cell").withColumn("b", F.pmod(F.xxhash64("id"), F.col("k")))
+    placed = placed.join(F.broadcast(sizes), "cell").withColumn("b", F.pmod(F.xxhash64("id"), F.col("k")))
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(pdf["vec"].to_numpy()).astype(dtype)
