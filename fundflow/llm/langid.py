@@ -133,15 +133,21 @@ def learn_profiles(train: DataFrame, top: int = TOP, max_docs: int = MAX_TRAIN_D
 
 
 def language_of(text: Column, profiles: Profiles) -> Column:
-    """``struct<lang: string, score: double>`` of a whole text; NULL texts and
-    texts without a letter are ``und`` with score 0."""
-    @F.arrow_udf("lang string, score double")
+    """``struct<lang: string, score: double, letters: boolean>`` of a whole
+    text; NULL texts and texts without a letter are ``und`` with score 0 and
+    ``letters`` false.  Without profiles every text is ``und`` with score 0."""
+    @F.arrow_udf("lang string, score double, letters boolean")
     def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counter = NgramCounter()
         for texts in batches:  # one text at a time leaves the Arrow buffer
-            found = [profiles.nearest(top_ranked(*counter.count(t.as_py()), profiles.top)) for t in texts]
-            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()),
-                                              pa.array([x for _, x in found], pa.float64())], ["lang", "score"])
+            found = []
+            for t in texts:
+                doc = top_ranked(*counter.count(t.as_py()), profiles.top)
+                found.append((*profiles.nearest(doc), len(doc) > 0))
+            yield pa.StructArray.from_arrays([pa.array([x for x, _, _ in found], pa.string()),
+                                              pa.array([x for _, x, _ in found], pa.float64()),
+                                              pa.array([x for _, _, x in found], pa.bool_())],
+                                             ["lang", "score", "letters"])
 
     # Else a filter on the verdict would have every text judged twice.
     return nearest.asNondeterministic()(text)
@@ -164,9 +170,14 @@ def identify_languages(docs: DataFrame, folds: int = 3, fold: int = 1, **bounds:
 
 
 def keep_identified(docs: DataFrame, **bounds: int) -> DataFrame:
-    """``docs``, all columns, without documents whose language is ``und``;
-    a NULL ``lang`` is filled in."""
+    """``docs``, all columns, without documents whose text is NULL or has no
+    letter; nothing else is dropped.  Distance and score decide no row, a
+    labelled row keeps its ``lang`` whatever its text, and a label that reads
+    ``und`` is a language like any other.  A NULL ``lang`` is filled in with
+    the nearest language; where no row has both text and ``lang`` nothing can
+    be learned, and it stays NULL."""
     profiles = learn_profiles(docs, **bounds)
     named = docs.select(whole_row(docs)).select("__row", language_of(F.col("__row.text"), profiles).alias("__x"))
-    filled = F.col("__row").withField("lang", F.coalesce("__row.lang", "__x.lang"))
-    return named.filter(F.col("__x.lang") != UNKNOWN).select(filled.alias("__row")).select("__row.*")
+    found = F.col("__x.lang") if profiles.langs else F.lit(None).cast("string")
+    filled = F.col("__row").withField("lang", F.coalesce("__row.lang", found))
+    return named.filter("__x.letters").select(filled.alias("__row")).select("__row.*")

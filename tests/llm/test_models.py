@@ -59,6 +59,20 @@ def test_identify_languages_edge_cases(spark):
     assert langid.identify_languages(empty).count() == 0 and langid.keep_identified(empty).count() == 0
 
 
+def test_only_texts_without_a_letter_are_dropped(spark):
+    """Not those for which no language could be learned, nor those nearest to a label that reads und."""
+    texts = [(1, EN), (2, DE), (3, "123 !?"), (4, None), (5, "")]
+    unlabelled = spark.createDataFrame([(i, t, None, "s", 1) for i, t in texts], DOCS)
+    assert sorted((r["doc_id"], r["lang"]) for r in langid.keep_identified(unlabelled).collect()) == [(1, None), (2, None)]
+    # A label only where the text is NULL teaches nothing either.
+    apart = spark.createDataFrame([(i, t, "en" if t is None else None, "s", 1) for i, t in texts], DOCS)
+    assert sorted((r["doc_id"], r["lang"]) for r in langid.keep_identified(apart).collect()) == [(1, None), (2, None)]
+    und = spark.createDataFrame([(1, EN, "en", "s", 1), (2, DE, "und", "s", 1), (3, DE, None, "s", 1), (4, "4", "und", "s", 1),
+                                 (5, DE, "en", "s", 1)], DOCS)
+    assert sorted((r["doc_id"], r["lang"]) for r in langid.keep_identified(und, max_docs=2).collect()) == [
+        (1, "en"), (2, "und"), (3, "und"), (5, "en")]
+
+
 def test_training_sample_is_bounded_and_fold_free(spark):
     rows = [(i, EN if langid_fold(i) else "zzz qqq", "en") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
