@@ -49,22 +49,33 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def moments(vectors: DataFrame, dim: int) -> np.ndarray:
-    """Sum of x x' over all unit vectors, dim x dim, summed by Spark."""
+def by_length(vectors: pd.Series) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, places in the batch and matrix of the vectors of each length."""
+    vectors = vectors.to_numpy()
+    sizes = np.fromiter(map(len, vectors), np.int64, len(vectors))
+    for d in np.unique(sizes).tolist():
+        at = np.nonzero(sizes == d)[0]
+        yield d, at, np.stack(vectors[at])
+
+
+def moments(vectors: DataFrame, dims: list[int]) -> dict[int, np.ndarray]:
+    """For each length d of ``dims``, the only ones in ``vectors``, the sum of
+    x x' over all its unit vectors, d x d, summed by Spark."""
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((dim, dim))
+        total: dict[int, np.ndarray] = {}
         for pdf in batches:
-            if len(pdf):
-                x = unit(np.stack(pdf["vec"].to_numpy()))
-                total += x.T @ x
-        yield pd.DataFrame({"i": np.arange(dim), "row": list(total)})
-
-    parts = vectors.select("vec").mapInPandas(partial, "i int, row array<double>")
-    cells = (parts.select("i", F.posexplode("row").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v"))
-             .collect())  # dim x dim numbers
-    out = np.zeros((dim, dim))
+            for d, _, x in by_length(pdf["vec"]):
+                x = unit(x)
+                total[d] = total.get(d, 0.0) + x.T @ x
+        for d, t in total.items():
+            yield pd.DataFrame({"d": d, "i": np.arange(d), "row": list(t)})
+
+    parts = vectors.select("vec").mapInPandas(partial, "d int, i int, row array<double>")
+    cells = (parts.select("d", "i", F.posexplode("row").alias("j", "v")).groupBy("d", "i", "j")
+             .agg(F.sum("v").alias("v")).collect())  # d x d numbers a length
+    out = {d: np.zeros((d, d)) for d in dims}
     for r in cells:
-        out[r["i"], r["j"]] = r["v"]
+        out[r["d"]][r["i"], r["j"]] = r["v"]
     return out
 
 
@@ -115,10 +126,11 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
 
     ``n_links`` counts the other rows at cosine ``cosine`` or more (0 < cosine
     < 1), ``component_id`` is the smallest id reachable over such links.
-    Vectors that are NULL, empty or zero, that hold NULL or non-finite
-    components, or whose length is not the most frequent one (ties: the
-    longest) link with nothing, nor do rows with a NULL id, whose component is
-    NULL.  Rows that repeat an id with another vector are one item and share
+    Vectors that are NULL, empty or zero or that hold NULL or non-finite
+    components link with nothing, nor do rows with a NULL id, whose component
+    is NULL.  Vectors link only with vectors of their own length; each length
+    has its own basis, and all are compared in one go.
+    Rows that repeat an id with another vector are one item and share
     component and links; rows that repeat id and vector count each.  Other
     columns are ignored.  An empty table gives no rows.
 
@@ -130,42 +142,41 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     fine = (F.col("vec").isNotNull() & F.col("vec_id").isNotNull() & F.exists("vec", lambda x: x != 0)
             & F.forall("vec", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))))
     rows = rows.withColumn("fine", F.coalesce(fine, F.lit(False)))
-    common = (rows.filter("fine").groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), F.desc("d")).limit(1).collect())
-    nothing = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                          F.lit(True).alias("kept"))
-    if not common:
-        return nothing
-    dim = common[0]["d"]
-    rows = rows.withColumn("fine", F.col("fine") & (F.size("vec") == dim))
     keys = [F.when(F.col("fine"), F.xxhash64(F.lit(s), "vec")).alias(k) for s, k in ((1, "hi"), (2, "lo"))]
     classes = stage(rows.filter("fine").select("vec_id", "vec", *keys).groupBy("hi", "lo")
                     .agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")),
                     "embed-classes")
-    # Eigenvectors by falling eigenvalue; a driver-side step on a dim x dim matrix.
-    basis = np.linalg.eigh(moments(classes, dim))[1][:, ::-1].copy()
+    # One number a length; a class that is alone in its length has nothing to be compared with.
+    lengths = classes.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
+    if not lengths:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                           F.lit(True).alias("kept"))
+    dims = sorted(r["d"] for r in lengths if r["n"] > 1)
+    compared = classes.filter(F.size("vec").isin(dims))
+    # Eigenvectors by falling eigenvalue; a driver-side step on a d x d matrix.
+    bases = {d: np.linalg.eigh(m)[1][:, ::-1].copy() for d, m in moments(compared, dims).items()}
     width = float(np.sqrt(2.0 - 2.0 * cosine) + _EPS)
-    # Coordinates lie in [-1, 1], so there are at most (2 / width + 2)^q cells.
-    q = max(1, min(CELL_DIMS, dim, int(np.log(MAX_CELLS) / np.log(2.0 / width + 2.0))))
-    boxed = min(BOX_DIMS, dim)
+    # Coordinates lie in [-1, 1], so there are at most (2 / width + 2)^q cells a length.
+    most = max(MAX_CELLS / max(len(dims), 1), 1.0)
+    q = max(1, min(CELL_DIMS, max(dims, default=1), int(np.log(most) / np.log(2.0 / width + 2.0))))
     dtype = "<f4" if four else "<f8"
 
     @F.pandas_udf("array<int>")
     def cell_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for vs in batches:
-            if len(vs):
-                lead = unit(np.stack(vs.to_numpy())) @ basis[:, :q]
-                yield pd.Series(list(np.floor(lead / width).astype(np.int32)), dtype=object)
-            else:
-                yield pd.Series([], dtype=object)
+            cell = np.zeros((len(vs), q + 1), np.int32)  # the length, then the place (0 beyond the length)
+            for d, at, x in by_length(vs):
+                cell[at, 0] = d
+                cell[at, 1:min(q, d) + 1] = np.floor(unit(x) @ bases[d][:, :q] / width)
+            yield pd.Series(list(cell), dtype=object)
 
-    placed = classes.select("id", "copies", "vec", cell_of("vec").alias("cell"))
+    placed = compared.select("id", "copies", "vec", cell_of("vec").alias("cell"))
     sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).alias("k"))
     placed = placed.join(F.broadcast(sizes), "cell").withColumn("b", F.pmod(F.xxhash64("id"), F.col("k")))
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(pdf["vec"].to_numpy()).astype(dtype)
-        lead = unit(x) @ basis[:, :boxed]
+        lead = unit(x) @ bases[x.shape[1]][:, :BOX_DIMS]
         return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "b": [pdf["b"].iloc[0]],
                              "low": [lead.min(axis=0)], "high": [lead.max(axis=0)],
                              "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
@@ -175,8 +186,8 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
         packed, "cell array<int>, b long, low array<double>, high array<double>, ids binary, copies binary, vecs binary"),
         "embed-blocks")
 
-    # Block pairs: each cell with itself and with one of every two opposite neighbours.
-    near = F.array(*[F.array(*[F.lit(x) for x in d]) for d in product((-1, 0, 1), repeat=q) if d >= (0,) * q])
+    # Block pairs: each cell with itself and with one of every two opposite neighbours, of the same length.
+    near = F.array(*[F.array(*[F.lit(x) for x in (0, *d)]) for d in product((-1, 0, 1), repeat=q) if d >= (0,) * q])
     left = (blocks.select(F.col("cell").alias("cell_a"), F.col("b").alias("b_a"), F.col("low").alias("low_a"),
                           F.col("high").alias("high_a"))
             .withColumn("cell_b", F.explode(F.transform(near, lambda d: F.zip_with("cell_a", d, lambda x, y: x + y)))))
@@ -196,6 +207,8 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
             for r in pdf.itertuples(index=False):
                 same = r.b_a == r.b_b and list(r.cell_a) == list(r.cell_b)
                 ia, ib = np.frombuffer(r.ids_a, np.int64), np.frombuffer(r.ids_b, np.int64)
+                dim = r.cell_a[0]
+                basis = bases[dim]
                 ca, cb = np.frombuffer(r.copies_a, np.int64), np.frombuffer(r.copies_b, np.int64)
                 a = unit(np.frombuffer(r.vecs_a, dtype).reshape(len(ia), dim))
                 b = unit(np.frombuffer(r.vecs_b, dtype).reshape(len(ib), dim))

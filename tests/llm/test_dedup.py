@@ -191,6 +191,27 @@ def test_embedding_duplicates(spark, block, kind):
     assert got == sorted(want, key=repr)
 
 
+def test_embeddings_of_several_lengths(spark):
+    """Every length is compared within itself, as if it were a table of its own."""
+    rnd = np.random.default_rng(8)
+    rows = []
+    for dim, n in ((8, 90), (5, 60), (2, 12), (1, 6)):
+        centres = rnd.normal(size=(5, dim))
+        rows += [(centres[i % 5] + rnd.normal(size=dim) * rnd.choice([0.02, 0.3])).astype(np.float32).tolist() for i in range(n)]
+    rows += [rows[100], rows[100], [3.0] * 40, [3.0] * 40, [1.0] * 33]  # copies: beside others, alone in a length; a single vector
+    unit = [np.array(v, float) / np.linalg.norm(v) for v in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows))
+             if len(rows[i]) == len(rows[j]) and unit[i] @ unit[j] >= 0.95]
+    root, n = components(range(len(rows)), links), [sum(i in x for x in links) for i in range(len(rows))]
+    assert all(any(len(rows[i]) == d for i, _ in links) for d in (8, 5, 2, 1, 40))
+    frame = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in embed_dedup.embedding_duplicates(frame, block=16).collect())
+    assert got == [(i, n[i], root[i], root[i] == i) for i in range(len(rows))]
+    alone = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0]), (3, [1.0])], "vec_id long, embedding array<float>")
+    assert sorted(tuple(r) for r in embed_dedup.embedding_duplicates(alone).collect()) == [
+        (1, 0, 1, True), (2, 1, 2, True), (3, 1, 2, False)]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], DOCS)
     assert exact_dedup.exact_duplicates(docs).count() == 0
