@@ -50,6 +50,7 @@ class Landing:
     root: str
     fmt: str = "csv"
     skip_rows: int = 0
+    multi_line: bool = True
 
     def read(self, feed: str, drift=()) -> DataFrame:
         folder = f"{self.root.rstrip('/')}/{FEED_FOLDERS[feed]}"
@@ -57,16 +58,19 @@ class Landing:
             return read_parquet_folder(self.spark, folder, drift)
         if self.fmt == "table":          # period-partitioned tables written by the streaming ingest
             return read_period_table(self.spark, folder, drift)
-        skip = self.skip_rows if feed in SPREADSHEET_FEEDS else 0
-        return read_csv_folder(self.spark, folder, drift, skip_rows=skip)
+        sheet = feed in SPREADSHEET_FEEDS
+        return read_csv_folder(self.spark, folder, drift, multi_line=self.multi_line and sheet,
+                               skip_rows=self.skip_rows if sheet else 0)
 
 
 def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt: str = "csv",
-          expired_from_active_folder: bool = False, skip_rows: int = 0) -> dict[str, DataFrame]:
+          expired_from_active_folder: bool = False, skip_rows: int = 0,
+          multi_line: bool = True) -> dict[str, DataFrame]:
     """Every feed, dataset and check of one run as DataFrames (shared
     intermediates already staged).  ``skip_rows`` banner lines are skipped
-    in the CSV exports of the four spreadsheet feeds."""
-    land = Landing(spark, landing_root, fmt, skip_rows)
+    in the CSV exports of the four spreadsheet feeds, whose quoted cells may
+    hold line breaks (``multi_line``)."""
+    land = Landing(spark, landing_root, fmt, skip_rows, multi_line)
     raw_active = land.read("active")
     raw_expired = raw_active if expired_from_active_folder else land.read("expired")
     active = stage(feeds.active_awards(raw_active, cfg), "active")
@@ -100,9 +104,9 @@ WRITTEN = ("pipeline", "transaction", "expired_awards", "awards_exist", "program
 
 def run_quarter(spark: SparkSession, landing_root: str, out_root: str, cfg: FlowConfig = DEFAULT,
                 fmt: str = "csv", out_fmt: str = "csv", expired_from_active_folder: bool = False,
-                skip_rows: int = 0) -> list[str]:
+                skip_rows: int = 0, multi_line: bool = True) -> list[str]:
     """Build and write the eight outputs of a run; returns their paths."""
-    outs = build(spark, landing_root, cfg, fmt, expired_from_active_folder, skip_rows)
+    outs = build(spark, landing_root, cfg, fmt, expired_from_active_folder, skip_rows, multi_line)
     paths = []
     for name in WRITTEN:
         path = f"{out_root.rstrip('/')}/{name}"

@@ -3,7 +3,7 @@
 import datetime as dt
 import os
 
-from fundflow.plans.run import build, run_quarter
+from fundflow.plans.run import FEED_FOLDERS, SPREADSHEET_FEEDS, Landing, build, run_quarter
 from fundflow.sources import read_csv_output
 
 
@@ -124,6 +124,17 @@ def test_streamed_tables_feed_the_run(spark, scratch):
     assert [r["award_number"] for r in outs["expired_awards"].collect()] == ["E1"]
 
 
+def test_run_reads_line_breaks_in_spreadsheet_cells(spark, scratch):
+    root = os.path.join(scratch, "landing")
+    for feed in SPREADSHEET_FEEDS:
+        folder = os.path.join(root, FEED_FOLDERS[feed])
+        os.makedirs(folder)
+        with open(os.path.join(folder, "FY24Q1_x.csv"), "w") as fh:
+            fh.write('Banner\nAward Number,Comments,Amount\nA1,"one\ntwo",5\n')
+        got = [tuple(r) for r in Landing(spark, root, skip_rows=1).read(feed).select("award_number", "comments", "amount").collect()]
+        assert got == [("A1", "one\ntwo", "5")]
+
+
 def test_run_with_banner_rows(spark, scratch):
     """Spreadsheet exports with a title row above the header (the source skips one row)."""
     root = os.path.join(scratch, "landing")

@@ -150,6 +150,26 @@ def test_csv_row_longer_than_the_header_is_refused(spark, scratch):
             read_csv_folder(spark, folder, skip_rows=skip).collect()
 
 
+def test_csv_line_breaks_in_cells(spark, scratch):
+    """Read as one row with multi_line, with and without banner rows; else the short row stops the scan."""
+    import pytest
+    for skip in (0, 2):
+        folder = os.path.join(scratch, f"m{skip}")
+        os.makedirs(folder)
+        for q, k in (("Q1", "A"), ("Q2", "B")):
+            _write(os.path.join(folder, f"FY24{q}_plan.csv"), ("Plan report, all rows\n\n" if skip else "")
+                   + f'Award Number,Comments,,Amount\n{k}1,"first\nsecond, ""line""",,5\n{k}2,6" pipe,,7\n')
+        df = read_csv_folder(spark, folder, multi_line=True, skip_rows=skip)
+        got = sorted((r["award_number"], r["comments"], r["amount"], r["period"]) for r in df.collect())
+        text = 'first\nsecond, "line"'
+        assert got == [("A1", text, "5", "FY24Q1"), ("A2", '6" pipe', "7", "FY24Q1"),
+                       ("B1", text, "5", "FY24Q2"), ("B2", '6" pipe', "7", "FY24Q2")]
+        assert df.count() == 4
+        for read in (lambda d: d.collect(), lambda d: d.count()):
+            with pytest.raises(Exception, match="fewer or more cells than the header"):
+                read(read_csv_folder(spark, folder, skip_rows=skip))
+
+
 def test_csv_jobs_do_not_grow_with_files(spark, scratch):
     """Files of one layout share one scan, and one job reads all headers."""
     jobs, scans = [], []
