@@ -1,6 +1,6 @@
 """Training-data operators: language ID, URL reputation, exact and near
-duplicates, mixing, embedding duplicates, quality, sharding, packing and
-chat formatting.  Nothing outside this package imports it."""
+duplicates, mixing, embedding duplicates, quality, sharding, packing, chat
+formatting, token alignment, whitening and personal data.  Nothing outside this package imports it."""
 
 import sys
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.llm import (chat, embed_dedup, exact_dedup, langid, mixing, near_dedup, oracle, packing, quality,
-                          sharding, url_reputation)
+from fundflow.llm import (alignment, chat, embed_dedup, exact_dedup, langid, mixing, near_dedup, oracle, packing, pii,
+                          quality, sharding, url_reputation, whitening)
 from fundflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,36 @@ def op10_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("loss").cast("long").alias("loss_chars"),
                       F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+# --- 11 ----------------------------------------------------------------------
+
+#: Vocabulary files, read on the driver.
+VOCAB_A, VOCAB_B, VOCAB_B_SIZE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model", 32_000
+
+
+@query()
+def op11_lockstep_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups are hashed before anything is written."""
+    aligned = alignment.align(table(spark, sf_dir, "documents"), VOCAB_A, VOCAB_B)
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return alignment.with_counts(aligned.withColumn("groups_sha256", digest).drop("groups"), VOCAB_B_SIZE)
+
+
+# --- 12 ----------------------------------------------------------------------
+
+@query()
+def op12_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+# --- 13 ----------------------------------------------------------------------
+
+@query()
+def op13_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers and the digest are of the rules' spans."""
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(number, pii.KINDS),
+                        F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))
