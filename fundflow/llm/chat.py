@@ -27,7 +27,7 @@ CONTROL = (START, TEXT, END, *PLACEHOLDERS.values(), "<s>", "</s>", "[INST]", "[
            "<|im_start|>", "<|im_end|>", "<|endoftext|>")
 #: Tokens a part expands to where it does not say so itself.
 EXPANSION = {"image": 576, "audio": 1500, "document": 2048}
-JOINER = "‍"
+JOINER = "\u200d"
 
 PART_TYPE = "struct<type:string,text:string,ref:string,tokens:bigint>"
 
@@ -80,8 +80,8 @@ def format_chats(messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant"
 
     ``messages`` has ``conv_id, turn, role, parts`` (``parts`` an array of
     ``type, text, ref, tokens``).  ``loss_spans`` lists ``(turn_start, start,
-    length)`` in code points of ``formatted``, one per text part of a turn
-    whose role is in ``loss_roles``; ``attachments`` lists ``(at, type, ref,
+    length, turn)`` in code points of ``formatted`` (``turn`` counts turns
+    from 0), one per text part of a turn whose role is in ``loss_roles``; ``attachments`` lists ``(at, type, ref,
     tokens)`` in order; ``expanded`` is their tokens.
 
     Messages are ordered by turn, ties by role and content; repeated rows are
@@ -116,7 +116,8 @@ def format_chats(messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant"
     row = F.struct("__m", "__i", F.col("__piece").alias("piece"),
                    F.when(is_text & F.col("role").isin(*loss_roles),
                           F.struct(F.col("__turn_at").alias("turn_start"), F.col("__start").alias("start"),
-                                   F.char_length("__body").cast("bigint").alias("length"))).alias("loss"),
+                                   F.char_length("__body").cast("bigint").alias("length"),
+                                 (F.col("__m") - 1).cast("int").alias("turn"))).alias("loss"),
                    F.when(~is_text, F.struct(F.col("__start").alias("at"), F.col("part.type").alias("type"),
                                              F.col("part.ref").alias("ref"), expanded_tokens(F.col("part")).alias("tokens")))
                    .alias("att"))
@@ -139,13 +140,7 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(turns: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order.  Spans are read from
-    the turn they fall in (found by its start), so the work stays in
-    proportion to the conversation."""
-    starts = F.aggregate(turns, F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("all")),
-                         lambda acc, t: F.struct((acc["at"] + F.char_length(t["raw"])).alias("at"),
-                                                 F.array_append(acc["all"], acc["at"]).alias("all")))["all"]
-    by_start = F.map_from_arrays(starts, F.transform(turns, lambda t: t["raw"]))
+    """All text under the loss mask, unescaped, in order.  A span is read from
+    the turn it names, so the work stays in proportion to the conversation."""
     return F.array_join(F.transform(spans, lambda s: unescape(F.substring(
-        F.try_element_at(by_start, s["turn_start"]), (s["start"] - s["turn_start"] + 1).cast("int"),
-        s["length"].cast("int")))), "")
+        F.get(turns, s["turn"])["raw"], (s["start"] - s["turn_start"] + 1).cast("int"), s["length"].cast("int")))), "")

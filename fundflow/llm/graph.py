@@ -53,14 +53,16 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     does a large-star and a small-star step: every node links its larger, then
     its smaller neighbours to the smallest one.  Rounds go on until the edges
     are stars; on star-like duplicates two or three do.  Each round is written
-    to the shared folder, so lineage stays short.  A hub is a skewed side of a
-    plain join, which adaptive execution splits; its minimum is pre-aggregated.
+    to the shared folder, so lineage stays short.  Minima are aggregated before
+    the shuffle and written before they are joined: so the join has a hub's
+    edges as a plain side, not one that the aggregation has already dealt,
+    and adaptive execution splits it.
     """
     def star(e: DataFrame, larger: bool) -> DataFrame:
         """Link the larger (or the smaller) neighbours of each node to its
         smallest neighbour or itself."""
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = (both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
+        low = stage(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), f"{name}-low")
         linked = both.filter("v > u" if larger else "v < u").join(low, "u")
         out = linked.select(F.col("m").alias("u"), "v").filter("u <> v")
         if not larger:
@@ -76,7 +78,8 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     e = stage(e.mapInPandas(_contract, "u long, v long").distinct(), name)
     seen = mark(e)
     while seen[0]:
-        e = stage(star(star(e, True).mapInPandas(_contract, "u long, v long"), False), name)
+        large = stage(star(e, True), f"{name}-large")
+        e = stage(star(large.mapInPandas(_contract, "u long, v long"), False), name)
         now = mark(e)
         if now == seen:
             break

@@ -110,15 +110,18 @@ def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def learn_profiles(train: DataFrame, top: int = TOP, max_docs: int = MAX_TRAIN_DOCS,
                    max_languages: int = MAX_LANGUAGES) -> Profiles:
     """Profiles from ``train (doc_id, text, lang)``: at most ``max_docs``
-    documents of each of at most ``max_languages`` languages, those whose
-    hashed ids come first.  Rows with a NULL text or lang are not used."""
+    documents of each of at most ``max_languages`` languages (the most
+    frequent; a language beyond them is never predicted), those whose hashed
+    id and text come first.  Rows that repeat both count once, rows with a
+    NULL text or lang are not used."""
     train = train.filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "lang", "text")
-    sizes = (train.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
+    train = train.withColumn("__h", F.xxhash64(F.lit("langid"), "doc_id", "text"))
+    sizes = (train.groupBy("lang", "__h").agg(F.lit(1).alias("__one")).groupBy("lang").agg(F.count("__one").alias("__n"))
              .orderBy(F.desc("__n"), "lang").limit(max_languages))
-    place = F.xxhash64(F.lit("langid"), "doc_id")
     # A first cut by hash leaves about twice the bound, so that the exact cut sorts few rows.
-    few = (train.join(F.broadcast(sizes), "lang").withColumn("__h", place)
-           .filter(F.col("__h") / 2.0 ** 64 + 0.5 <= F.lit(2.0 * max_docs) / F.col("__n") + 16.0 / F.col("__n")))
+    few = (train.join(F.broadcast(sizes), "lang")
+           .filter(F.col("__h") / 2.0 ** 64 + 0.5 <= F.lit(2.0 * max_docs) / F.col("__n") + 16.0 / F.col("__n"))
+           .dropDuplicates(["lang", "__h"]))
     w = Window.partitionBy("lang").orderBy("__h", "doc_id", "text")
     sample = few.withColumn("__i", F.row_number().over(w)).filter(F.col("__i") <= max_docs)
     counts = (sample.select("lang", "text").mapInPandas(_count_batches, "lang string, code long, n long")

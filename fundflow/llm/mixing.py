@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fundflow.llm.common import bucket_count, group_key, running, whole_row, word_count
+from fundflow.llm.common import (MIN_BUCKETS, bitmap, bucket_count, group_key, running, whole_row, with_membership,
+                                 word_count)
 from fundflow.operators.stage import stage
 
 MAX_EPOCHS = 3
@@ -139,17 +140,42 @@ def mix_plan(docs: DataFrame, weigh=ranked_weights, id_col: str = "doc_id", text
             .select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "__text_md5"))
 
 
-def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+def numbered(rows: DataFrame, repeated: DataFrame, key: list[str], spread: Column, order: list) -> DataFrame:
+    """``rows`` with ``__copy``: 0 but for the rows whose key is in
+    ``repeated``, which are numbered from 0 in buckets of ``spread``."""
+    h = F.xxhash64(*key)
+    flagged = with_membership(rows.withColumn("__h", h), bitmap(repeated.select(h.alias("__h")), "__h"), "__h", "__in")
+    again = flagged.filter("__in").withColumn("__b", F.pmod(spread, F.lit(MIN_BUCKETS)).cast("int"))
+    again = running(again, key, "__b", order, F.lit(1), "__copy").withColumn("__copy", F.col("__copy").cast("long"))
+    return (flagged.filter("NOT __in").select(*rows.columns, F.lit(0).cast("long").alias("__copy"))
+            .unionByName(again.select(*rows.columns, "__copy")))
+
+
+def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               **kw) -> DataFrame:
     """The mixed documents in training order: all columns of ``docs``, one row
     per copy the mix takes, range-sorted by training time.  Copies are whole
-    documents.  Documents the mix does not take are left out."""
-    plan = mix_plan(docs, id_col=id_col, text_col=text_col, whole=True, **kw)
-    plan = (plan.filter("taken > 0").groupBy(group_key(F.col("doc_id")).alias("__id"), "__text_md5")
-            .agg(F.flatten(F.collect_list("copies.position")).alias("__at")))
+    documents.  Documents the mix does not take are left out.
+
+    Rows that repeat id, text and source are numbered, and each takes the
+    copies of one place in the mix; rows equal in all columns are
+    interchangeable.  NULL ids and sources are values like any other."""
+    plan = mix_plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, whole=True, **kw)
+    key = ["__id", "__text_md5", "__src"]
+    plan = stage(plan.select(group_key(F.col("doc_id")).alias("__id"), "__text_md5", group_key(F.col("source")).alias("__src"),
+                             F.col("copies.position").alias("__at")), "mix-copies")
+    repeated = stage(plan.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n"), "mix-repeated")
+    taken = plan.filter("size(__at) > 0")
     md5 = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    # Rows that repeat id and text share one list of copies: give each list to one of them.
-    keyed = docs.select(whole_row(docs), group_key(F.col(id_col)).alias("__id"), md5.alias("__text_md5"))
-    return (keyed.dropDuplicates(["__id", "__text_md5"]).join(plan, ["__id", "__text_md5"])
-            .withColumn("__at", F.explode("__at"))
+    rows = docs.select(whole_row(docs), group_key(F.col(id_col)).alias("__id"), md5.alias("__text_md5"),
+                       group_key(F.col(source_col)).alias("__src"))
+    if repeated.isEmpty():
+        due = rows.join(taken, key)
+    else:
+        taken = numbered(taken, repeated, key, F.xxhash64("__at"), [F.col("__at")])
+        # All columns make up the order, as text: maps have none.
+        whole = F.xxhash64(F.to_json("__row"))
+        due = numbered(rows, repeated, key, whole, [whole]).join(taken, [*key, "__copy"])
+    return (due.withColumn("__at", F.explode("__at"))
             .repartitionByRange(F.col("__at"), F.col("__id")).sortWithinPartitions("__at", "__id", "__text_md5")
             .select("__row.*"))

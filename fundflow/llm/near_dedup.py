@@ -356,10 +356,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """``docs``, all columns, with one document of every group: the one with
     the smallest id.  Only ids of dropped documents meet the rows, and only
-    rows that may carry one are shuffled."""
-    dropped = stage(near_duplicates(docs, id_col, text_col, **kw).filter("NOT kept")
+    rows that may carry one are shuffled.
+
+    A row goes only if its own text has a partner that stays.  Where an id
+    stands for several texts, each is a document of its own and gives way to
+    rows whose id stands for one; rows that repeat id and text share the
+    verdict.  Rows with a NULL id stay.
+    """
+    rows = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
+    rows = rows.withColumn("__digest", F.xxhash64(F.coalesce("__text", F.lit(""))))
+    several = stage(rows.filter("__id IS NOT NULL").groupBy("__id")
+                    .agg(F.min("__digest").alias("a"), F.max("__digest").alias("b")).filter("a <> b").select("__id"),
+                    "near-several-texts")
+    if not several.isEmpty():
+        rows = rows.withColumn("__h", F.xxhash64("__id"))
+        rows = with_membership(rows, bitmap(several.select(F.xxhash64("__id").alias("__h")), "__h"), "__h", "__in")
+        # Ids of their own behind all others: 62 bits of id and text.
+        own = F.xxhash64("__id", "__text").bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+        unsure = rows.filter("__in").join(several.withColumn("__several", F.lit(True)), "__id", "left")
+        rows = (rows.filter("NOT __in").select("__row", "__id", "__text")
+                .unionByName(unsure.withColumn("__id", F.when(F.col("__several"), own).otherwise(F.col("__id")))
+                             .select("__row", "__id", "__text")))
+    dropped = stage(near_duplicates(rows, "__id", "__text", **kw).filter("NOT kept")
                     .select(F.col("doc_id").alias("__id")).distinct(), "near-dropped")
-    rows = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("__id")).withColumn("__h", F.xxhash64("__id"))
+    rows = rows.select("__row", "__id").withColumn("__h", F.xxhash64("__id"))
     flagged = with_membership(rows, bitmap(dropped.select(F.xxhash64("__id").alias("__h")), "__h"), "__h", "__in")
     unsure = flagged.filter("__in").join(dropped, "__id", "left_anti")
     return flagged.filter("NOT __in").select("__row.*").union(unsure.select("__row.*"))

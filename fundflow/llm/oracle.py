@@ -64,7 +64,9 @@ URLS = rf"""
 WITH p AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), {_LOWER}) AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
-good AS (SELECT doc_id AS page_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+label AS (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+good AS (SELECT page_id, max(good) AS good FROM (SELECT page_id, nullif(regexp_extract(path, '{urls._NUMBER}', 1), '') AS doc FROM p)
+         JOIN label ON label.doc_id = CAST(doc AS BIGINT) GROUP BY 1),
 h0 AS (SELECT host, count(good) AS n, coalesce(sum(good), 0) AS k,
          regexp_replace(regexp_replace(host, '^.*@', ''), ':\d*$', '') AS bare
        FROM p LEFT JOIN good USING (page_id) GROUP BY host),

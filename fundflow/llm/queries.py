@@ -35,9 +35,12 @@ def op1_rank_order_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(oracle.URLS)
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcome of a page: the quality label of the document with its id."""
-    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    return url_reputation.judge_urls(table(spark, sf_dir, "pages"), outcomes)
+    """Outcome of a page: the quality label of the document it shows, whose
+    number its path names."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    shown = pages.select("page_id", url_reputation.shown_document(F.col("url")).alias("doc_id")).filter("doc_id IS NOT NULL")
+    good = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("good"))
+    return url_reputation.judge_urls(pages, shown.join(good, "doc_id").select("page_id", "good"))
 
 
 # --- 3 -----------------------------------------------------------------------
@@ -67,33 +70,37 @@ WITH d AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''
 h AS (SELECT *, md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h FROM d),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source ASC NULLS LAST)) - 1) % 3 + 1]::DOUBLE AS w,
-         source_size * 3.0::DOUBLE AS cap FROM s0),
+         ((row_number() OVER (ORDER BY source ASC NULLS LAST)) - 1) % 3 + 1 AS tilt, source_size * 3.0::DOUBLE AS cap FROM s0),
 s2 AS (SELECT *, row_number() OVER o AS i,
          (sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
          / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
        FROM s1 WINDOW o AS (ORDER BY cap / w, coalesce('=' || source, '~'))),
 s3 AS (SELECT *, min(CASE WHEN cap >= w * level THEN i END) OVER () AS f FROM s2),
-s4 AS (SELECT source, source_size,
+s4 AS (SELECT source, source_size, [1.4, 1.0, 0.6][tilt]::DOUBLE AS a, [0.6, 1.0, 1.4][tilt]::DOUBLE AS b,
          CASE WHEN i < coalesce(f, 1e18) THEN cap ELSE w * max(CASE WHEN i = f THEN level END) OVER () END AS target
        FROM s3),
-c AS (SELECT h.doc_id, h.size, s4.source_size, s4.target, CAST(floor(s4.target + 0.5) AS BIGINT) AS due,
+c AS (SELECT h.doc_id, h.size, s4.source_size, s4.target, s4.a, s4.b, CAST(floor(s4.target + 0.5) AS BIGINT) AS due,
         CAST(coalesce(sum(h.size) OVER (PARTITION BY h.source ORDER BY h.h
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS c
       FROM h JOIN s4 ON h.source IS NOT DISTINCT FROM s4.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
   CAST(greatest(least(due - c, size), 0) + greatest(least(due - c - source_size, size), 0)
-       + greatest(least(due - c - 2 * source_size, size), 0) AS BIGINT) AS taken
+       + greatest(least(due - c - 2 * source_size, size), 0) AS BIGINT) AS taken,
+  -- Weight falls or rises from a to b over time t in 0..1: a t + (b - a) t^2 / 2 = share (a + b) / 2.
+  CASE WHEN least(due - c, size) > 0 THEN round(least((a + b) * (c / target) / (a + sqrt(greatest(
+    a * a + (b - a) * (a + b) * (c / target), 0))), 1), 6) END AS position
 FROM c"""
 
 
 @query(MIX_SQL)
 def op5_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """In training order of a document's first copy; documents not taken last."""
+    """In training order of a document's first copy, whose training time is
+    ``position``; documents not taken (NULL) last."""
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     first = F.get("copies", 0)["position"]
     return (plan.withColumn("__at", F.coalesce(first, F.lit(2.0)))
             .repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id")
-            .select("doc_id", "size", "source_size", "target", "taken"))
+            .select("doc_id", "size", "source_size", "target", "taken", F.round(first, 6).alias("position")))
 
 
 # --- 6 -----------------------------------------------------------------------

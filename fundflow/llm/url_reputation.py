@@ -29,6 +29,7 @@ CUT = 0.7
 Z = 1.645
 #: Bounds of a prior's strength, in pages.
 STRENGTH = (1.0, 1000.0)
+_NUMBER = r"/([0-9]{1,18})(?:\.[a-z]+)?/?\z"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -42,6 +43,12 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
+def shown_document(url: Column) -> Column:
+    """Number of the document a page shows: the last part of its path, an
+    ending such as ``.html`` aside; NULL where that is no number."""
+    return F.nullif(F.regexp_extract(url_path(url), _NUMBER, 1), F.lit("")).cast("long")
+
+
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES) -> tuple[Column, Column]:
     """Rule and verdict of the longest rule that fits, NULL if none does.  A
     rule fits its host and all subdomains, where the path starts with the

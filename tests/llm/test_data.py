@@ -123,6 +123,24 @@ def test_curriculum_rows(spark):
     assert sums == Counter({k: v for k, v in plan.items() if v})
 
 
+def test_curriculum_of_repeated_rows(spark):
+    """As many copies of a row as the mix takes of its id, text and source, the row's own columns kept."""
+    rows = [(1, "a b c", "en", "x", 1), (1, "a b c", "en", "y", 2), (1, "a b c", "de", "x", 3), (None, "n n n n", "en", "x", 4),
+            (None, "n n n n", "en", "x", 5), (None, "n n n n", "en", None, 6), (2, "q " * 50, "en", "y", 7), (3, "r " * 9, "en", "z", 8)]
+    rows += [(None, "hot " * 5, "en", "x", 100 + i) for i in range(200)] + [(9, "same same", "en", "y", 0)] * 50
+    docs = spark.createDataFrame(rows, DOCS)
+    key = lambda r: (r["doc_id"], r["source"], len(words(r["text"])))
+    got = mixing.curriculum(docs).collect()
+    want = Counter()
+    for r in mixing.mix_plan(docs, whole=True).collect():
+        want[r["doc_id"], r["source"], r["size"]] += len(r["copies"])
+    assert Counter(map(key, got)) == +want
+    assert {tuple(r) for r in got} <= set(rows) and {r["source"] for r in got} == {"x", "y", "z", None}
+    # A row takes the copies of one place: rows of a key differ by two places' copies at most.
+    per_row = Counter(r["n_chars"] for r in got if r["n_chars"] >= 100)
+    assert set(per_row.values()) <= {1, 2, 3} and len(per_row) > 100
+
+
 def test_mix_edge_cases(spark):
     assert mixing.mix_plan(spark.createDataFrame([], DOCS)).count() == 0
     assert mixing.curriculum(spark.createDataFrame([], DOCS)).count() == 0
@@ -181,6 +199,13 @@ def test_shard_edge_cases_and_files(spark, scratch):
     docs = spark.createDataFrame([(i, f"text {i}", "en", f"s{i % 3}", 1) for i in range(50)], DOCS)
     sharding.write_shards(docs, f"{scratch}/shards", 4)
     back = spark.read.parquet(f"{scratch}/shards")
+    odd = [(None, "a", "en", "s", 1), (1, "b", "en", "s", 2), (1, "c", "en", "s", 3), (1, "c", "en", "s", 3), (None, None, None, None, 4)]
+    odd += [(None, "hot", "en", "s", 5)] * 30
+    frame = spark.createDataFrame([(*r, "x") for r in odd], DOCS + ", `__number` string")
+    sharding.write_shards(frame, f"{scratch}/odd", 3)
+    rows_back = spark.read.parquet(f"{scratch}/odd").collect()
+    assert Counter(tuple(r[c] for c in frame.columns) for r in rows_back) == Counter((*r, "x") for r in odd)
+    assert sorted((r["shard"], r["slot"]) for r in rows_back) == sorted((k, i) for k, n in ((0, 12), (1, 12), (2, 11)) for i in range(n))
     assert back.count() == 50 and sorted(r[0] for r in back.groupBy("shard").count().select("count").collect()) == [12, 12, 13, 13]
 
 
@@ -281,12 +306,13 @@ def test_typed_parts(spark):
 def test_chat_edge_cases(spark):
     schema = "conv_id long, turn long, role string, text string, formatted string"
     rows = [(1, 0, "user", None, "x"), (1, 0, "user", None, "x"), (None, 1, "assistant", "n", "x"), (2, 5, "assistant", "", "x"),
-            (3, 0, "assistant", "z" * 100_000, "x")] + [(4, i, "user", f"t{i}", "x") for i in range(3000)]
+            (3, 0, "assistant", "z" * 100_000, "x")] + [(4, i, "assistant" if i % 2 else "user", f"t{i}", "x") for i in range(16000)]
     df = spark.createDataFrame(rows, schema).select("*", chat.text_parts(F.col("text")).alias("parts"))
     got = {r["conv_id"]: r for r in chat.format_chats(df).withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn(
         "loss", chat.read_loss(F.col("turns"), F.col("loss_spans"))).collect()}
-    assert {k: len(r["turns"]) for k, r in got.items()} == {1: 2, None: 1, 2: 1, 3: 1, 4: 3000}
+    assert {k: len(r["turns"]) for k, r in got.items()} == {1: 2, None: 1, 2: 1, 3: 1, 4: 16000}
     assert (got[None]["loss"], got[2]["loss"], got[1]["loss"]) == ("n", "", "") and len(got[3]["loss"]) == 100_000
-    assert [t["content"] for t in got[4]["turns"]] == [f"t{i}" for i in range(3000)]
+    assert [t["content"] for t in got[4]["turns"]] == [f"t{i}" for i in range(16000)]
+    assert got[4]["loss"] == "".join(f"t{i}" for i in range(1, 16000, 2))
     assert chat.format_chats(df.limit(0)).count() == 0
     assert hashlib.sha256(b"").hexdigest()

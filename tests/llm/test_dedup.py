@@ -115,6 +115,20 @@ def test_near_duplicates_repeated_and_null_ids(spark):
         [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (None, None, True), (9, 9, True)], key=repr)
 
 
+def test_drop_near_duplicates_keeps_the_other_text_of_an_id(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    near, other = a + " x", " ".join(f"q{i}" for i in range(60))
+    rows = [(1, a, 1), (2, near, 2), (2, other, 3), (3, other + " y", 4), (4, "z", 5), (4, "z", 6), (None, a, 7), (None, None, 8),
+            (5, "", 9), (5, None, 10), (6, "only one", 11), (6, "and another", 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__id` int")
+    kept = near_dedup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    # 2's copy of 1 goes; 2's other text gives way to 3, whose id stands for one text.
+    assert sorted(r["__id"] for r in kept.collect()) == [1, 4, 5, 6, 7, 8, 9, 10, 11, 12]
+    alone = spark.createDataFrame([r for r in rows if r[0] != 3], docs.schema)
+    assert sorted(r["__id"] for r in near_dedup.drop_near_duplicates(alone).collect()) == [1, 3, 5, 6, 7, 8, 9, 10, 11, 12]
+
+
 def test_super_minhash_estimates_similarity(monkeypatch):
     rnd = np.random.default_rng(3)
     m = 128

@@ -224,3 +224,36 @@ def test_judge_urls_edge_cases(spark):
     some = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1)], "page_id long, good int")
     assert url_reputation.judge_urls(pages, some).count() == len(URLS) + 2
     assert url_reputation.judge_urls(pages.limit(0), some).count() == 0
+
+
+def test_query_blocks_a_planted_bad_host(spark, scratch):
+    """Outcomes are those of the documents that the pages show, not of equal ids."""
+    pages = [(1000 + i, f"http://bad.spam.example.net/en/{i}.html?x=1") for i in range(40)]
+    pages += [(i, f"http://good{i % 4}.example.com/en/{100 + i}/") for i in range(80)]
+    pages += [(2000, "http://bad.spam.example.net/about"), (2001, "http://new.example.edu/7777"), (2002, None)]
+    labels = [(i, 0) for i in range(40)] + [(100 + i, 1) for i in range(80)] + [(2000, 1), (1, None), (500, 0)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{scratch}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{scratch}/labels.parquet")
+    out = QUERIES["op2_url_reputation"](spark, scratch).collect()
+    assert len(out) == len(pages)
+    assert {r["host"] for r in out if r["verdict"] == "block"} == {"bad.spam.example.net"}
+    assert sum(r["verdict"] == "block" for r in out) == 41  # the unlabelled page of that host too
+
+
+def test_document_number_of_a_url(spark):
+    from pyspark.sql import functions as F
+    urls = {"http://h/en/17": 17, "http://h/en/17.html": 17, "http://h/en/17/?q=3#9": 17, "http://h/17x": None, "http://h/": None,
+            "h/en/5": None, "http://h/en/17.html/x": None, "http://h/" + "9" * 30: None, "http://h/5\n": None, None: None}
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert {r["u"]: r["n"] for r in df.select("u", url_reputation.shown_document(F.col("u")).alias("n")).collect()} == urls
+
+
+def test_training_sample_of_a_label_with_one_repeated_id(spark):
+    """Such a label is learned, from every different text of it."""
+    rows = [(7, EN, "en")] * 300 + [(7, f"{DE} {'abc'[i % 3]}", "de") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert learned(docs, 20) == {"en", "de"} and learned(docs, 2) == {"en", "de"}
+
+
+def learned(docs, most):
+    return set(langid.learn_profiles(docs, max_docs=most).langs)
