@@ -53,8 +53,8 @@ from fundflow.plans import datasets, feeds
 from fundflow.plans import oracle as O
 from fundflow.plans.registry import register
 from fundflow.plans.roles import DriverFlow, excel_serial
-from fundflow.sources import (normalize_headers, read_csv_folder, read_csv_output, rename_drift, union_all_by_name,
-                              write_csv)
+from fundflow.sources import (normalize_headers, read_csv_folder, read_csv_output, read_deliveries, rename_drift,
+                              sync_landing, union_all_by_name, write_csv)
 
 AP = ["award_number", "period"]
 APA = ["award_number", "period", "program_area"]
@@ -201,6 +201,33 @@ def landing_scan(f: DriverFlow) -> DataFrame:
     return read_csv_folder(f.spark, folder, PLAN_HEADER_DRIFT, pattern="FY*.csv")
 
 
+@register("landing_manifest", O.with_ctes("""
+SELECT award_number, CASE WHEN quarter = '2' THEN 'corrected' ELSE implementing_mechanism END AS implementing_mechanism,
+  un_sub_obligated_funds, 'FY00Q' || quarter AS period, 'FY00Q' || quarter || '_plan.csv' AS source_file,
+  CASE WHEN quarter = '1' THEN 1 ELSE 2 END AS delivery
+FROM (SELECT *, substr(period, -1) AS quarter FROM r_plan) x
+WHERE quarter IN ('1', '4') OR quarter = '2' AND comments IS NOT NULL"""))
+def landing_manifest(f: DriverFlow) -> DataFrame:
+    """S1 re-delivery: three period files are synced, then one is corrected
+    (fewer rows, another value), one withdrawn and one added; only the
+    corrected and the added one are read by the second sync."""
+    root = f"{shared_dir(f.spark)}/fundflow-out/landed-{uuid.uuid4().hex}"
+
+    def land(quarter: str, df: DataFrame) -> None:
+        (df.filter(F.col("period").endswith(quarter))
+         .select("award_number", "implementing_mechanism", "un_sub_obligated_funds").toDF(*_LANDED[:2], _LANDED[3])
+         .write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{root}/in/FY00Q{quarter}_plan.csv"))
+
+    for quarter in "123":
+        land(quarter, f.raw_plan)
+    sync_landing(f.spark, f"{root}/in", f"{root}/table")
+    corrected = f.raw_plan.filter("comments IS NOT NULL").withColumn("implementing_mechanism", F.lit("corrected"))
+    land("2", corrected)
+    land("4", f.raw_plan)
+    sync_landing(f.spark, f"{root}/in", f"{root}/table", pattern="FY00Q[124]*")
+    return read_deliveries(f.spark, f"{root}/table")
+
+
 # --- filters and predicates (P6-P13) ----------------------------------------
 
 @register("filter_sector", O.with_ctes("SELECT * FROM r_award WHERE sector = 'BUILDING'", ["total_estimated_cost"]))

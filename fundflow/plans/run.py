@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from fundflow.config import DEFAULT, LEDGER_HEADER_DRIFT, PLAN_HEADER_DRIFT, FlowConfig
 from fundflow.operators import at_latest, key_set, measure_keys, stage, union_keys
 from fundflow.plans import checks, datasets, feeds
-from fundflow.sources import read_csv_folder, read_parquet_folder, read_period_table, write_csv, write_parquet
+from fundflow.sources import (read_csv_folder, read_landed, read_parquet_folder, read_period_table, sync_landing,
+                              write_csv, write_parquet)
 
 FEED_FOLDERS = {
     "active": "active_awards",
@@ -51,9 +52,17 @@ class Landing:
     fmt: str = "csv"
     skip_rows: int = 0
     multi_line: bool = True
+    #: Tables that follow the landing folders, for runs that read changed files only.
+    landed: str | None = None
 
     def read(self, feed: str, drift=()) -> DataFrame:
         folder = f"{self.root.rstrip('/')}/{FEED_FOLDERS[feed]}"
+        if self.landed:
+            sheet = self.fmt == "csv" and feed in SPREADSHEET_FEEDS
+            table = f"{self.landed.rstrip('/')}/{FEED_FOLDERS[feed]}"
+            sync_landing(self.spark, folder, table, self.fmt, drift, multi_line=self.multi_line and sheet,
+                         skip_rows=self.skip_rows if sheet else 0)
+            return read_landed(self.spark, table)
         if self.fmt == "parquet":
             return read_parquet_folder(self.spark, folder, drift)
         if self.fmt == "table":          # period-partitioned tables written by the streaming ingest
@@ -65,12 +74,14 @@ class Landing:
 
 def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt: str = "csv",
           expired_from_active_folder: bool = False, skip_rows: int = 0,
-          multi_line: bool = True) -> dict[str, DataFrame]:
+          multi_line: bool = True, landed_root: str | None = None) -> dict[str, DataFrame]:
     """Every feed, dataset and check of one run as DataFrames (shared
     intermediates already staged).  ``skip_rows`` banner lines are skipped
     in the CSV exports of the four spreadsheet feeds, whose quoted cells may
-    hold line breaks (``multi_line``)."""
-    land = Landing(spark, landing_root, fmt, skip_rows, multi_line)
+    hold line breaks (``multi_line``).  With ``landed_root`` the landing is
+    followed by tables there, and only files that are new or changed since
+    the last run are read."""
+    land = Landing(spark, landing_root, fmt, skip_rows, multi_line, landed_root)
     raw_active = land.read("active")
     raw_expired = raw_active if expired_from_active_folder else land.read("expired")
     active = stage(feeds.active_awards(raw_active, cfg), "active")

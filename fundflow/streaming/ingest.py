@@ -10,8 +10,9 @@ sink commits through the same checkpoint.  Downstream batch steps then
 read the table and prune to the periods they need.
 
 A file is taken once: one delivered again under its old name is not read a
-second time, so a corrected file needs a new name (``FY24Q1_ledger_2.csv``) and
-the old rows removed, or a fresh table and checkpoint.
+second time.  For feeds whose files are corrected or withdrawn use
+:func:`fundflow.sources.sync_landing`, which compares each file with a manifest
+and replaces the rows of changed ones.
 """
 
 from __future__ import annotations
@@ -24,9 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from fundflow.functions.text import period_from_filename
 from fundflow.operators.stage import shared_dir
 from fundflow.sources.headers import clean_names, normalize_headers
-from fundflow.sources.landing import CSV_READ, SOURCE_FILE, reject_long_rows, source_name, tag_period
-
-RAGGED = "__ragged"
+from fundflow.sources.landing import CSV_READ, RAGGED, SOURCE_FILE, reject_ragged_rows, source_name, tag_period
 
 
 def ingest_new_period_files(
@@ -39,20 +38,23 @@ def ingest_new_period_files(
     pattern: str = "FY*",
     checkpoint: str | None = None,
     max_files_per_batch: int | None = None,
+    multi_line: bool = False,
 ) -> int:
     """Append the not-yet-ingested period files of ``landing_folder`` to
     ``table_path``; returns the number of rows appended by this run.
 
     ``schema`` is the landed files' schema (streaming sources do not
     infer); CSV files must share one header layout, Parquet files are read
-    by column name.
+    by column name.  As in the batch scan, a CSV row with more or fewer cells
+    than its header stops the run, and ``multi_line`` allows line breaks in
+    quoted cells (one task a file).
     """
     ckpt = checkpoint or f"{shared_dir(spark)}/fundflow-stream/{name}"
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     if fmt == "csv":
-        stream = _csv_stream(reader, landing_folder, schema)
+        stream = _csv_stream(reader, landing_folder, schema, multi_line)
     else:
         stream = tag_period(normalize_headers(reader.parquet(landing_folder)))
     # The row count below sums all progress reports of this run: keep every one.
@@ -67,18 +69,16 @@ def ingest_new_period_files(
         spark.conf.set(retained, before)
 
 
-def _csv_stream(reader: DataStreamReader, folder: str, schema: StructType) -> DataFrame:
+def _csv_stream(reader: DataStreamReader, folder: str, schema: StructType, multi_line: bool) -> DataFrame:
     """CSV files whose header is ``schema``'s (any other header is an error,
-    as is a row with more cells than it)."""
+    as is a row with more or fewer cells than it)."""
     kept = StructType([*schema.fields, StructField(RAGGED, StringType())])
     df = (reader.schema(kept).options(**CSV_READ).option("header", True).option("enforceSchema", False)
-          .option("columnNameOfCorruptRecord", RAGGED).csv(folder))
+          .option("columnNameOfCorruptRecord", RAGGED).option("columnPruning", False)
+          .option("multiLine", multi_line).csv(folder))
     names = clean_names([f.name for f in schema.fields])
     df = df.toDF(*names, RAGGED).withColumn(SOURCE_FILE, source_name())
-    # A ragged row comes with its text: too long if it has a cell after the last column.
-    cells = ", ".join(f"_c{i} string" for i in range(len(names) + 1))
-    after = F.from_csv(RAGGED, cells, CSV_READ)[f"_c{len(names)}"]
-    df = reject_long_rows(df, F.col(RAGGED).isNotNull() & after.isNotNull(), F.col(SOURCE_FILE)).drop(RAGGED)
+    df = reject_ragged_rows(df, names[0]).drop(RAGGED)
     return df.withColumn("period", period_from_filename(SOURCE_FILE))
 
 

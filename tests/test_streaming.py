@@ -72,12 +72,42 @@ def test_csv_rows_longer_than_the_header_stop_the_ingest(spark, scratch):
         return ingest_new_period_files(spark, landing, os.path.join(scratch, "t"), schema, "x", fmt="csv",
                                        checkpoint=os.path.join(scratch, "c"))
 
-    assert run("FY24Q1_a.csv", "Award Number,Document Amt\nA1\nA2,2\n") == 2  # a short row has NULLs
-    with pytest.raises(Exception, match="more cells than the header"):
-        run("FY24Q2_a.csv", "Award Number,Document Amt\nA1,1,5\n")
+    assert run("FY24Q1_a.csv", "Award Number,Document Amt\nA1,\nA2,2\n") == 2
+    for ragged in ("A1,1,5\n", "A1\n", 'A1,"a\nb"\n'):
+        with pytest.raises(Exception, match="more cells than the header"):
+            run("FY24Q2_a.csv", "Award Number,Document Amt\n" + ragged)
     os.remove(os.path.join(landing, "FY24Q2_a.csv"))
 
 
+def test_stream_and_batch_take_the_same_file(spark, scratch):
+    """A line break in a quoted cell: with multi_line one row in both landings, without it an error in both."""
+    import pytest
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from fundflow.sources import read_csv_folder
+
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "FY24Q1_a.csv"), "w") as fh:
+        fh.write('Award Number,Comments,Document Amt\nA1,"two\nlines",5\nA2,plain,6\n')
+    schema = StructType([StructField(n, StringType()) for n in ("Award Number", "Comments", "Document Amt")])
+
+    def stream(multi_line):
+        out = os.path.join(scratch, f"t{multi_line}")
+        ingest_new_period_files(spark, landing, out, schema, "x", fmt="csv", checkpoint=os.path.join(scratch, f"c{multi_line}"),
+                                multi_line=multi_line)
+        return spark.read.parquet(out)
+
+    def rows(df):
+        return sorted((r["award_number"], r["comments"], r["document_amt"], r["period"], r["source_file"]) for r in df.collect())
+
+    want = [("A1", "two\nlines", "5", "FY24Q1", "FY24Q1_a.csv"), ("A2", "plain", "6", "FY24Q1", "FY24Q1_a.csv")]
+    assert rows(stream(True)) == rows(read_csv_folder(spark, landing, multi_line=True)) == want
+    for read in (lambda: rows(stream(False)), lambda: rows(read_csv_folder(spark, landing))):
+        with pytest.raises(Exception, match="cells than the header"):
+            read()
+
+
 def test_csv_header_other_than_the_schema_stops_the_ingest(spark, scratch):
     import pytest
     from pyspark.sql.types import StringType, StructField, StructType
