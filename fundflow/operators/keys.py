@@ -10,13 +10,14 @@ shuffle join, salted where one key may be hot.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundflow.operators.joins import semi_join_ns
+from fundflow.operators.membership import bits_for, maybe_members, member_filter
 from fundflow.operators.stage import KeySet
 
 KEY = "award_number"
@@ -64,6 +65,7 @@ def resolve_key(
     candidates: Sequence[str],
     out: str = KEY,
     keep_unmatched: bool = False,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Pick, per row, the first of ``candidates`` that is a member of
     ``keys`` and write it to ``out``.
@@ -82,9 +84,16 @@ def resolve_key(
     over ``SALT_BUCKETS`` partitions by a hash of their tuple, against as many
     copies of the key set.  Callers should pre-aggregate ``df`` on the
     candidate columns first (see :func:`fundflow.plans.feeds.transactions`).
+
+    ``df`` is needed twice there, for its tuples and for the join back.
+    ``cut`` writes it and reads it back (:func:`fundflow.operators.stage`), so
+    that what it comes from is scanned and shuffled once.  Candidates then
+    pass a membership filter of the key set before they are shuffled, and the
+    chosen keys are written too: the join back has two plain tables, of which
+    adaptive execution splits the rows of a hot tuple.
     """
     if not can_broadcast(keys):
-        return _resolve_large(df, keys_df(keys), list(candidates), out, keep_unmatched)
+        return _resolve_large(df, keys, list(candidates), out, keep_unmatched, cut)
     # NULL is never a key (key sets are built from non-NULL values), so a
     # NULL candidate is simply "not a member"; plain equality then gives the
     # same result as a NULL-safe test.
@@ -106,16 +115,25 @@ def resolve_key(
     return df.filter(hit).withColumn(out, chosen).drop(*flags)
 
 
-def _resolve_large(df: DataFrame, keys: DataFrame, candidates: list[str], out: str, keep_unmatched: bool) -> DataFrame:
+def _resolve_large(df: DataFrame, keys: DataFrame | KeySet, candidates: list[str], out: str, keep_unmatched: bool,
+                   cut: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
     """:func:`resolve_key` by one salted shuffle join, for key sets of any size."""
+    bits = bits_for(keys.rows if isinstance(keys, KeySet) else None)
+    keys = keys_df(keys)
+    if cut is not None:
+        df = cut(df)
     tup = [f"__t{i}" for i in range(len(candidates))]
     tuples = df.select([F.col(c).alias(t) for c, t in zip(candidates, tup)]).distinct()
     ranked = (tuples.select(*tup, F.posexplode(F.array(*tup)).alias("__rank", KEY)).dropna(subset=[KEY])
               .withColumn("__salt", F.pmod(F.xxhash64(*tup), F.lit(SALT_BUCKETS)).cast("int")))
+    if cut is not None:
+        ranked = maybe_members(ranked, KEY, member_filter(keys, KEY, bits), bits)
     salted = (keys.select(KEY).dropna().distinct()
               .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1)))))
     first = (ranked.join(salted, [KEY, "__salt"]).groupBy(*tup)
              .agg(F.min(F.struct("__rank", KEY))[KEY].alias("__chosen")))
+    if cut is not None:
+        first = cut(first)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(t)) for c, t in zip(candidates, tup)])
     got = df.join(first, same, "left" if keep_unmatched else "inner")
     chosen = F.coalesce("__chosen", candidates[-1]) if keep_unmatched else F.col("__chosen")

@@ -41,9 +41,10 @@ def cumulative_transactions(txn_rollup: DataFrame) -> DataFrame:
     return df.drop("fiscal_year", "quarter")
 
 
-def transaction_history(raw_txn: DataFrame, active_keys: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
+def transaction_history(raw_txn: DataFrame, active_keys: DataFrame, cfg: FlowConfig = DEFAULT,
+                        cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """D0 straight from the landed transaction extracts (all periods)."""
-    return cumulative_transactions(transactions(raw_txn, active_keys, cfg))
+    return cumulative_transactions(transactions(raw_txn, active_keys, cfg, cut))
 
 
 def pipeline_dataset(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn: DataFrame,

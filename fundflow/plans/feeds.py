@@ -11,7 +11,7 @@ per-file sums re-summed.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +64,8 @@ from fundflow.schemas import typed_columns
 from fundflow.sources.headers import rename_drift
 
 SOURCE_FILE = "source_file"
+#: Writes a DataFrame and reads it back.
+Cut = Callable[[DataFrame], DataFrame]
 TXN_KEYS = ("award_number", "period", "program_area")
 LEDGER_KEYS = ("award_number", "period", "program_area", "bilateral_obl_number")
 
@@ -162,7 +164,7 @@ def ledger_lines(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
 LEDGER_CANDIDATES = ("award_number", "document_number")
 
 
-def ledger(raw: DataFrame, all_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT) -> DataFrame:
+def ledger(raw: DataFrame, all_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT, cut: Cut | None = None) -> DataFrame:
     """accounting pipeline ledger rolled up to award x period x area x
     bilateral agreement (per source file, as the source never merges
     files).  Keys resolve to the award number if it is a known award, else
@@ -173,7 +175,8 @@ def ledger(raw: DataFrame, all_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAU
     map-side row by row.  Otherwise the lines are first pre-aggregated on
     the candidate key columns (sum, non-NULL count, row count), so the
     shuffle joins of the resolution see one row per candidate group, and
-    the strict / lenient sums are finished after resolution.
+    the strict / lenient sums are finished after resolution; ``cut`` writes
+    that pre-aggregation (see :func:`fundflow.operators.resolve_key`).
     """
     df = ledger_lines(raw, cfg)
     keys = list(LEDGER_KEYS) + ([SOURCE_FILE] if SOURCE_FILE in df.columns else [])
@@ -183,7 +186,7 @@ def ledger(raw: DataFrame, all_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAU
         out = sum_all_numeric(df.select(*keys, *measures), keys, strict=cfg.strict_ledger_sum)
     else:
         pre = partial_sums(df, [*keys, "document_number"], measures, strict=cfg.strict_ledger_sum)
-        pre = resolve_key(pre, all_keys, LEDGER_CANDIDATES)
+        pre = resolve_key(pre, all_keys, LEDGER_CANDIDATES, cut=cut)
         out = combine_sums(pre, keys, measures, strict=cfg.strict_ledger_sum)
     return out.drop(SOURCE_FILE) if SOURCE_FILE in keys else out
 
@@ -216,10 +219,11 @@ def transaction_measures(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame
     return df.select(*TXN_CANDIDATES, "transaction_date", "period", "program_area", *TXN_MEASURES)
 
 
-def transaction_lines(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT) -> DataFrame:
+def transaction_lines(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT,
+                      cut: Cut | None = None) -> DataFrame:
     """Row-level F6 with keys resolved (3 steps, *active* keys only):
     one row per kept transaction."""
-    df = resolve_key(transaction_measures(raw, cfg), active_keys, TXN_CANDIDATES)
+    df = resolve_key(transaction_measures(raw, cfg), active_keys, TXN_CANDIDATES, cut=cut)
     return df.drop("document_number", "obl_document_number")
 
 
@@ -229,7 +233,8 @@ def _with_fiscal(rolled: DataFrame) -> DataFrame:
     return rolled.select("award_number", "fiscal_year", "quarter", "period", "program_area", *TXN_MEASURES)
 
 
-def transactions(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT) -> DataFrame:
+def transactions(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT,
+                 cut: Cut | None = None) -> DataFrame:
     """transactions rolled up to award x fiscal period x area (lenient
     sums), with the fiscal year and quarter parsed back out of the label.
 
@@ -237,14 +242,23 @@ def transactions(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: FlowConfi
     map-side and the roll-up is one partial + final aggregation.  Otherwise
     lines are pre-aggregated on (candidate keys, period, area) -- a
     map-side-combined shuffle that a hot award cannot skew -- and only the
-    pre-aggregated rows go through the resolution joins.
+    pre-aggregated rows, which ``cut`` writes, go through the resolution joins.
     """
     lines = transaction_measures(raw, cfg)
     if can_broadcast(active_keys):
         df = resolve_key(lines, active_keys, TXN_CANDIDATES)
-        rolled = sum_all_numeric(df.select(*TXN_KEYS, *TXN_MEASURES), TXN_KEYS)
-    else:
-        pre = partial_sums(lines, [*TXN_CANDIDATES, "period", "program_area"], TXN_MEASURES)
-        pre = resolve_key(pre, active_keys, TXN_CANDIDATES)
-        rolled = combine_sums(pre, TXN_KEYS, TXN_MEASURES)
-    return _with_fiscal(rolled)
+        return _with_fiscal(sum_all_numeric(df.select(*TXN_KEYS, *TXN_MEASURES), TXN_KEYS))
+    return finish_transactions(transaction_partials(lines), active_keys, cut)
+
+
+def transaction_partials(lines: DataFrame, per: Iterable[str] = ()) -> DataFrame:
+    """Lines of :func:`transaction_measures` summed by candidate keys, period
+    and area (and the columns ``per``): sums that :func:`finish_transactions`
+    merges, whatever they were split by."""
+    return partial_sums(lines, [*TXN_CANDIDATES, "period", "program_area", *per], TXN_MEASURES)
+
+
+def finish_transactions(partials: DataFrame, active_keys: DataFrame | KeySet, cut: Cut | None = None) -> DataFrame:
+    """F6 from :func:`transaction_partials`: keys resolved, sums merged."""
+    got = resolve_key(partials, active_keys, TXN_CANDIDATES, cut=cut)
+    return _with_fiscal(combine_sums(got, TXN_KEYS, TXN_MEASURES))

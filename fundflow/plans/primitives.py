@@ -465,14 +465,14 @@ SELECT rkey AS award_number, qd AS transaction_date, coalesce({O.fy_label('qd')}
 FROM t_keyed WHERE rkey IS NOT NULL""", ["transaction_amt"]))
 def resolve_key_3_shuffled(f: DriverFlow) -> DataFrame:
     """C21 with a key set of unknown size: one salted shuffle join."""
-    return feeds.transaction_lines(f.raw_txn, keys_df(f.active_keys), f.cfg).select(
+    return feeds.transaction_lines(f.raw_txn, keys_df(f.active_keys), f.cfg, f.resolved).select(
         "award_number", "transaction_date", "period", "program_area", "transaction_amt")
 
 
 @register("ledger_rollup_shuffled", O.with_ctes("SELECT * FROM f_ledger", O.LEDGER_NUM))
 def ledger_rollup_shuffled(f: DriverFlow) -> DataFrame:
     """F5 with a key set of unknown size: pre-aggregation, then the salted join."""
-    return feeds.ledger(f.raw_ledger, keys_df(f.all_keys), f.cfg)
+    return feeds.ledger(f.raw_ledger, keys_df(f.all_keys), f.cfg, f.resolved)
 
 
 @register("tag_agreement", O.with_ctes(f"""

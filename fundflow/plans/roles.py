@@ -291,10 +291,22 @@ class DriverFlow:
             return stage(df, name)
         return df
 
+    @property
+    def resolved(self):
+        """Writes what key resolution without a broadcast reads twice."""
+        from fundflow.operators import stage
+        return (lambda df: stage(df, "resolve")) if self.staged else None
+
+    def _rolled(self, name: str, keys, build) -> DataFrame:
+        """A roll-up's plan; one that writes its pre-aggregation is built for every query anew."""
+        from fundflow.operators import can_broadcast
+        return self._memo(name, build) if can_broadcast(keys) or not self.staged else build()
+
     @cached_property
     def ledger_plan(self) -> DataFrame:
         from fundflow.plans import feeds
-        return self._memo("ledger_plan", lambda: feeds.ledger(self.raw_ledger, self.all_keys, self.cfg))
+        return self._rolled("ledger_plan", self.all_keys,
+                            lambda: feeds.ledger(self.raw_ledger, self.all_keys, self.cfg, self.resolved))
 
     @cached_property
     def ledger(self) -> DataFrame:
@@ -303,13 +315,14 @@ class DriverFlow:
     @cached_property
     def txn_rollup(self) -> DataFrame:
         from fundflow.plans import feeds
-        return self._memo("txn_rollup", lambda: feeds.transactions(self.raw_txn, self.active_keys, self.cfg))
+        return self._rolled("txn_rollup", self.active_keys,
+                            lambda: feeds.transactions(self.raw_txn, self.active_keys, self.cfg, self.resolved))
 
     # datasets -------------------------------------------------------------
     @cached_property
     def txn_plan(self) -> DataFrame:
         from fundflow.plans import datasets
-        return self._memo("txn_plan", lambda: datasets.cumulative_transactions(self.txn_rollup))
+        return self._rolled("txn_plan", self.active_keys, lambda: datasets.cumulative_transactions(self.txn_rollup))
 
     @cached_property
     def txn(self) -> DataFrame:

@@ -90,8 +90,8 @@ def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt
     all_keys = measure_keys(stage(union_keys(key_set(active), key_set(expired)), "all_keys"))
     closeout = feeds.close_out(land.read("closeout"))
     plan = stage(feeds.plan(land.read("plan", PLAN_HEADER_DRIFT), cfg), "plan")
-    ledger = stage(feeds.ledger(land.read("ledger", LEDGER_HEADER_DRIFT), all_keys, cfg), "ledger")
-    txn = stage(datasets.transaction_history(land.read("txn"), active_keys, cfg), "txn")
+    ledger = stage(feeds.ledger(land.read("ledger", LEDGER_HEADER_DRIFT), all_keys, cfg, _resolved), "ledger")
+    txn = stage(datasets.transaction_history(land.read("txn"), active_keys, cfg, _resolved), "txn")
     pipeline = stage(datasets.pipeline_dataset(active, ledger, plan, txn, cut=lambda df: stage(df, "base")), "pipeline",
                      partition_by=("period",))
     txn_ds = datasets.transaction_dataset(active, txn, pipeline, latest=at_latest)
@@ -109,6 +109,10 @@ def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt
     }
 
 
+def _resolved(df: DataFrame) -> DataFrame:
+    return stage(df, "resolve")
+
+
 WRITTEN = ("pipeline", "transaction", "expired_awards", "awards_exist", "program_area_missing",
            "program_area_all_datasets", "po_2_test", "pipeline_test_all")
 
