@@ -195,12 +195,14 @@ TXN_CANDIDATES = ("award_number", "document_number", "obl_document_number")
 TXN_MEASURES = ("transaction_amt", "transaction_disbursement", "transaction_obligation", "avg_monthly_exp_rate")
 
 
-def transaction_measures(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
+def transaction_measures(raw: DataFrame, cfg: FlowConfig = DEFAULT, per: Iterable[str] = ()) -> DataFrame:
     """Row-level part of F6 before key resolution: distribution filter,
     amount cast, date -> quarter start -> fiscal period, area code,
-    conditional measures.  Keeps the three candidate key columns."""
-    df = text_ingest(raw, keep=("period", SOURCE_FILE, "transaction_amt", "transaction_date"))
-    df = df.select(*_declared(df, TXN_COLUMNS, "transactions"))
+    conditional measures.  Keeps the three candidate key columns, and the
+    columns ``per``."""
+    per = list(per)
+    df = text_ingest(raw, keep=("period", SOURCE_FILE, "transaction_amt", "transaction_date", *per))
+    df = df.select(*_declared(df, TXN_COLUMNS, "transactions"), *per)
     df = df.filter(F.col("distribution").isin(*cfg.distributions))
     serial_is_text = dict(df.dtypes).get("transaction_date") == "string"
     df = as_number(df, ["transaction_amt"])
@@ -216,7 +218,7 @@ def transaction_measures(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame
     })
     df = df.withColumn("avg_monthly_exp_rate", F.col("transaction_disbursement") / F.lit(3.0))
     df = df.withColumn("period", fiscal_period("transaction_date", cfg.null_period_label))
-    return df.select(*TXN_CANDIDATES, "transaction_date", "period", "program_area", *TXN_MEASURES)
+    return df.select(*TXN_CANDIDATES, "transaction_date", "period", "program_area", *TXN_MEASURES, *per)
 
 
 def transaction_lines(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: FlowConfig = DEFAULT,

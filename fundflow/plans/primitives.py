@@ -49,7 +49,7 @@ from fundflow.operators import (
     sum_all_numeric,
     zero_fill_numeric,
 )
-from fundflow.plans import datasets, feeds
+from fundflow.plans import datasets, feeds, increments
 from fundflow.plans import oracle as O
 from fundflow.plans.registry import register
 from fundflow.plans.roles import DriverFlow, excel_serial
@@ -487,6 +487,31 @@ def tag_agreement(f: DriverFlow) -> DataFrame:
          .alias("doag_new_old"))
 
 
+@register("txn_incremental", O.with_ctes("SELECT * FROM d0", O.D0_NUM))
+def txn_incremental(f: DriverFlow) -> DataFrame:
+    """A8/D0 kept up to date: after a first delivery with one wrong and one
+    surplus file, the wrong one is corrected, the surplus one withdrawn and one
+    added; the stored sums then equal a full roll-up."""
+    root = f"{shared_dir(f.spark)}/fundflow-out/increments-{uuid.uuid4().hex}"
+
+    def land(quarter: int, kind: str, amount=F.col("transaction_amt")) -> None:
+        (f.raw_txn.filter(F.col("transaction_event_type") == kind).withColumn("transaction_amt", amount)
+         .write.mode("overwrite").parquet(f"{root}/in/FY24Q{quarter}_txn.parquet"))
+
+    def follow(pattern: str) -> None:
+        sync_landing(f.spark, f"{root}/in", f"{root}/landed", fmt="parquet", pattern=pattern)
+        increments.refresh(f.spark, f"{root}/landed", f"{root}/state", f.active_keys, f.cfg, f.resolved)
+
+    land(1, "OBLG_SUBOB")
+    land(2, "OBLG_UNI", F.lit("7"))
+    land(4, "OBLG_UNI")
+    follow("FY24Q*")
+    land(2, "OBLG_UNI")
+    land(3, "OTHER")
+    follow("FY24Q[123]*")
+    return datasets.cumulative_transactions(increments.read_rollup(f.spark, f"{root}/state"))
+
+
 # --- joins (J1-J8) ---------------------------------------------------------------
 
 @register("left_join_nullsafe", O.with_ctes("SELECT * FROM d1_j",
