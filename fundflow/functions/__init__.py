@@ -2,6 +2,7 @@
 
 from fundflow.functions.codes import area_code_from_name, area_from_element, area_name, lookup
 from fundflow.functions.dates import fiscal_period, parse_period, parse_ymd, quarter_start, serial_to_date
+from fundflow.functions.rejects import REJECT_COLUMNS, mark_rejects
 from fundflow.functions.text import (
     as_number,
     matches_any,
@@ -12,12 +13,14 @@ from fundflow.functions.text import (
 )
 
 __all__ = [
+    "REJECT_COLUMNS",
     "area_code_from_name",
     "area_from_element",
     "area_name",
     "as_number",
     "fiscal_period",
     "lookup",
+    "mark_rejects",
     "matches_any",
     "parse_period",
     "parse_ymd",

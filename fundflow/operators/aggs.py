@@ -59,10 +59,12 @@ def partial_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str], strict
     return df.groupBy(*keys).agg(*aggs)
 
 
-def combine_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str], strict: bool = False) -> DataFrame:
+def combine_sums(df: DataFrame, keys: Sequence[str], cols: Sequence[str], strict: bool = False,
+                 rows: str | None = None) -> DataFrame:
     """Second stage of :func:`partial_sums`: strict (NULL if any input row
-    was NULL) or lenient (NULLs and NaNs skipped, none left -> 0) sums."""
-    aggs = []
+    was NULL) or lenient (NULLs and NaNs skipped, none left -> 0) sums; with
+    ``rows`` also the number of rows, under that name."""
+    aggs = [F.sum("__rows").alias(rows)] if rows else []
     for c in cols:
         s = F.sum(f"__s_{c}")
         if strict:

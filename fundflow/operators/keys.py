@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundflow.operators.joins import semi_join_ns
@@ -66,6 +66,7 @@ def resolve_key(
     out: str = KEY,
     keep_unmatched: bool = False,
     cut: Callable[[DataFrame], DataFrame] | None = None,
+    always: Column | None = None,
 ) -> DataFrame:
     """Pick, per row, the first of ``candidates`` that is a member of
     ``keys`` and write it to ``out``.
@@ -73,7 +74,8 @@ def resolve_key(
     The source writes ``case_when(a %in% K ~ a, b %in% K ~ b, TRUE ~ c)``
     followed by ``filter(out %in% K)``: a row survives iff some candidate
     is a member, and the chosen value is the first member.  With
-    ``keep_unmatched`` the other rows keep the last candidate.
+    ``keep_unmatched`` the other rows keep the last candidate; rows for which
+    ``always`` is true stay with a NULL key.
 
     A measured key set within the broadcast limit is broadcast: one left
     join per candidate adds a membership flag, all map-side in one stage.
@@ -93,7 +95,7 @@ def resolve_key(
     adaptive execution splits the rows of a hot tuple.
     """
     if not can_broadcast(keys):
-        return _resolve_large(df, keys, list(candidates), out, keep_unmatched, cut)
+        return _resolve_large(df, keys, list(candidates), out, keep_unmatched, cut, always)
     # NULL is never a key (key sets are built from non-NULL values), so a
     # NULL candidate is simply "not a member"; plain equality then gives the
     # same result as a NULL-safe test.
@@ -112,11 +114,12 @@ def resolve_key(
         hit = F.lit(True)
     else:
         hit = F.coalesce(*[F.col(f) for f in flags], F.lit(False))
+        hit = hit if always is None else hit | always
     return df.filter(hit).withColumn(out, chosen).drop(*flags)
 
 
 def _resolve_large(df: DataFrame, keys: DataFrame | KeySet, candidates: list[str], out: str, keep_unmatched: bool,
-                   cut: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+                   cut: Callable[[DataFrame], DataFrame] | None, always: Column | None) -> DataFrame:
     """:func:`resolve_key` by one salted shuffle join, for key sets of any size."""
     bits = bits_for(keys.rows if isinstance(keys, KeySet) else None)
     keys = keys_df(keys)
@@ -135,6 +138,8 @@ def _resolve_large(df: DataFrame, keys: DataFrame | KeySet, candidates: list[str
     if cut is not None:
         first = cut(first)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(t)) for c, t in zip(candidates, tup)])
-    got = df.join(first, same, "left" if keep_unmatched else "inner")
+    got = df.join(first, same, "left" if keep_unmatched or always is not None else "inner")
+    if always is not None and not keep_unmatched:
+        got = got.filter(F.col("__chosen").isNotNull() | always)
     chosen = F.coalesce("__chosen", candidates[-1]) if keep_unmatched else F.col("__chosen")
     return got.withColumn(out, chosen).drop("__chosen", *tup)

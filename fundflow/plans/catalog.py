@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from fundflow.plans import checks
+from fundflow.operators import stage
+from fundflow.plans import checks, rejects
 from fundflow.plans import oracle as O
 from fundflow.plans.registry import register
 from fundflow.plans.roles import DriverFlow
@@ -53,6 +54,40 @@ def txn_rollup(f: DriverFlow) -> DataFrame:
     return f.txn_rollup
 
 
+def _cells(feed: str, table: str, where: str, columns) -> str:
+    """Cells of a role extract that hold text which ``parsed`` makes NULL."""
+    return " UNION ALL ".join(f"SELECT '{feed}' AS feed, '{c}' AS column_name, {c} AS text FROM {table} "
+                              f"WHERE {where} AND trim({c}) <> '' AND {parsed} IS NULL" for c, parsed in columns)
+
+
+_LEDGER_AMOUNTS = [c for c in O.LEDGER_NUM if c != "total_disbursement_outlays"]
+
+
+@register("rejected_cells", O.with_ctes(f"""
+SELECT feed, CAST(NULL AS VARCHAR) AS source_file, column_name, text, count(*) AS n FROM (
+{_cells('plan', 'r_plan', "implementing_mechanism <> 'Total'",
+        [*[(c, O.num(c)) for c in O.PLAN_NUM], ('planned_sub_oblig_date', O.YMD)])} UNION ALL
+{_cells('ledger', 'r_ledger', f"obligation_type IN ({O.inlist(O.EVENT_TYPE_FILTER)}) AND distribution IN "
+        f"({O.inlist(O.DISTRIBUTION_FILTER)})", [(c, O.num(c)) for c in _LEDGER_AMOUNTS])} UNION ALL
+{_cells('transactions', 'r_txn', f"distribution IN ({O.inlist(O.DISTRIBUTION_FILTER)})",
+        [(c, O.num(c)) for c in ('transaction_amt', 'transaction_date')])}) x
+GROUP BY ALL"""))
+def rejected_cells(f: DriverFlow) -> DataFrame:
+    """Cells that could not be read, from the passes that make the feeds."""
+    def cut(df: DataFrame) -> DataFrame:
+        return stage(df, "marked")
+
+    return rejects.all_cells([rejects.active_awards(f.raw_award, cut, f.cfg)[1], rejects.plan(f.raw_plan, cut, f.cfg)[1],
+                              rejects.ledger(f.raw_ledger, f.all_keys, cut, f.cfg)[1],
+                              rejects.transactions(f.raw_txn, f.active_keys, cut, f.cfg)[1]])
+
+
+@register("ledger_quarantined", O.with_ctes("SELECT * FROM f_ledger", O.LEDGER_NUM))
+def ledger_quarantined(f: DriverFlow) -> DataFrame:
+    """F5 as it comes out of the pass that quarantines: the same roll-up."""
+    return rejects.ledger(f.raw_ledger, f.all_keys, lambda df: stage(df, "marked"), f.cfg)[0]
+
+
 # --- datasets (D0-D3) ------------------------------------------------------
 
 @register("txn_cumulative", O.with_ctes("SELECT * FROM d0", O.D0_NUM))

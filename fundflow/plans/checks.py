@@ -15,6 +15,7 @@ from fundflow.operators import (
     full_join_ns,
     in_keys,
     left_join_ns,
+    lenient_sum,
     max_all_numeric,
     semi_join_ns,
     sum_all_numeric,
@@ -50,18 +51,18 @@ def coverage_areas(active: DataFrame, plan: DataFrame, txn: DataFrame, ledger: D
     the area; sorted by period, area with NULLs last.
 
     The plan side is a semi join: in the source's left join, active rows
-    without a plan match only contribute a NULL area, which is dropped.
+    without a plan match only contribute a NULL area, which is dropped.  The
+    three inputs are one union with a bit each, and one aggregation ORs the
+    bits of an (area, period) before and after its shuffle: what the source's
+    two full joins and its distinct give.
     """
-    in_plan = (semi_join_ns(plan, active.select(*AP), AP)
-               .select(*AREA_PERIOD).filter(F.col("program_area").isNotNull())
-               .withColumn("subobligation", F.lit(YES_MARK)).distinct())
-    in_ledger = (in_keys(ledger, active_keys).select(*AREA_PERIOD)
-                 .withColumn("pipeline", F.lit(YES_MARK)).distinct())
-    in_txn = (in_keys(txn, active_keys).select(*AREA_PERIOD)
-              .withColumn("transaction", F.lit(YES_MARK)).distinct())
-    out = full_join_ns(in_plan, in_ledger, AREA_PERIOD)
-    out = full_join_ns(out, in_txn, AREA_PERIOD).distinct()
-    return out.orderBy(F.col("period").asc_nulls_last(), F.col("program_area").asc_nulls_last())
+    in_plan = semi_join_ns(plan, active.select(*AP), AP).filter(F.col("program_area").isNotNull())
+    inputs = {"subobligation": in_plan, "pipeline": in_keys(ledger, active_keys), "transaction": in_keys(txn, active_keys)}
+    bits = [df.select(*AREA_PERIOD, F.lit(1 << i).alias("__bit")) for i, df in enumerate(inputs.values())]
+    seen = bits[0].unionByName(bits[1]).unionByName(bits[2]).groupBy(*AREA_PERIOD).agg(F.bit_or("__bit").alias("__bits"))
+    marks = [F.when(F.col("__bits").bitwiseAND(1 << i) != 0, F.lit(YES_MARK)).alias(name) for i, name in enumerate(inputs)]
+    return (seen.select(*AREA_PERIOD, *marks)
+            .orderBy(F.col("period").asc_nulls_last(), F.col("program_area").asc_nulls_last()))
 
 
 def missing_area(active: DataFrame, plan: DataFrame) -> DataFrame:
@@ -94,18 +95,25 @@ def recon_awards(active: DataFrame, pipeline: DataFrame) -> DataFrame:
     return df.drop("total_estimated_cost")
 
 
-def _txn_totals(df: DataFrame, activities: DataFrame, name: str) -> DataFrame:
-    tot = sum_all_numeric(df.select("award_number", "period", "transaction_amt"), AP)
-    return left_join_ns(tot, activities, "award_number").withColumn(name, F.col("transaction_amt"))
-
-
 def _recon_txn(active: DataFrame, txn: DataFrame, reported: DataFrame) -> DataFrame:
-    acts = active.select("award_number", "activity_name").distinct()
-    raw = _txn_totals(txn, acts, "raw_transaction_amt")
-    new = _txn_totals(reported, acts, "new_transaction_amt")
-    df = zero_fill_numeric(left_join_ns(raw, new, AP))
-    df = df.withColumn("transaction_diff", F.col("raw_transaction_amt") - F.col("new_transaction_amt"))
-    return df.select("award_number", "period", "raw_transaction_amt", "new_transaction_amt", "transaction_diff")
+    """Raw and reported rows in one union and one group-by: an award-period's
+    raw and reported sums, and how many rows each side has.  Those with raw
+    rows stay, as in the source's left join; its joins to the award's activity
+    names repeat a row once per name on either side."""
+    sides = [df.select(*AP, *[F.col("transaction_amt").alias(s) if s == side else F.lit(None).cast("double").alias(s)
+                              for s in ("raw", "new")], F.lit(side).alias("side"))
+             for df, side in ((txn, "raw"), (reported, "new"))]
+    both = (sides[0].unionByName(sides[1]).groupBy(*AP)
+            .agg(lenient_sum("raw").alias("raw_transaction_amt"), lenient_sum("new").alias("new_transaction_amt"),
+                 F.count_if(F.col("side") == "raw").alias("raws"), F.count_if(F.col("side") == "new").alias("news"))
+            .filter("raws > 0"))
+    names = active.select("award_number", "activity_name").distinct().groupBy("award_number").agg(
+        F.count(F.lit(1)).alias("names"))
+    n = F.coalesce("names", F.lit(1).cast("long"))
+    df = left_join_ns(both, names, "award_number").withColumn("times", F.when(F.col("news") > 0, n * n).otherwise(n))
+    df = df.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+    return df.select(*AP, "raw_transaction_amt", "new_transaction_amt",
+                     (F.col("raw_transaction_amt") - F.col("new_transaction_amt")).alias("transaction_diff"))
 
 
 def recon_txn_pipeline(txn: DataFrame, active: DataFrame, pipeline: DataFrame) -> DataFrame:

@@ -36,10 +36,12 @@ from fundflow.config import (
     FlowConfig,
 )
 from fundflow.functions import (
+    REJECT_COLUMNS,
     area_code_from_name,
     area_from_element,
     as_number,
     fiscal_period,
+    mark_rejects,
     matches_any,
     parse_period,
     parse_ymd,
@@ -99,18 +101,25 @@ def _award_common(df: DataFrame, sector: str) -> DataFrame:
               }))
 
 
-def active_awards(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
+def active_awards(raw: DataFrame, cfg: FlowConfig = DEFAULT, marked: bool = False) -> DataFrame:
     """active awards of the configured sector; keys trimmed, values
     recoded, numeric columns zero-filled, rows without a key dropped and
     activities whose name contains an excluded fragment removed (a NULL
-    name is removed too)."""
+    name is removed too).  ``marked``, here and in the other feeds: unreadable
+    cells are marked (:func:`fundflow.functions.mark_rejects`)."""
     df = _award_common(raw, cfg.active_sector)
-    df = as_number(df, typed_columns(schemas.ACTIVE, DoubleType))
-    df = zero_fill_numeric(df)
-    df = df.select(*_declared(df, ACTIVE_COLUMNS, "active awards")).dropna(subset=["award_number"])
+    numbers = typed_columns(schemas.ACTIVE, DoubleType)
+    df = mark_rejects(df, numbers=numbers) if marked else df
+    df = as_number(df, numbers)
+    df = zero_fill_numeric(df, exclude=REJECT_COLUMNS)
+    df = df.select(*_declared(df, ACTIVE_COLUMNS, "active awards"), *_marks(df)).dropna(subset=["award_number"])
     return df.filter(~matches_any("activity_name", cfg.remove_awards))
 
 
+def _marks(df: DataFrame) -> list[str]:
+    return [c for c in REJECT_COLUMNS if c in df.columns]
+
+
 def expired_awards(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     """expired awards; like F1 but keeps ``sector``, no zero fill and no
     name exclusion."""
@@ -124,7 +133,7 @@ def close_out(raw: DataFrame) -> DataFrame:
     return df.select(*_declared(df, CLOSEOUT_COLUMNS, "close-out tracker")).dropna(subset=["award_number"])
 
 
-def plan(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
+def plan(raw: DataFrame, cfg: FlowConfig = DEFAULT, marked: bool = False) -> DataFrame:
     """sub-obligation plan, open schema.  Drops "Total" rows (and rows
     whose mechanism is NULL), maps area names to codes (unknown -> NULL),
     casts the known amount columns and the planned date, NaN -> NULL ->
@@ -135,6 +144,8 @@ def plan(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     df = rename_drift(raw, PLAN_HEADER_DRIFT)
     df = df.withColumn("award_number", trim_ws("award_number"))
     df = df.filter(F.col("implementing_mechanism") != F.lit("Total"))
+    if marked:
+        df = mark_rejects(df, numbers=[*PLAN_NUMERIC_COLUMNS, *cfg.plan_extra_amounts], dates=[PLAN_DATE_COLUMN])
     df = df.drop("filename", SOURCE_FILE, "implementing_mechanism").dropna(subset=["award_number"])
     df = df.withColumnRenamed("program_area", "program_area_name")
     df = df.withColumn("program_area", area_code_from_name("program_area_name"))
@@ -146,7 +157,7 @@ def plan(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
     return df.drop("program_area_name")
 
 
-def ledger_lines(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
+def ledger_lines(raw: DataFrame, cfg: FlowConfig = DEFAULT, marked: bool = False) -> DataFrame:
     """Row-level part of F5 before key resolution: text ingest, drift
     rename, type / distribution filters, amounts cast, area code,
     outlays = disbursement + accrual (NULL if either is NULL)."""
@@ -155,6 +166,7 @@ def ledger_lines(raw: DataFrame, cfg: FlowConfig = DEFAULT) -> DataFrame:
                    & F.col("distribution").isin(*cfg.distributions))
     extra = [c for c in ("period", SOURCE_FILE) if c in df.columns]
     df = df.select(*_declared(df, LEDGER_COLUMNS, "ledger"), *extra)
+    df = mark_rejects(df, numbers=LEDGER_AMOUNT_COLUMNS) if marked else df
     df = as_number(df, LEDGER_AMOUNT_COLUMNS)
     df = df.withColumn("program_area", area_from_element("program_element", "program_area"))
     return df.withColumn("total_disbursement_outlays",
@@ -195,15 +207,19 @@ TXN_CANDIDATES = ("award_number", "document_number", "obl_document_number")
 TXN_MEASURES = ("transaction_amt", "transaction_disbursement", "transaction_obligation", "avg_monthly_exp_rate")
 
 
-def transaction_measures(raw: DataFrame, cfg: FlowConfig = DEFAULT, per: Iterable[str] = ()) -> DataFrame:
+def transaction_measures(raw: DataFrame, cfg: FlowConfig = DEFAULT, per: Iterable[str] = (),
+                         marked: bool = False) -> DataFrame:
     """Row-level part of F6 before key resolution: distribution filter,
     amount cast, date -> quarter start -> fiscal period, area code,
     conditional measures.  Keeps the three candidate key columns, and the
     columns ``per``."""
     per = list(per)
     df = text_ingest(raw, keep=("period", SOURCE_FILE, "transaction_amt", "transaction_date", *per))
-    df = df.select(*_declared(df, TXN_COLUMNS, "transactions"), *per)
+    file = [SOURCE_FILE] if marked and SOURCE_FILE in df.columns and SOURCE_FILE not in per else []
+    df = df.select(*_declared(df, TXN_COLUMNS, "transactions"), *per, *file)
     df = df.filter(F.col("distribution").isin(*cfg.distributions))
+    df = mark_rejects(df, numbers=["transaction_amt"], serials=["transaction_date"]) if marked else df
+    per = [*per, *_marks(df)]
     serial_is_text = dict(df.dtypes).get("transaction_date") == "string"
     df = as_number(df, ["transaction_amt"])
     df = df.withColumns({
@@ -229,7 +245,8 @@ def transaction_lines(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: Flow
     return df.drop("document_number", "obl_document_number")
 
 
-def _with_fiscal(rolled: DataFrame) -> DataFrame:
+def with_fiscal(rolled: DataFrame) -> DataFrame:
+    """F6's columns, fiscal year and quarter parsed back out of the label."""
     fiscal_year, quarter = parse_period("period")
     rolled = rolled.withColumns({"fiscal_year": fiscal_year, "quarter": quarter})
     return rolled.select("award_number", "fiscal_year", "quarter", "period", "program_area", *TXN_MEASURES)
@@ -249,7 +266,7 @@ def transactions(raw: DataFrame, active_keys: DataFrame | KeySet, cfg: FlowConfi
     lines = transaction_measures(raw, cfg)
     if can_broadcast(active_keys):
         df = resolve_key(lines, active_keys, TXN_CANDIDATES)
-        return _with_fiscal(sum_all_numeric(df.select(*TXN_KEYS, *TXN_MEASURES), TXN_KEYS))
+        return with_fiscal(sum_all_numeric(df.select(*TXN_KEYS, *TXN_MEASURES), TXN_KEYS))
     return finish_transactions(transaction_partials(lines), active_keys, cut)
 
 
@@ -263,4 +280,4 @@ def transaction_partials(lines: DataFrame, per: Iterable[str] = ()) -> DataFrame
 def finish_transactions(partials: DataFrame, active_keys: DataFrame | KeySet, cut: Cut | None = None) -> DataFrame:
     """F6 from :func:`transaction_partials`: keys resolved, sums merged."""
     got = resolve_key(partials, active_keys, TXN_CANDIDATES, cut=cut)
-    return _with_fiscal(combine_sums(got, TXN_KEYS, TXN_MEASURES))
+    return with_fiscal(combine_sums(got, TXN_KEYS, TXN_MEASURES))

@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fundflow.config import DEFAULT, LEDGER_HEADER_DRIFT, PLAN_HEADER_DRIFT, FlowConfig
 from fundflow.operators import at_latest, key_set, measure_keys, stage, union_keys
-from fundflow.plans import checks, datasets, feeds
+from fundflow.plans import checks, datasets, feeds, rejects
+from fundflow.plans.publish import publish
 from fundflow.sources import (read_csv_folder, read_landed, read_parquet_folder, read_period_table, sync_landing,
                               write_csv, write_parquet)
 
@@ -75,8 +76,8 @@ class Landing:
 def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt: str = "csv",
           expired_from_active_folder: bool = False, skip_rows: int = 0,
           multi_line: bool = True, landed_root: str | None = None) -> dict[str, DataFrame]:
-    """Every feed, dataset and check of one run as DataFrames (shared
-    intermediates already staged).  ``skip_rows`` banner lines are skipped
+    """Every dataset and check of one run as DataFrames (shared intermediates
+    already staged), and the cells that could not be read.  ``skip_rows`` banner lines are skipped
     in the CSV exports of the four spreadsheet feeds, whose quoted cells may
     hold line breaks (``multi_line``).  With ``landed_root`` the landing is
     followed by tables there, and only files that are new or changed since
@@ -84,14 +85,19 @@ def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt
     land = Landing(spark, landing_root, fmt, skip_rows, multi_line, landed_root)
     raw_active = land.read("active")
     raw_expired = raw_active if expired_from_active_folder else land.read("expired")
-    active = stage(feeds.active_awards(raw_active, cfg), "active")
+    active, cells = rejects.active_awards(raw_active, lambda df: stage(df, "active"), cfg)
+    quarantine = [cells]
     expired = stage(feeds.expired_awards(raw_expired, cfg), "expired")
     active_keys = measure_keys(stage(key_set(active), "active_keys"))
     all_keys = measure_keys(stage(union_keys(key_set(active), key_set(expired)), "all_keys"))
     closeout = feeds.close_out(land.read("closeout"))
-    plan = stage(feeds.plan(land.read("plan", PLAN_HEADER_DRIFT), cfg), "plan")
-    ledger = stage(feeds.ledger(land.read("ledger", LEDGER_HEADER_DRIFT), all_keys, cfg, _resolved), "ledger")
-    txn = stage(datasets.transaction_history(land.read("txn"), active_keys, cfg, _resolved), "txn")
+    plan, cells = rejects.plan(land.read("plan", PLAN_HEADER_DRIFT), lambda df: stage(df, "plan"), cfg)
+    quarantine.append(cells)
+    ledger, cells = rejects.ledger(land.read("ledger", LEDGER_HEADER_DRIFT), all_keys, _resolved, cfg)
+    quarantine.append(cells)
+    rolled, cells = rejects.transactions(land.read("txn"), active_keys, _resolved, cfg)
+    quarantine.append(cells)
+    txn = stage(datasets.cumulative_transactions(rolled), "txn")
     pipeline = stage(datasets.pipeline_dataset(active, ledger, plan, txn, cut=lambda df: stage(df, "base")), "pipeline",
                      partition_by=("period",))
     txn_ds = datasets.transaction_dataset(active, txn, pipeline, latest=at_latest)
@@ -106,6 +112,7 @@ def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt
         "pipeline_test_all": checks.recon_ledger(ledger, active, pipeline),
         "activities": checks.distinct_activities(active),
         "plan_awards_not_active": checks.plan_awards_not_active(plan, active),
+        "rejected_cells": rejects.all_cells(quarantine),
     }
 
 
@@ -119,9 +126,9 @@ WRITTEN = ("pipeline", "transaction", "expired_awards", "awards_exist", "program
 
 def run_quarter(spark: SparkSession, landing_root: str, out_root: str, cfg: FlowConfig = DEFAULT,
                 fmt: str = "csv", out_fmt: str = "csv", expired_from_active_folder: bool = False,
-                skip_rows: int = 0, multi_line: bool = True) -> list[str]:
+                skip_rows: int = 0, multi_line: bool = True, landed_root: str | None = None) -> list[str]:
     """Build and write the eight outputs of a run; returns their paths."""
-    outs = build(spark, landing_root, cfg, fmt, expired_from_active_folder, skip_rows, multi_line)
+    outs = build(spark, landing_root, cfg, fmt, expired_from_active_folder, skip_rows, multi_line, landed_root)
     paths = []
     for name in WRITTEN:
         path = f"{out_root.rstrip('/')}/{name}"
@@ -133,6 +140,16 @@ def run_quarter(spark: SparkSession, landing_root: str, out_root: str, cfg: Flow
     return paths
 
 
+def publish_quarter(spark: SparkSession, landing_root: str, out_root: str, cfg: FlowConfig = DEFAULT,
+                    out_fmt: str = "csv", run_id: str | None = None, **options) -> str:
+    """Build the outputs of a run and the quarantined cells, and publish them
+    all or none (:mod:`fundflow.plans.publish`); returns the run's folder.
+    ``options`` are those of :func:`build`."""
+    outs = build(spark, landing_root, cfg, **options)
+    return publish(spark, {n: outs[n] for n in (*WRITTEN, "rejected_cells")}, out_root, out_fmt,
+                   {"pipeline": ("period",)}, run_id)
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m fundflow.plans.run LANDING OUT [--format parquet] [--out-format parquet]``"""
     import argparse
@@ -147,6 +164,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sector", default=DEFAULT.active_sector)
     ap.add_argument("--expired-from-active-folder", action="store_true")
     ap.add_argument("--lenient-ledger", action="store_true", help="sum ledger amounts skipping NULLs")
+    ap.add_argument("--landed", help="tables that follow the landing: only changed files are read")
+    ap.add_argument("--publish", action="store_true", help="all outputs or none, under <out>/runs, named in <out>/published")
     ap.add_argument("--skip-rows", type=int, default=0, help="banner rows above the header of spreadsheet CSVs")
     args = ap.parse_args(argv)
     from dataclasses import replace
@@ -154,8 +173,12 @@ def main(argv: list[str] | None = None) -> None:
     cfg = replace(DEFAULT, active_sector=args.sector, expired_sector=args.sector,
                   strict_ledger_sum=not args.lenient_ledger)
     spark = get_spark()
+    if args.publish:
+        print(publish_quarter(spark, args.landing, args.out, cfg, args.out_format, fmt=args.format, landed_root=args.landed,
+                              expired_from_active_folder=args.expired_from_active_folder, skip_rows=args.skip_rows))
+        return
     for p in run_quarter(spark, args.landing, args.out, cfg, args.format, args.out_format,
-                         args.expired_from_active_folder, args.skip_rows):
+                         args.expired_from_active_folder, args.skip_rows, landed_root=args.landed):
         print(p)
 
 

@@ -149,3 +149,65 @@ def test_run_with_banner_rows(spark, scratch):
     outs = build(spark, root, skip_rows=1)
     assert outs["pipeline"].count() == 6
     assert [r["award_number"] for r in outs["expired_awards"].collect()] == ["E1"]
+
+
+def test_run_over_landed_tables_follows_corrections(spark, scratch):
+    root, tables = os.path.join(scratch, "landing"), os.path.join(scratch, "tables")
+    landing(root)
+    first = build(spark, root, landed_root=tables)
+    assert rows_of(first["pipeline"]) == rows_of(build(spark, root)["pipeline"])
+    folder = os.path.join(root, "ledger")
+    path = os.path.join(folder, "FY24Q1_Pipeline.csv")
+    text = open(path).read()
+    with open(path, "w") as fh:
+        fh.write(text.replace(",100,", ",1e2x,"))
+    again, full = build(spark, root, landed_root=tables), build(spark, root)
+    for name in ("pipeline", "pipeline_test_all", "expired_awards", "rejected_cells"):
+        assert rows_of(again[name]) == rows_of(full[name])
+    assert rows_of(again["rejected_cells"]) == [("1", "1e2x", "FY24Q1_Pipeline.csv", "document_amt", "ledger")]
+
+
+def rows_of(df):
+    return sorted(tuple(sorted(map(str, r))) for r in df.collect())
+
+
+def test_publishing_is_all_or_nothing(spark, scratch, monkeypatch):
+    import pytest
+
+    from fundflow.plans import publish as P
+    from fundflow.plans.run import publish_quarter
+
+    root, out = os.path.join(scratch, "landing"), os.path.join(scratch, "out")
+    landing(root)
+    with pytest.raises(FileNotFoundError):
+        P.read_published(spark, out, "pipeline")
+    folder = publish_quarter(spark, root, out, out_fmt="parquet", run_id="one")
+    assert folder.endswith("/runs/one") and P.published(spark, out)[:2] == (1, "one")
+    before = rows_of(P.read_published(spark, out, "pipeline"))
+    assert len(before) == 6 and P.read_published(spark, out, "rejected_cells").count() == 0
+    # The next run fails after some of its outputs: the previous one is still what counts.
+    write, done = P.write_parquet, []
+
+    def fail(df, path, **kw):
+        if len(done) == 3:
+            raise OSError("disk full")
+        done.append(path)
+        write(df, path, **kw)
+
+    monkeypatch.setattr(P, "write_parquet", fail)
+    os.remove(os.path.join(root, "transactions", "FY24Q1_Transactions.csv"))
+    _csv(f"{root}/transactions", "FY24Q1_t.csv", ["Award Number", "Document Number", "Obl Document Number", "Transaction Date",
+                                                  "Transaction Amt", "Transaction Event", "Transaction Event Type",
+                                                  "Program Element", "Distribution", "Program Area"], [])
+    with pytest.raises(OSError):
+        publish_quarter(spark, root, out, out_fmt="parquet", run_id="two")
+    assert len(done) == 3 and P.published(spark, out)[1] == "one"
+    assert rows_of(P.read_published(spark, out, "pipeline")) == before
+    monkeypatch.setattr(P, "write_parquet", write)
+    with pytest.raises(Exception, match="(?i)exists"):  # a run id is used once
+        publish_quarter(spark, root, out, out_fmt="parquet", run_id="two")
+    publish_quarter(spark, root, out, run_id="three")   # as CSV
+    assert P.published(spark, out)[:2] == (2, "three")
+    assert {r["transaction_amt"] for r in P.read_published(spark, out, "pipeline").collect()} == {"0"}
+    with pytest.raises(KeyError):
+        P.read_published(spark, out, "other")
