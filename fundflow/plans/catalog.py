@@ -102,6 +102,12 @@ def pipeline_dataset(f: DriverFlow) -> DataFrame:
     return f.pipeline
 
 
+@register("pipeline_dataset_laid_out", O.with_ctes("SELECT * FROM d1", O.D1_NUM))
+def pipeline_dataset_laid_out(f: DriverFlow) -> DataFrame:
+    """D1 over inputs bucketed by award and period: no exchange in its joins."""
+    return f.pipeline_by_layout
+
+
 @register("txn_dataset", O.with_ctes(
     "SELECT * FROM d2", ["transaction_disbursement", "transaction_obligation", "transaction_amt",
                          "avg_monthly_exp_rate", "last_qtr_accrual_amt"]), reuse=("ledger", "txn"))

@@ -24,6 +24,7 @@ from fundflow.operators import (
     running_total,
     zero_fill_numeric,
 )
+from fundflow.operators.layout import drop_key_texts, key_name, key_text, lay_out, left_join_laid_out
 from fundflow.plans.feeds import transactions
 
 AP = ["award_number", "period"]
@@ -80,6 +81,38 @@ def pipeline_dataset(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn:
     return df
 
 
+def pipeline_laid_out(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn: DataFrame) -> DataFrame:
+    """:func:`pipeline_dataset` of inputs that :func:`lay_out_inputs` has
+    written by award and period: the chain of left joins, the comments' semi
+    join, their distinct and the last join all read bucket by bucket, so none
+    of them exchanges rows."""
+    base = left_join_laid_out(active, ledger, AP)
+    # The ledger's area is what plan and transactions are joined by.
+    base = base.withColumn(key_name("program_area"), key_text("program_area"))
+    comments = None
+    if "comments" in plan.columns:
+        commented = plan.filter(F.col("comments").isNotNull()).select(*[key_name(c) for c in APA], "comments")
+        areas = base.select(*[key_name(c) for c in APA])
+        comments = (left_join_laid_out(commented, areas, APA, "left_semi")
+                    .select(*[key_name(c) for c in AP], "comments").distinct())
+        plan = plan.drop("comments")
+    df = left_join_laid_out(base, plan, APA)
+    df = left_join_laid_out(df, txn, APA)
+    df = zero_fill_numeric(df).withColumn("program_area_name", area_name("program_area"))
+    if comments is not None:
+        df = left_join_laid_out(df, comments, AP)
+    return drop_key_texts(df)
+
+
+def lay_out_inputs(active: DataFrame, ledger: DataFrame, plan: DataFrame, txn: DataFrame,
+                   buckets: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The inputs of :func:`pipeline_laid_out`, each written once in buckets
+    of award and period.  A hot award is spread over its periods."""
+    return (lay_out(active, "active", AP, buckets=buckets), lay_out(ledger, "ledger", AP, (), buckets, keep=False),
+            lay_out(plan, "plan", AP, ["program_area"], buckets, keep=False),
+            lay_out(txn, "txn", AP, ["program_area"], buckets, keep=False))
+
+
 def latest_accrual(pipeline: DataFrame, latest: Callable[[DataFrame], DataFrame] = latest_period) -> DataFrame:
     """Accrual of the latest period in the pipeline dataset, per award x
     area (NULLs skipped).  ``latest`` picks the rows of the latest period."""

@@ -330,9 +330,20 @@ class DriverFlow:
 
     @cached_property
     def pipeline(self) -> DataFrame:
+        """D1.  An award list small enough to broadcast keeps the roll-ups by
+        award small, and the planner joins them as they are; beyond that the
+        inputs are laid out by award and period first."""
+        from fundflow.operators import can_broadcast
         from fundflow.plans import datasets
+        if self.staged and not can_broadcast(self.active_keys):
+            return self.pipeline_by_layout
         return datasets.pipeline_dataset(self.active, self.ledger, self.plan, self.txn, self._cut)
 
+    @cached_property
+    def pipeline_by_layout(self) -> DataFrame:
+        from fundflow.plans import datasets
+        return datasets.pipeline_laid_out(*datasets.lay_out_inputs(self.active, self.ledger, self.plan, self.txn))
+
     @cached_property
     def pipeline_latest(self) -> DataFrame:
         """Pipeline dataset of the latest active period only (all D2 needs)."""

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from fundflow.config import DEFAULT, LEDGER_HEADER_DRIFT, PLAN_HEADER_DRIFT, FlowConfig
-from fundflow.operators import at_latest, key_set, measure_keys, stage, union_keys
+from fundflow.operators import at_latest, can_broadcast, key_set, measure_keys, stage, union_keys
 from fundflow.plans import checks, datasets, feeds, rejects
 from fundflow.plans.publish import publish
 from fundflow.sources import (read_csv_folder, read_landed, read_parquet_folder, read_period_table, sync_landing,
@@ -98,8 +98,11 @@ def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt
     rolled, cells = rejects.transactions(land.read("txn"), active_keys, _resolved, cfg)
     quarantine.append(cells)
     txn = stage(datasets.cumulative_transactions(rolled), "txn")
-    pipeline = stage(datasets.pipeline_dataset(active, ledger, plan, txn, cut=lambda df: stage(df, "base")), "pipeline",
-                     partition_by=("period",))
+    if can_broadcast(active_keys):  # roll-ups by award are small too
+        pipeline = datasets.pipeline_dataset(active, ledger, plan, txn, cut=lambda df: stage(df, "base"))
+    else:
+        pipeline = datasets.pipeline_laid_out(*datasets.lay_out_inputs(active, ledger, plan, txn))
+    pipeline = stage(pipeline, "pipeline", partition_by=("period",))
     txn_ds = datasets.transaction_dataset(active, txn, pipeline, latest=at_latest)
     return {
         "pipeline": pipeline,
