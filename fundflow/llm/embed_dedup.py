@@ -3,8 +3,9 @@
 Unit vectors are rotated into the eigenbasis of their second moments, so that
 leading dimensions carry most of every product.  Two vectors at cosine t or
 more differ by at most sqrt(2 - 2t) in any direction: vectors are put into
-cells of that width over the first ``CELL_DIMS`` dimensions, and only blocks of
-the same or adjacent cells, whose bounding boxes are near enough, are paired.
+cells of that width over the first dimensions, three or more as the rows grow,
+and only blocks of the same or adjacent cells, whose bounding boxes are near
+enough, are paired.
 
 A pair of blocks is compared in tiles.  A tile accumulates the products of the
 leading dimensions first; what the others can add is at most the product of
@@ -28,12 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundflow.llm.graph import components
+from fundflow.llm.matrices import by_length, grams
 from fundflow.operators.stage import stage
 
 COSINE = 0.95
 BLOCK = 4096
 TILE = 1024
-CELL_DIMS = 3
+#: Dimensions of the cells: one more than the least for each ``ROWS_PER_DIM``-fold of a block's rows.
+CELL_DIMS, MAX_CELL_DIMS = 3, 6
+ROWS_PER_DIM = 16
 BOX_DIMS = 16
 #: Bound of the cells, which are broadcast with their number of blocks.
 MAX_CELLS = 100_000
@@ -49,34 +53,11 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def by_length(vectors: pd.Series) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Length, places in the batch and matrix of the vectors of each length."""
-    vectors = vectors.to_numpy()
-    sizes = np.fromiter(map(len, vectors), np.int64, len(vectors))
-    for d in np.unique(sizes).tolist():
-        at = np.nonzero(sizes == d)[0]
-        yield d, at, np.stack(vectors[at])
-
-
 def moments(vectors: DataFrame, dims: list[int]) -> dict[int, np.ndarray]:
-    """For each length d of ``dims``, the only ones in ``vectors``, the sum of
-    x x' over all its unit vectors, d x d, summed by Spark."""
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[int, np.ndarray] = {}
-        for pdf in batches:
-            for d, _, x in by_length(pdf["vec"]):
-                x = unit(x)
-                total[d] = total.get(d, 0.0) + x.T @ x
-        for d, t in total.items():
-            yield pd.DataFrame({"d": d, "i": np.arange(d), "row": list(t)})
-
-    parts = vectors.select("vec").mapInPandas(partial, "d int, i int, row array<double>")
-    cells = (parts.select("d", "i", F.posexplode("row").alias("j", "v")).groupBy("d", "i", "j")
-             .agg(F.sum("v").alias("v")).collect())  # d x d numbers a length
-    out = {d: np.zeros((d, d)) for d in dims}
-    for r in cells:
-        out[r["d"]][r["i"], r["j"]] = r["v"]
-    return out
+    """For each length d of ``dims``, the sum of x x' over all its unit
+    vectors, d x d, summed by Spark; d rows come to the driver."""
+    found = grams(vectors.select("vec"), {d: unit for d in dims})
+    return {d: found.get(d, np.zeros((d, d))) for d in dims}
 
 
 def leading(rotated: np.ndarray) -> list[np.ndarray]:
@@ -134,8 +115,15 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     component and links; rows that repeat id and vector count each.  Other
     columns are ignored.  An empty table gives no rows.
 
-    Counting every link of a cell that holds many near vectors takes work in
-    the square of their number, spread over block pairs; nothing else does.
+    The work is the block pairs that cells and boxes leave.  Vectors that
+    spread wider than a cell over the leading dimensions, as clustered ones
+    do, are compared with their neighbourhood only.  Vectors that do not, such
+    as directions drawn evenly from many dimensions, fall into a few adjacent
+    cells whose boxes overlap: then every block meets every other, the work is
+    the square of the rows in tiles of matrix products, most of them given up
+    after the leading dimensions.  So it is within a cell of many near vectors,
+    whose links are counted one by one.  The pairs are spread over tasks of
+    bounded size either way, and none is left out.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("vec"))
     four = rows.schema["vec"].dataType.elementType == T.FloatType()
@@ -154,15 +142,19 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     dims = sorted(r["d"] for r in lengths if r["n"] > 1)
     compared = classes.filter(F.size("vec").isin(dims))
     # Eigenvectors by falling eigenvalue; a driver-side step on a d x d matrix.
-    bases = {d: np.linalg.eigh(m)[1][:, ::-1].copy() for d, m in moments(compared, dims).items()}
+    found = {d: np.linalg.eigh(m)[1][:, ::-1].copy() for d, m in moments(compared, dims).items()}
+    shared = classes.sparkSession.sparkContext.broadcast(found)  # d x d numbers a length, once an executor
     width = float(np.sqrt(2.0 - 2.0 * cosine) + _EPS)
     # Coordinates lie in [-1, 1], so there are at most (2 / width + 2)^q cells a length.
     most = max(MAX_CELLS / max(len(dims), 1), 1.0)
-    q = max(1, min(CELL_DIMS, max(dims, default=1), int(np.log(most) / np.log(2.0 / width + 2.0))))
+    many = max(sum(r["n"] for r in lengths) / block, 1.0)
+    q = min(CELL_DIMS + int(np.log(many) / np.log(ROWS_PER_DIM)), MAX_CELL_DIMS)
+    q = max(1, min(q, max(dims, default=1), int(np.log(most) / np.log(2.0 / width + 2.0))))
     dtype = "<f4" if four else "<f8"
 
     @F.pandas_udf("array<int>")
     def cell_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bases = shared.value
         for vs in batches:
             cell = np.zeros((len(vs), q + 1), np.int32)  # the length, then the place (0 beyond the length)
             for d, at, x in by_length(vs):
@@ -176,7 +168,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(pdf["vec"].to_numpy()).astype(dtype)
-        lead = unit(x) @ bases[x.shape[1]][:, :BOX_DIMS]
+        lead = unit(x) @ shared.value[x.shape[1]][:, :BOX_DIMS]
         return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "b": [pdf["b"].iloc[0]],
                              "low": [lead.min(axis=0)], "high": [lead.max(axis=0)],
                              "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
@@ -208,7 +200,7 @@ def embedding_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
                 same = r.b_a == r.b_b and list(r.cell_a) == list(r.cell_b)
                 ia, ib = np.frombuffer(r.ids_a, np.int64), np.frombuffer(r.ids_b, np.int64)
                 dim = r.cell_a[0]
-                basis = bases[dim]
+                basis = shared.value[dim]
                 ca, cb = np.frombuffer(r.copies_a, np.int64), np.frombuffer(r.copies_b, np.int64)
                 a = unit(np.frombuffer(r.vecs_a, dtype).reshape(len(ia), dim))
                 b = unit(np.frombuffer(r.vecs_b, dtype).reshape(len(ib), dim))

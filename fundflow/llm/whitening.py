@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.llm.embed_dedup import by_length
+from fundflow.llm.matrices import by_length, grams
 
 COMPONENTS = 32
 #: An entry c becomes floor(SCALE c) + OFFSET.
@@ -140,32 +140,6 @@ def sums_of(rows: DataFrame) -> dict[int, Whitening]:
     return {r["d"]: Whitening(int(r["s"][0]["s"]), [int(x["s"]) for x in r["s"][1:]]) for r in got}
 
 
-def grams(rows: DataFrame, of: dict) -> dict[int, np.ndarray]:
-    """Sum of y y' for each length in ``of``, y being ``of[length](vectors)``.
-    A task sums its rows, Spark the tasks' upper triangles; the driver
-    receives one row of numbers a dimension."""
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[int, np.ndarray] = {}
-        for pdf in batches:
-            for d, _, v in by_length(pdf["vec"]):
-                if d in of:
-                    y = np.nan_to_num(of[d](v))
-                    total[d] = total.get(d, 0.0) + y.T @ y
-        for d, t in total.items():
-            yield pd.DataFrame({"d": d, "i": np.arange(len(t)), "row": [t[i, i:] for i in range(len(t))]})
-
-    parts = rows.mapInPandas(partial, "d int, i int, row array<double>")
-    got = (parts.select("d", "i", F.posexplode("row").alias("j", "v")).groupBy("d", "i", "j").agg(F.sum("v").alias("v"))
-           .groupBy("d", "i").agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("row")).collect())
-    size: dict[int, int] = {}
-    for r in got:
-        size[r["d"]] = max(size.get(r["d"], 0), r["i"] + 1)
-    out = {d: np.zeros((k, k)) for d, k in size.items()}
-    for r in got:
-        out[r["d"]][r["i"], r["i"]:] = [x["v"] for x in r["row"]]
-    return {d: np.triu(g) + np.triu(g, 1).T for d, g in out.items()}
-
-
 def fit(rows: DataFrame, components: int = COMPONENTS, max_passes: int = MAX_PASSES) -> dict[int, Whitening]:
     """A :class:`Whitening` for each vector length of ``rows (vec)``: one pass
     for the sums, one for each factor (mostly two), one to see that the rows
