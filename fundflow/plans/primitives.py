@@ -49,6 +49,7 @@ from fundflow.operators import (
     sum_all_numeric,
     zero_fill_numeric,
 )
+from fundflow.operators.hot_keys import left_join_hot
 from fundflow.plans import datasets, feeds, increments
 from fundflow.plans import oracle as O
 from fundflow.plans.registry import register
@@ -521,6 +522,20 @@ def left_join_nullsafe(f: DriverFlow) -> DataFrame:
     return left_join_ns(f.active, f.ledger, AP)
 
 
+@register("left_join_hot_key", O.with_ctes("""
+SELECT activity_name, period, count(*) AS n, round(sum(amt), 2) AS transaction_amt
+FROM (SELECT a.activity_name, a.period, CAST(t.transaction_amt AS DOUBLE) AS amt
+      FROM r_txn t LEFT JOIN f_active a ON t.award_number IS NOT DISTINCT FROM a.award_number) x
+GROUP BY 1, 2""", ["transaction_amt"]))
+def left_join_hot_key(f: DriverFlow) -> DataFrame:
+    """J1 where one award has a third of all left rows: it is found by a
+    sketch and spread; row counts and sums by activity and period."""
+    left = f.raw_txn.select("award_number", "document_number", "transaction_amt")
+    joined = left_join_hot(left, f.active.select("award_number", "activity_name", "period"), "award_number")
+    return (joined.groupBy("activity_name", "period")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("transaction_amt").cast("double")).alias("transaction_amt")))
+
+
 @register("left_join_nullsafe3", O.with_ctes("SELECT * FROM d1_p",
                                              ["total_estimated_cost", *O.LEDGER_NUM, *O.PLAN_NUM]))
 def left_join_nullsafe3(f: DriverFlow) -> DataFrame:
