@@ -74,12 +74,14 @@ def byte_level(blob: bytes) -> tuple[Encode, list[bytes]]:
     table = [b""] * (1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]))
     for token, i in vocab.items():
         table[i] = token.encode() if token in added else bytes(symbol[c] for c in token)
-    slow = Tokenizer.from_str(blob.decode())
-    slow.encode_special_tokens = True
+    loaded: list = []
 
     def encode_slow(texts: list[str]) -> list[list[int]]:
+        if not loaded:
+            loaded.append(Tokenizer.from_str(blob.decode()))
+            loaded[0].encode_special_tokens = True
         # One text at a time: the library's own threads stay off.
-        return [slow.encode(" " + t, add_special_tokens=False).ids for t in texts]
+        return [loaded[0].encode(" " + t, add_special_tokens=False).ids for t in texts]
 
     merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"]]
     pre = spec["pre_tokenizer"] or {}
@@ -90,11 +92,10 @@ def byte_level(blob: bytes) -> tuple[Encode, list[bytes]]:
 
     fast = tiktoken.Encoding("ranks", pat_str=PRETOKENS, special_tokens={},
                              mergeable_ranks={table[i]: i for t, i in vocab.items() if t not in added})
-    other = re.compile(r"[^\x00-ɏ‐-›]|\s{1000}")
+    other = re.compile(r"[^\x00-\u024f\u2010-\u203a]|\s{1000}")
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [slow.encode(" " + t, add_special_tokens=False).ids if other.search(t) else fast.encode_ordinary(" " + t)
-                for t in texts]
+        return [encode_slow([t])[0] if other.search(t) else fast.encode_ordinary(" " + t) for t in texts]
 
     return encode, table
 
@@ -109,7 +110,7 @@ def pieces(blob: bytes) -> tuple[Encode, list[bytes]]:
     for i in range(model.get_piece_size()):
         p = model.id_to_piece(i)
         byte = re.fullmatch(r"<0x([0-9A-F]{2})>", p)
-        table.append(bytes([int(byte[1], 16)]) if byte else p.replace("▁", " ").encode())
+        table.append(bytes([int(byte[1], 16)]) if byte else p.replace("\u2581", " ").encode())
     return lambda texts: model.encode(texts, num_threads=1), table
 
 
@@ -123,6 +124,8 @@ def lockstep(end_a: np.ndarray, end_b: np.ndarray, first_a: np.ndarray, first_b:
     least each, and ends at one byte in both."""
     if len(first_a) < 2:
         return (np.empty(0, np.int64),) * 4
+    if end_a[-1] < 2 ** 31 - 1:  # narrow state vectors
+        end_a, end_b, first_a, first_b = (x.astype(np.int32) for x in (end_a, end_b, first_a, first_b))
     # Lanes: the start of each document, and inside it the byte behind every lane-th A token.
     size = np.diff(first_a)
     extra = (size - 1) // lane
@@ -156,7 +159,7 @@ def lockstep(end_a: np.ndarray, end_b: np.ndarray, first_a: np.ndarray, first_b:
         going = ~(cut & (ea >= stop))
         if not going.all():
             a, b, group_a, group_b, opened, stop = (x[going] for x in (a, b, group_a, group_b, opened, stop))
-    ga, na, gb, nb = (np.concatenate(x) for x in zip(*out))
+    ga, na, gb, nb = (np.concatenate(x).astype(np.int64) for x in zip(*out))
     order = np.argsort(ga, kind="stable")
     return ga[order], na[order], gb[order], nb[order]
 
@@ -189,23 +192,25 @@ def written(groups: tuple, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[bytes,
     """All groups as ``a1,a2|b1;a3|b2,b3;`` and the place behind each one."""
     ga, na, gb, nb = groups
     total = len(ids_a) + len(ids_b)
-    ids, sign = np.empty(total, np.int64), np.full(total, ord(","), np.uint8)
+    ids, sign = np.empty(total, np.int32), np.full(total, ord(","), np.uint8)
     # An A token stands behind the B tokens of the groups before, a B token behind the A tokens up to its group's.
     ids[np.arange(len(ids_a)) + np.repeat(gb, na)] = ids_a
     ids[np.arange(len(ids_b)) + np.repeat(ga + na, nb)] = ids_b
     sign[ga + na - 1 + gb] = ord("|")
     ends = ga + na + gb + nb
     sign[ends - 1] = ord(";")
-    digits = len(str(ids.max(initial=0)))
-    chars = np.empty((total, digits + 1), np.uint8)
-    left, size = ids, np.ones(total, np.int64)
-    for i in range(digits - 1, -1, -1):  # right-aligned
-        chars[:, i] = left % 10 + ord("0")
+    # Every id's digits, right-aligned behind zero bytes, and a place for the sign.
+    most = int(ids.max(initial=0))
+    digits = len(str(most))
+    table, left = np.zeros((most + 1, digits + 1), np.uint8), np.arange(most + 1)
+    for i in range(digits - 1, -1, -1):
+        table[:, i] = np.where((left > 0) | (i == digits - 1), left % 10 + ord("0"), 0)
         left = left // 10
-        size += (left > 0) & (i > 0)
+    size = (table > 0).sum(axis=1)
+    chars = table[ids]
     chars[:, digits] = sign
-    text = chars[np.arange(digits + 1) >= (digits - size)[:, None]].tobytes()
-    return text, np.concatenate([[0], (size + 1).cumsum()])[ends]
+    chars = chars.ravel()
+    return chars[chars > 0].tobytes(), np.concatenate([[0], (size[ids] + 1).cumsum()])[ends]
 
 
 def _planes(x: np.ndarray) -> bytes:
