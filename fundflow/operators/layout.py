@@ -30,7 +30,11 @@ def key_name(col: str) -> str:
 
 def key_text(col: str) -> Column:
     """Never NULL, and different for NULL and every value."""
-    return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit("~"))
+    return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), key_text_of_null())
+
+
+def key_text_of_null() -> Column:
+    return F.lit("~")
 
 
 def lay_out(df: DataFrame, name: str, keys: Sequence[str], more: Sequence[str] = (), buckets: int | None = None,

@@ -6,8 +6,11 @@ like the source's written check tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fundflow.config import DEFAULT, EXISTS_MARK, YES_MARK, FlowConfig
 from fundflow.operators import (
@@ -16,12 +19,11 @@ from fundflow.operators import (
     in_keys,
     left_join_ns,
     lenient_sum,
-    max_all_numeric,
     semi_join_ns,
-    sum_all_numeric,
-    zero_fill_numeric,
 )
 
+from fundflow.operators.layout import key_text, key_text_of_null
+
 AP = ["award_number", "period"]
 AREA_PERIOD = ["program_area", "period"]
 
@@ -131,29 +133,44 @@ LEDGER_MEASURES = ("document_amt", "disbursement_amt", "last_qtr_accrual_amt", "
 
 def recon_ledger(ledger: DataFrame, active: DataFrame, pipeline: DataFrame) -> DataFrame:
     """K8: ledger amounts per award-period, raw vs pipeline dataset, with
-    differences."""
-    raw_active = (max_all_numeric(active, ["award_number", "activity_name", "total_estimated_cost", "period"])
-                  .withColumn("raw_total_estimated_cost", F.col("total_estimated_cost")))
-    raw = sum_all_numeric(ledger, AP).select(*AP, *LEDGER_MEASURES)
-    raw = raw.withColumnsRenamed({m: "raw_" + m for m in LEDGER_MEASURES})
-    raw = _first(left_join_ns(raw, raw_active, AP), ["award_number", "activity_name", "period"])
-    new = sum_all_numeric(pipeline, ["award_number", "activity_name", "period"])
-    new = new.select("award_number", "activity_name", "period", "document_amt", "disbursement_amt",
-                     "last_qtr_accrual_amt", "total_estimated_cost", "undisbursed_amt")
-    new = new.withColumnsRenamed({m: "new_" + m for m in (*LEDGER_MEASURES, "total_estimated_cost")})
-    df = zero_fill_numeric(left_join_ns(raw, new, ["award_number", "period", "activity_name"]))
-    df = df.withColumns({
-        "disbursement_dif": F.col("raw_disbursement_amt") - F.col("new_disbursement_amt"),
-        "document_dif": F.col("raw_document_amt") - F.col("new_document_amt"),
-        "last_qtr_accrual_diff": F.col("raw_last_qtr_accrual_amt") - F.col("new_last_qtr_accrual_amt"),
-        "undisbursed_diff": F.col("raw_undisbursed_amt") - F.col("new_undisbursed_amt"),
-    })
-    return df.select(
-        "award_number", "activity_name", "period",
-        "raw_document_amt", "new_document_amt", "document_dif",
-        "raw_disbursement_amt", "new_disbursement_amt", "disbursement_dif",
-        "raw_last_qtr_accrual_amt", "new_last_qtr_accrual_amt", "last_qtr_accrual_diff",
-        "raw_undisbursed_amt", "new_undisbursed_amt", "undisbursed_diff")
+    differences.
+
+    Ledger, award list and pipeline are one union, summed once by award, period
+    and activity (the ledger's rows under a mark of their own); a window over
+    the few rows of an award-period then gives its raw sums to its activities.
+    As in the source's left joins, award-periods with ledger rows stay, an
+    activity is repeated once per estimated cost it is listed with, and an
+    award-period without listed activities has one row without a name.
+    """
+    nothing = F.lit(None)
+    raw, new = [f"raw_{m}" for m in LEDGER_MEASURES], [f"new_{m}" for m in LEDGER_MEASURES]
+
+    def side(df: DataFrame, key, name, cost, amounts: Sequence[str], kind: str) -> DataFrame:
+        value = lambda m, c: F.col(m).cast("double") if c in amounts else nothing.cast("double")
+        return df.select(*AP, key.alias("key"), name.alias("activity_name"), cost.alias("cost"), F.lit(kind).alias("kind"),
+                         *[value(m, c).alias(c) for cols in (raw, new) for m, c in zip(LEDGER_MEASURES, cols)])
+
+    cost_type = active.schema["total_estimated_cost"].dataType
+    no_name, no_cost = nothing.cast("string"), nothing.cast(f"struct<c:{cost_type.simpleString()}>")
+    by_name = key_text("activity_name")
+    rows = (side(ledger, F.lit(""), no_name, no_cost, raw, "ledger")
+            .unionByName(side(active, by_name, F.col("activity_name"), F.struct(F.col("total_estimated_cost").alias("c")), (), "active"))
+            .unionByName(side(pipeline, by_name, F.col("activity_name"), no_cost, new, "pipeline")))
+    sums = rows.groupBy(*AP, "key").agg(
+        F.max("activity_name").alias("activity_name"), F.size(F.collect_set("cost")).alias("costs"),
+        F.count_if(F.col("kind") == "ledger").alias("lines"), *[lenient_sum(c) for c in (*raw, *new)])
+    here = Window.partitionBy(*AP)
+    unnamed = {c: F.coalesce(F.sum(F.when(F.col("key") == key_text_of_null(), F.col(c))).over(here), F.lit(0.0)) for c in new}
+    listed = F.max("costs").over(here)
+    sums = sums.withColumns({"listed": listed, "all_lines": F.sum("lines").over(here),
+                             **{f"__{c}": F.sum(c).over(here) for c in raw}, **{f"__{c}": v for c, v in unnamed.items()}})
+    kept = sums.filter((F.col("all_lines") > 0) & F.when(F.col("listed") > 0, F.col("costs") > 0).otherwise(F.col("key") == ""))
+    kept = kept.withColumn("__i", F.explode(F.sequence(F.lit(1), F.greatest("costs", F.lit(1)))))
+    out: list = ["award_number", "activity_name", "period"]
+    for m, diff in zip(LEDGER_MEASURES, ("document_dif", "disbursement_dif", "last_qtr_accrual_diff", "undisbursed_diff")):
+        r, n = F.col(f"__raw_{m}"), F.when(F.col("key") == "", F.col(f"__new_{m}")).otherwise(F.col(f"new_{m}"))
+        out += [r.alias(f"raw_{m}"), n.alias(f"new_{m}"), (r - n).alias(diff)]
+    return kept.select(*out)
 
 
 def distinct_activities(active: DataFrame) -> DataFrame:
