@@ -142,7 +142,7 @@ def transaction_dataset(active: DataFrame, txn: DataFrame, pipeline: DataFrame,
 
 
 def expired_dataset(expired: DataFrame, ledger: DataFrame, close_out: DataFrame,
-                    cfg: FlowConfig = DEFAULT) -> DataFrame:
+                    cfg: FlowConfig = DEFAULT, latest: Callable[[DataFrame], DataFrame] = latest_period) -> DataFrame:
     """D3: latest-period expired awards with their ledger undisbursed
     amount per bilateral agreement (tagged new / old) and close-out
     status.
@@ -150,7 +150,9 @@ def expired_dataset(expired: DataFrame, ledger: DataFrame, close_out: DataFrame,
     The latest-period filter is applied to the expired rows before the
     joins: left joins keep every expired row and its period, so the
     maximum and the surviving rows are the same, and the joins only see
-    one period.
+    one period.  ``latest`` picks those rows; over a table from
+    :func:`fundflow.operators.latest.stage_ordered` they are read by file
+    statistics.
     """
     pipe = in_keys(ledger, key_set(expired))
     pipe = (pipe.groupBy("award_number", "period", "bilateral_obl_number")
@@ -158,5 +160,5 @@ def expired_dataset(expired: DataFrame, ledger: DataFrame, close_out: DataFrame,
     pipe = pipe.withColumn(
         "doag_new_old",
         F.when(matches_any("bilateral_obl_number", cfg.new_agreements), F.lit("new")).otherwise(F.lit("old")))
-    df = left_join_ns(latest_period(expired), pipe, AP)
+    df = left_join_ns(latest(expired), pipe, AP)
     return left_join_ns(df, close_out, AP)

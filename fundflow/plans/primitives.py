@@ -287,6 +287,13 @@ def latest_period_q(f: DriverFlow) -> DataFrame:
     return latest_period(f.expired)
 
 
+@register("latest_by_statistics", O.with_ctes(
+    "SELECT * FROM f_expired WHERE period = (SELECT max(period) FROM f_expired)"))
+def latest_by_statistics(f: DriverFlow) -> DataFrame:
+    """The same rows of the written list, the maximum from its files' statistics."""
+    return f.expired_latest
+
+
 # --- scalar functions (C1-C21) -----------------------------------------------
 
 @register("trim_keys", O.with_ctes(

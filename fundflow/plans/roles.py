@@ -249,12 +249,22 @@ class DriverFlow:
         df = feeds.active_awards(self.raw_award, self.cfg)
         return self._once("active", lambda: stage(df, "active")) if self.staged else df
 
+    @cached_property
+    def _expired_table(self):
+        from fundflow.operators.latest import stage_ordered
+        from fundflow.plans import feeds
+        return self._once("expired", lambda: stage_ordered(feeds.expired_awards(self.raw_award, self.cfg), "expired"))
+
     @cached_property
     def expired(self) -> DataFrame:
-        from fundflow.operators import stage
         from fundflow.plans import feeds
-        df = feeds.expired_awards(self.raw_award, self.cfg)
-        return self._once("expired", lambda: stage(df, "expired")) if self.staged else df
+        return self._expired_table.rows if self.staged else feeds.expired_awards(self.raw_award, self.cfg)
+
+    @cached_property
+    def expired_latest(self) -> DataFrame:
+        """Expired awards of the latest period, by file statistics where the list is written."""
+        from fundflow.operators import latest_period
+        return self._expired_table.latest() if self.staged else latest_period(self.expired)
 
     def _keys(self, df: DataFrame, name: str):
         from fundflow.operators import measure_keys, stage
@@ -364,4 +374,4 @@ class DriverFlow:
     @cached_property
     def expired_dataset(self) -> DataFrame:
         from fundflow.plans import datasets
-        return datasets.expired_dataset(self.expired, self.ledger, self.closeout, self.cfg)
+        return datasets.expired_dataset(self.expired, self.ledger, self.closeout, self.cfg, lambda _: self.expired_latest)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fundflow.config import DEFAULT, LEDGER_HEADER_DRIFT, PLAN_HEADER_DRIFT, FlowConfig
 from fundflow.operators import at_latest, can_broadcast, key_set, measure_keys, stage, union_keys
+from fundflow.operators.latest import stage_ordered
 from fundflow.plans import checks, datasets, feeds, rejects
 from fundflow.plans.publish import publish
 from fundflow.sources import (read_csv_folder, read_landed, read_parquet_folder, read_period_table, sync_landing,
@@ -87,7 +88,8 @@ def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt
     raw_expired = raw_active if expired_from_active_folder else land.read("expired")
     active, cells = rejects.active_awards(raw_active, lambda df: stage(df, "active"), cfg)
     quarantine = [cells]
-    expired = stage(feeds.expired_awards(raw_expired, cfg), "expired")
+    ordered = stage_ordered(feeds.expired_awards(raw_expired, cfg), "expired")
+    expired = ordered.rows
     active_keys = measure_keys(stage(key_set(active), "active_keys"))
     all_keys = measure_keys(stage(union_keys(key_set(active), key_set(expired)), "all_keys"))
     closeout = feeds.close_out(land.read("closeout"))
@@ -107,7 +109,7 @@ def build(spark: SparkSession, landing_root: str, cfg: FlowConfig = DEFAULT, fmt
     return {
         "pipeline": pipeline,
         "transaction": txn_ds,
-        "expired_awards": datasets.expired_dataset(expired, ledger, closeout, cfg),
+        "expired_awards": datasets.expired_dataset(expired, ledger, closeout, cfg, lambda _: ordered.latest()),
         "awards_exist": checks.coverage_awards(active, plan, ledger, txn),
         "program_area_missing": checks.missing_area(active, plan),
         "program_area_all_datasets": checks.coverage_areas(active, plan, txn, ledger, active_keys),

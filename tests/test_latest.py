@@ -1,0 +1,88 @@
+"""The latest period of a written table, from file statistics."""
+
+import contextlib
+import io
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from fundflow.operators import latest_period
+from fundflow.operators.latest import BYTES, order_number, stage_ordered
+
+SCHEMA = "id int, period string"
+
+
+def plan_of(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+def rows(df):
+    return sorted((r["id"], r["period"]) for r in df.collect())
+
+
+CASES = [
+    ["FY24Q1", "FY24Q3", None, "FY23Q4", "FY24Q3"],
+    [None, None],
+    [],
+    ["", None, ""],
+    ["FY99Q4", "FY00Q1", "fy00q1"],                                # bytes, not letters
+    ["FY24Q10x", "FY24Q10y", "FY24Q10", "FY24Q10y", "FY24Q1"],      # alike in seven bytes
+    ["FY24Q1", "FY24Q1\0", "FY24Q1\0\0\0"],
+    ["FY24Qé", "FY24Q語", "FY24Q\U0001F600"],
+]
+
+
+@pytest.mark.parametrize("periods", CASES)
+def test_rows_of_the_latest_period(spark, periods):
+    df = spark.createDataFrame(list(enumerate(periods)), SCHEMA).repartition(3)
+    table = stage_ordered(df, "latest")
+    known = [p for p in periods if p is not None]
+    top = max(known, key=lambda p: p.encode(), default=None)
+    want = [(i, p) for i, p in enumerate(periods) if p is not None and p == top]
+    assert rows(table.latest()) == want == rows(latest_period(df))
+    assert table.rows.columns == table.latest().columns == df.columns
+    assert table.rows.count() == len(periods)
+
+
+def test_files_of_null_periods_only(spark):
+    """A file with nothing but NULLs in the column still has a minimum and a maximum."""
+    df = spark.range(8).select(F.col("id").cast("int").alias("id"), F.when(F.col("id") == 5, "FY24Q1").alias("period")).repartition(8)
+    assert rows(stage_ordered(df, "latest").latest()) == [(5, "FY24Q1")]
+
+
+def test_nested_columns_do_not_shift_the_statistics(spark):
+    df = spark.range(9).select(F.struct("id", (-F.col("id")).alias("x")).alias("s"), F.array("id").alias("a"), "id",
+                               F.concat(F.lit("FY24Q"), F.col("id")).alias("period"))
+    table = stage_ordered(df, "latest")
+    assert [(r["id"], r["period"], r["s"]["x"], r["a"]) for r in table.latest().collect()] == [(8, "FY24Q8", -8, [8])]
+
+
+def test_maximum_is_pushed_and_row_groups_are_skipped(spark):
+    df = spark.range(1000).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("FY24Q"), F.col("id") % 4).alias("period"))
+    table = stage_ordered(df, "latest")
+    assert "PushedAggregation: [MAX(__order_period)]" in plan_of(table.top())
+    found = table.latest()
+    plan = plan_of(found)
+    assert "PushedFilters: [IsNotNull(__order_period), EqualTo(__order_period," in plan
+    assert "Join" not in plan and "Exchange" not in plan and found.count() == 250
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+texts = st.lists(st.text(alphabet="FY0129Q\0é語", max_size=BYTES + 3), min_size=1, max_size=30)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts)
+def test_numbers_sort_like_bytes(spark, values):
+    got = [(r["t"].encode(), r["n"]) for r in spark.createDataFrame([(v,) for v in values], "t string")
+           .select("t", order_number("t").alias("n")).collect()]
+    for a, x in got:
+        for b, y in got:
+            assert (x < y) <= (a < b)
+            if min(len(a), len(b)) <= BYTES or a[:BYTES] != b[:BYTES]:
+                assert (x == y) == (a == b)
