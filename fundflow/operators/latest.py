@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from fundflow.operators.aggs import latest_period
 from fundflow.operators.stage import shared_dir
+from fundflow.session import session_with
 
 #: Bytes of the text that the number holds; with its length it is below 2^60.
 BYTES = 7
@@ -60,9 +61,7 @@ class OrderedTable:
         """One row, the largest order number, NULL without rows.  Made in a
         session of its own, as only the second version of the file source
         pushes aggregates down; settings of the caller's stay as they are."""
-        own = self.spark.newSession()
-        own.conf.set("spark.sql.sources.useV1SourceList", "")
-        own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        own = session_with(self.spark, {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"})
         name = order_name(self.col)
         return own.read.schema(f"`{name}` long").parquet(self.path).agg(F.max(name).alias("top"))
 

@@ -36,3 +36,13 @@ def get_spark(master: str | None = None, app: str = "fundflow", shuffle_partitio
     for k, v in {**flow_conf(shuffle_partitions), **extra}.items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """Another session of the application with the caller's settings and
+    ``settings``, for a job that needs its own; the caller's stay as they are."""
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own

@@ -4,6 +4,7 @@ import contextlib
 import io
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from fundflow.config import LEDGER_HEADER_DRIFT
@@ -14,6 +15,7 @@ from fundflow.sources import (
     read_parquet_folder,
     write_csv,
 )
+from fundflow.sources import landing
 
 
 def test_clean_names():
@@ -190,3 +192,33 @@ def test_csv_jobs_do_not_grow_with_files(spark, scratch):
         assert plan.getvalue().count("FileScan csv") == 1
         assert df.count() == n
     assert jobs[0] == jobs[1] and scans == [2, 12]
+
+
+def test_headers_are_read_from_the_first_split_only(spark, scratch):
+    """Files of many splits: one task a file, whatever lies behind the header."""
+    os.makedirs(f"{scratch}/in")
+    for q in (1, 2):
+        with open(f"{scratch}/in/FY24Q{q}_a.csv", "w") as fh:
+            fh.write("Banner\nAward Number,Amt\n" + "A1,1\n" * 20_000)
+    with open(f"{scratch}/in/FY24Q3_a.csv", "w") as fh:
+        fh.write("Banner\n")
+    files = landing.list_files(spark, f"{scratch}/in", "FY*.csv")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        assert spark.read.text(files).rdd.getNumPartitions() > 20
+        spark.sparkContext.setJobGroup("heads", "heads")
+        heads = landing.head_lines(spark, files, 2)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(key, None)
+    assert [heads[f] for f in files] == [["Banner", "Award Number,Amt"]] * 2 + [["Banner"]]
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("heads")]
+    tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    # A task a file and the task behind its limit, not the tens of splits of the files.
+    assert len(jobs) == 1 and sum(tasks) <= 2 * len(files)
+    with pytest.raises(ValueError, match="no header after 1 banner"):
+        landing.read_csv_files(spark, files, skip_rows=1)
+    assert landing.read_csv_files(spark, files[:2], skip_rows=1).count() == 40_000
