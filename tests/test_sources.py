@@ -222,3 +222,17 @@ def test_headers_are_read_from_the_first_split_only(spark, scratch):
     with pytest.raises(ValueError, match="no header after 1 banner"):
         landing.read_csv_files(spark, files, skip_rows=1)
     assert landing.read_csv_files(spark, files[:2], skip_rows=1).count() == 40_000
+
+
+def test_names_of_rows_files_are_cut_not_searched_for(spark, scratch):
+    """A pattern searched for from every position of the path cost more than reading the row."""
+    folder = os.path.join(scratch, "in")
+    for path in ("FY24Q1_a b%.parquet", "FY24Q2_plan.parquet/x=1/y=a%3Db", "z=1/FY24Q3_plan.parquet/x=2"):
+        spark.createDataFrame([(path,)], "s string").coalesce(1).write.parquet(f"{folder}/{path}")
+    df = spark.read.option("recursiveFileLookup", True).parquet(folder).select("s", landing.source_name().alias("name"))
+    assert {r["s"]: r["name"] for r in df.collect()} == {
+        "FY24Q1_a b%.parquet": "FY24Q1_a b%.parquet", "FY24Q2_plan.parquet/x=1/y=a%3Db": "FY24Q2_plan.parquet",
+        "z=1/FY24Q3_plan.parquet/x=2": "FY24Q3_plan.parquet"}
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        df.explain("formatted")
+    assert "regexp" not in out.getvalue() and "substring_index" in out.getvalue()
