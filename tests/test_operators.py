@@ -146,3 +146,15 @@ def test_anti_join_j6(spark):
     a = spark.createDataFrame([("A1",), ("A3",), (None,)], "k string")
     b = spark.createDataFrame([("A1",), ("A1",)], "k string")
     assert sorted(r["k"] or "" for r in anti_join_ns(a, b, "k").collect()) == ["", "A3"]
+
+
+def test_resolve_key_copies_of_the_key_set_are_not_broadcast(spark):
+    """A small unmeasured key set is copied for the salted join; the planner's size of it is that of one copy."""
+    keys = spark.createDataFrame([("A1",), ("A2",)], "award_number string")
+    df = spark.createDataFrame([("A1", "X", 1), ("Z", "A2", 2), (None, "A1", 3), ("Z", "Z", 4), ("A2", "A1", 5)],
+                               "award_number string, document_number string, n int")
+    got = resolve_key(df, keys, ["award_number", "document_number"])
+    assert sorted(rows(got, "n", "award_number", "document_number")) == [
+        (1, "A1", "X"), (2, "A2", "A2"), (3, "A1", "A1"), (5, "A2", "A1")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "__salt" in x]
