@@ -95,3 +95,15 @@ def test_concat_label_null_option(spark):
     df = spark.createDataFrame([(None,)], "d date")
     assert col_values(df.select(fiscal_period("d", null_label=None).alias("p")), "p") == [None]
     assert col_values(df.select(F.coalesce(fiscal_period("d")).alias("p")), "p") == ["FYNAQNA"]
+
+
+def test_parse_ymd_evaluates_each_pattern_once(spark):
+    """Evaluated for every plan row: 12 month names were each looked for in a new extraction of the month."""
+    text = ["24-02-28", "240131", "2024 Jan 31", "2024february5", "2024-Sept-01", "99/12/5", "69-01-01", "68-1-1", "0000-01-01",
+            "2023-02-29", "20240230", "soon", "", " 2024.3.4. ", "+12345-01-31", "2024-01-31 00:00", "2024-01-31\n", None]
+    df = spark.createDataFrame([(t,) for t in text], "s string")
+    day = parse_ymd("s")
+    got = [r["d"] for r in df.select(day.cast("string").alias("d")).collect()]
+    assert got == ["2024-02-28", "2024-01-31", "2024-01-31", "2024-02-05", None, "1999-12-05", "1969-01-01", "2068-01-01",
+                   "0000-01-01", None, None, None, None, "2024-03-04", None, None, "2024-01-31", None]
+    assert str(day).lower().count("regexp") < 30
