@@ -236,3 +236,18 @@ def test_names_of_rows_files_are_cut_not_searched_for(spark, scratch):
     with contextlib.redirect_stdout(io.StringIO()) as out:
         df.explain("formatted")
     assert "regexp" not in out.getvalue() and "substring_index" in out.getvalue()
+
+
+def test_scan_of_landed_files_is_one_compiled_step(spark, scratch):
+    """A filter of the path's parts kept the tags of every row out of the compiled code, and a pattern cut the period."""
+    for name in ("FY24Q1_plan.csv", "FY24Q2_a_b.csv/part-0.csv", "_none.csv/x=1/y=2/part-0.csv"):
+        os.makedirs(os.path.dirname(f"{scratch}/in/{name}"), exist_ok=True)
+        with open(f"{scratch}/in/{name}", "w") as f:
+            f.write("A\n1\n")
+    files = [f"{scratch}/in/{n}" for n in ("FY24Q1_plan.csv", "FY24Q2_a_b.csv/part-0.csv", "_none.csv/x=1/y=2/part-0.csv")]
+    df = landing.read_csv_files(spark, files)
+    assert sorted(map(tuple, df.select("a", "source_file", "period").collect()), key=lambda r: r[1]) == [
+        ("1", "FY24Q1_plan.csv", "FY24Q1"), ("1", "FY24Q2_a_b.csv", "FY24Q2"), ("1", "_none.csv", None)]
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        df.explain("formatted")
+    assert "lambda" not in out.getvalue() and "regexp" not in out.getvalue()
