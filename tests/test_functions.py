@@ -1,6 +1,9 @@
 """Column functions: G1-G3, G10, G11 and the NULL rules N8-N12."""
 
+import contextlib
 import datetime as dt
+import io
+import re
 
 from pyspark.sql import functions as F
 
@@ -18,7 +21,8 @@ from fundflow.functions import (
     text_to_number,
     trim_ws,
 )
-from fundflow.config import ORG_RECODE, SUB_SECTOR_RECODE
+from fundflow.config import ORG_RECODE, PLAN_DATE_COLUMN, PLAN_NUMERIC_COLUMNS, SUB_SECTOR_RECODE
+from fundflow.plans import feeds
 
 
 def col_values(df, c):
@@ -107,3 +111,29 @@ def test_parse_ymd_evaluates_each_pattern_once(spark):
     assert got == ["2024-02-28", "2024-01-31", "2024-01-31", "2024-02-05", None, "1999-12-05", "1969-01-01", "2068-01-01",
                    "0000-01-01", None, None, None, None, "2024-03-04", None, None, "2024-01-31", None]
     assert str(day).lower().count("regexp") < 30
+
+
+def test_parse_ymd_looks_a_month_name_up(spark):
+    """A pattern a month was tried on every plan row, with texts without a name in them as well."""
+    text = ["24 JANUARY 5", "2024-Janu-05", "2024-may-31", "99Dec1", "2024-13-01", "24-1-5", "2424-6", "20245-6", "202401 Jan 5",
+            "2024-#-05", "(2024) sep, 30.", "2024--Feb--30", "=2024-01-05", "2024-01-7-05"]
+    df = spark.createDataFrame([(t,) for t in text], "s string")
+    day = parse_ymd("s")
+    got = [r["d"] for r in df.select(day.cast("string").alias("d")).collect()]
+    assert got == ["2024-01-05", None, "2024-05-31", "1999-12-01", None, "2024-01-05", None, "2024-05-06", None, None, "2024-09-30",
+                   None, "2024-01-05", None]
+    assert str(day).lower().count("regexp") < 10
+
+
+def test_generated_code_of_the_plan_feed_is_compiled(spark):
+    """The JVM compiles no method of more than 8000 bytes; every plan row was interpreted."""
+    names = [*PLAN_NUMERIC_COLUMNS, PLAN_DATE_COLUMN, "award_number", "implementing_mechanism", "program_area", "comments", "period"]
+    raw = spark.createDataFrame([tuple("0x1F" if n in PLAN_NUMERIC_COLUMNS else n for n in names), (None,) * len(names)],
+                                ", ".join(f"{n} string" for n in names))
+    out = feeds.plan(raw)
+    got = out.collect()
+    assert len(got) == 1 and {got[0][n] for n in PLAN_NUMERIC_COLUMNS} == {31.0}
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        out.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
