@@ -163,7 +163,7 @@ def with_features(spans: DataFrame) -> DataFrame:
         "length": F.col("size"), "digits": F.char_length(digits), "letters": count(r"\p{L}"),
         "signs": count(r"[^\p{L}0-9]"), "runs": F.size(runs),
         "longest_run": F.array_max(F.transform(runs, F.char_length)), "dots": count(r"\."),
-        "groups": count("[0-9]+"), "last_run": F.char_length(F.element_at(runs, -1)),
+        "groups": count("[0-9]+"), "last_run": F.char_length(F.try_element_at(runs, F.lit(-1))),
         "luhn": F.when(F.char_length(digits) <= 32, luhn(digits)).otherwise(False), "octets": octets(f),
         "before": _side(F.right(F.regexp_replace("before", r"\+$", ""), F.lit(1))), "after": _side(F.col("after")),
         "keyword": keyword, "digits_before": F.regexp_count("before", F.lit("[0-9]")), "parens": count(r"[()\[\]{}]"),

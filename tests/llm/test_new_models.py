@@ -344,3 +344,9 @@ def test_pii_query(spark):
         text = [f"{k}:{s}:{e}" for k, s, e in base]
         assert r["base_sha256"] == hashlib.sha256(",".join(text).encode()).hexdigest()
         assert set(text) <= set(r["spans"].split(",")) | {""}
+
+
+def test_find_without_letters_and_digits(spark):
+    """Its last run of letters and digits was looked for and ended the job."""
+    got = check_base(spark, ["write to %@-.- or a@b.c"])
+    assert [s["kind"] for s in got[0]["base"]] == ["email", "email"]
