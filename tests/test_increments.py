@@ -6,8 +6,10 @@ import random
 
 import pytest
 
+from fundflow.operators import stage
 from fundflow.plans import datasets, feeds, increments
-from fundflow.sources import read_csv_folder, sync_landing
+from fundflow.session import session_with
+from fundflow.sources import read_csv_folder, read_deliveries, sync_landing
 
 HEADER = ["Award Number", "Document Number", "Obl Document Number", "Transaction Date", "Transaction Amt",
           "Transaction Event", "Transaction Event Type", "Program Element", "Distribution", "Program Area"]
@@ -91,3 +93,53 @@ def test_a_failed_refresh_is_made_up_for(spark, flow, monkeypatch):
         run()
     monkeypatch.setattr(increments, "finish_transactions", before)
     assert run().periods == ("FY23Q2", "FY23Q3")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_a_file_are_not_dealt_to_one_task(spark, scratch):
+    folder, landed, state = f"{scratch}/in", f"{scratch}/landed", f"{scratch}/state"
+    keys = spark.createDataFrame([("A1",), ("A2",)], "award_number string")
+    land(folder, "FY23Q2_t.csv", [line("A1", 1, 1), line("A2", 2, 2)])
+    land(folder, "FY23Q3_t.csv", [line("A1", 1, 3)])
+    sync_landing(spark, folder, landed)
+    increments.refresh(spark, landed, state, keys)
+    land(folder, "FY23Q3_t.csv", [line("A1", 1, 4)])
+    sync_landing(spark, folder, landed)
+    increments.refresh(spark, landed, state, keys)
+    raw = increments._of(read_deliveries(spark, landed), [("FY23Q3_t.csv", 2)], increments.FILE)
+    stored = increments._of(increments._partials(spark, state), [("FY23Q2_t.csv", 1), ("FY23Q3_t.csv", 2)], increments.FILE)
+    # Neither is dealt by file and delivery, and the files of other partitions are left out by the scan's own filter.
+    for df, n in ((raw, 1), (stored, 3)):
+        plan = plan_of(df)
+        assert "hashpartitioning(" not in plan and "SortMergeJoin" not in plan
+        assert "(delivery#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert df.count() == n
+    rolled = increments._of(increments._rollup(spark, state), increments._state(spark, state).periods, ["period", "version"])
+    assert "hashpartitioning(" not in plan_of(rolled) and rolled.count() == 2
+    assert increments._of(raw, [], increments.FILE).count() == 0
+
+
+def test_a_large_manifest_does_not_deal_rows_by_file(spark, scratch):
+    land(f"{scratch}/in", "FY23Q2_t.csv", [line("A1", 1, 1)])
+    sync_landing(spark, f"{scratch}/in", f"{scratch}/landed")
+    own = session_with(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    assert "hashpartitioning(" not in plan_of(read_deliveries(own, f"{scratch}/landed"))
+
+
+def test_stored_sums_are_not_written_again(spark, scratch):
+    folder, landed, state = f"{scratch}/in", f"{scratch}/landed", f"{scratch}/state"
+    keys = spark.createDataFrame([("A1",), ("DA3",)], "award_number string")
+    land(folder, "FY23Q2_t.csv", [line(a, q, 10 * q) for a in ("A1", "A2", "A3") for q in (1, 2)])
+    sync_landing(spark, folder, landed)
+    cuts = []
+
+    def cut(df):
+        cuts.append(df.columns)
+        return stage(df, "cut")
+
+    increments.refresh(spark, landed, state, keys, cut=cut)
+    assert len(cuts) == 1 and "__chosen" in cuts[0]  # the chosen keys alone
+    assert rounded(increments.read_rollup(spark, state)) == rounded(feeds.transactions(read_csv_folder(spark, folder), keys))
